@@ -43,5 +43,5 @@ def input_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of everything ``df`` reads: the sum over its leaves."""
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
     return sum(
-        int(leaves.apply(i).stats().sizeInBytes().toString()) for i in range(leaves.size())
+        int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())
     )
