@@ -28,10 +28,19 @@ def read_table(
         schema = schema or latest_schema(spark, path)
         if streaming and schema is None:
             schema = spark.read.parquet(path).schema
-    reader = spark.readStream if streaming else spark.read
+    reader = (spark.readStream if streaming else spark.read).format(fmt)
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.format(fmt).load(path)
+    if streaming and _is_file(spark, path):
+        # a file stream watches a folder: here its folder, for this one name
+        folder, _, name = path.rpartition("/")
+        return reader.option("pathGlobFilter", name).load(folder)
+    return reader.load(path)
+
+
+def _is_file(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).isFile(where)
 
 
 def register_tables(
