@@ -5,7 +5,8 @@ limit, and an item above the limit stands alone. Where a batch starts depends on
 items before it, yet no task sees a whole group: items are cut into chunks, each chunk
 is summed up on its own as "entered with a batch already holding t bytes, it is left with
 a batch holding u bytes after closing c", the summaries are chained, and each chunk
-then numbers its own items.
+then numbers its own items. Summaries of neighbouring chunks combine into one of the same
+form, so the chain runs over spans of chunks first and inside each span afterwards.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _NO_BATCH = -1  # entry state of the first chunk: no batch is open
+_SPAN = 512  # chunks summed up by one task on the way to the chain
 
 
 def _break_after(prefix: np.ndarray, start: np.ndarray | int, room: np.ndarray | int) -> np.ndarray:
@@ -41,22 +43,61 @@ def _runs(sizes: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray, np.nda
 
 
 def _chunk_summary(sizes: np.ndarray, limit: int) -> dict:
+    """What a batch open on entry leads to, for each item that may close it.
+
+    Only an item within the first ``limit`` bytes can. ``prefix`` has one sum more
+    than there are such items.
+    """
     prefix, _, closed, left = _runs(sizes, limit)
-    # an open batch can only be broken by an item within the first ``limit`` bytes
-    reach = int(np.searchsorted(prefix, limit, side="right"))
+    items = min(int(np.searchsorted(prefix, limit, side="right")), len(sizes))
     return {
         "total": int(prefix[-1]),
-        "prefix": prefix[: reach + 1].tolist(),
-        "closed": closed[:reach].tolist(),
-        "left": left[:reach].tolist(),
+        "n": len(sizes),
+        "prefix": prefix[: items + 1],
+        "closed": closed[:items],
+        "left": left[:items],
     }
 
 
-def _enter(state: int, prefix: np.ndarray, limit: int, n: int) -> int:
-    """Item at which the batch open on entry is closed; n if none."""
-    if state == _NO_BATCH:
-        return 0
-    return min(max(int(np.searchsorted(prefix, limit - state, side="right")) - 1, 0), n)
+def _enter(states: np.ndarray, prefix: np.ndarray, limit: int) -> np.ndarray:
+    """Item at which a batch open with so many bytes is closed; past the last if none does."""
+    at = np.maximum(np.searchsorted(prefix, limit - states, side="right") - 1, 0)
+    return np.where(states == _NO_BATCH, 0, at)
+
+
+def _pass(row: dict, states: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """``(closed, states)`` after a chunk is entered with these bytes in the open batch."""
+    at = _enter(states, np.asarray(row["prefix"]), limit)
+    inside = at < row["n"]
+    item = np.minimum(at, len(row["closed"]) - 1)
+    closed = np.where(inside, np.asarray(row["closed"])[item] + (states != _NO_BATCH), 0)
+    return closed, np.where(inside, np.asarray(row["left"])[item], states + row["total"])
+
+
+def _chain(rows: list[dict], state: int, first: int, limit: int) -> list[tuple[int, int, int]]:
+    """``(chunk, state, first)`` on entry to each of the ordered chunks."""
+    out, states = [], np.array([state], dtype=np.int64)
+    for row in rows:
+        out.append((row["_chunk"], int(states[0]), first))
+        closed, states = _pass(row, states, limit)
+        first += int(closed[0])
+    return out
+
+
+def _combine(rows: list[dict], limit: int) -> dict:
+    """Summary of ordered neighbouring chunks taken as one."""
+    prefix = closed = left = np.empty(0, dtype=np.int64)
+    total = n = 0
+    for row in rows:
+        more, left = _pass(row, left, limit)
+        sums = total + np.asarray(row["prefix"])[: len(row["closed"])]
+        near = sums <= limit
+        prefix = np.concatenate([prefix, sums[near]])
+        closed = np.concatenate([closed + more, np.asarray(row["closed"])[near]])
+        left = np.concatenate([left, np.asarray(row["left"])[near]])
+        total, n = total + row["total"], n + row["n"]
+    beyond = total if len(prefix) == n else limit + 1
+    return {"total": total, "n": n, "prefix": np.append(prefix, beyond), "closed": closed, "left": left}
 
 
 def assign_batches(
@@ -72,8 +113,8 @@ def assign_batches(
     ``chunk`` numbers the pieces of a group that one task handles. It must not
     decrease along ``order`` and should keep a piece to some 100,000 rows, for
     example the day or hour of an object's timestamp. What is chained per group is
-    one row per chunk, holding the items within its first ``limit`` bytes only; so
-    chunks should hold many times ``limit`` bytes.
+    one row per span of 512 chunk numbers, holding the items within its first
+    ``limit`` bytes only; so chunks should hold several times ``limit`` bytes.
     """
     order = [order] if isinstance(order, str) else list(order)
     by = list(by)
@@ -94,21 +135,24 @@ def assign_batches(
 
     def summarise(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         sizes = pdf.sort_values(order)["_size"].to_numpy(dtype=np.int64)
-        found = _chunk_summary(sizes, limit)
-        return pd.DataFrame([[*key, found["total"], len(sizes), found["prefix"], found["closed"], found["left"]]],
-                            columns=summary_schema.fieldNames())
-
-    def chain(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        state, first, out = _NO_BATCH, 0, []
-        for row in pdf.sort_values("_chunk").to_dict("records"):
-            out.append([*(row[c] for c in by), row["_chunk"], state, first])
-            at = _enter(state, np.asarray(row["prefix"], dtype=np.int64), limit, row["n"])
-            if at >= row["n"]:
-                state += row["total"]
-            else:
-                first += int(row["closed"][at]) + (state != _NO_BATCH)
-                state = int(row["left"][at])
-        return pd.DataFrame(out, columns=entry_schema.fieldNames())
+        return pd.DataFrame([[*key, *_chunk_summary(sizes, limit).values()]], columns=summary_schema.fieldNames())
+
+    def summary_of(rows: pd.DataFrame) -> list[dict]:
+        return rows.sort_values("_chunk").to_dict("records")
+
+    def combine(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame([[*key, *_combine(summary_of(pdf), limit).values()]], columns=summary_schema.fieldNames())
+
+    def entries_of(head: list, entries: list[tuple[int, int, int]]) -> pd.DataFrame:
+        return pd.DataFrame([[*head, *e] for e in entries], columns=entry_schema.fieldNames())
+
+    def chain(pdf: pd.DataFrame) -> pd.DataFrame:
+        head = [pdf[c].iloc[0] for c in by]
+        return entries_of(head, _chain(summary_of(pdf), _NO_BATCH, 0, limit))
+
+    def chain_span(key: tuple, pdf: pd.DataFrame, entry: pd.DataFrame) -> pd.DataFrame:
+        state, first = int(entry["_state"].iloc[0]), int(entry["_first"].iloc[0])
+        return entries_of(list(key[:-1]), _chain(summary_of(pdf), state, first, limit))
 
     def number(key: tuple, pdf: pd.DataFrame, entry: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(order)
@@ -116,7 +160,7 @@ def assign_batches(
         state, first = int(entry["_state"].iloc[0]), int(entry["_first"].iloc[0])
         prefix, following, _, _ = _runs(sizes, limit)
         starts = np.zeros(len(sizes), dtype=np.int64)
-        at = _enter(state, prefix, limit, len(sizes))
+        at = int(_enter(np.array(state), prefix, limit))
         while at < len(sizes):
             starts[at] = 1
             at = int(following[at])
@@ -124,8 +168,15 @@ def assign_batches(
         offset = first - (1 if state == _NO_BATCH else 0)
         return pdf.assign(batch_no=np.cumsum(starts) + offset)[out_schema.fieldNames()]
 
+    span = F.floor(F.col("_chunk") / _SPAN).alias("_span")
     summaries = narrow.groupBy(*by, "_chunk").applyInPandas(summarise, summary_schema)
-    entries = summaries.groupBy(*keys).applyInPandas(chain, entry_schema)
+    spans = summaries.groupBy(*by, span).applyInPandas(combine, summary_schema)
+    span_entries = spans.groupBy(*keys).applyInPandas(chain, entry_schema)
+    entries = (
+        summaries.groupBy(*by, span)
+        .cogroup(span_entries.groupBy(*by, F.col("_chunk").alias("_span")))
+        .applyInPandas(chain_span, entry_schema)
+    )
     return (
         rows.groupBy(*by, "_chunk").cogroup(entries.groupBy(*by, "_chunk")).applyInPandas(number, out_schema)
     )

@@ -59,8 +59,9 @@ def _key8(number: str | Column) -> Column:
     return F.unhex(F.lpad(F.hex(number), 16, "0"))
 
 
-def _money(column: str) -> Column:
-    return F.col(column).cast("decimal(18,2)")
+def _cents(column: str) -> Column:
+    """A two-decimal amount as whole cents: sums are exact and do not depend on the order."""
+    return F.floor(F.col(column) * 100 + 0.5)
 
 
 def _base58_sql(ids: str, checked: bool) -> str:
@@ -92,7 +93,7 @@ _LOCATED_SQL = """located as (
 
 def _shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     amounts = _table(spark, sf_dir, "lineitem").select(
-        F.col("l_suppkey").alias("gateway"), _money("l_extendedprice").alias("amount")
+        F.col("l_suppkey").alias("gateway"), _cents("l_extendedprice").alias("amount")
     )
     places = (
         _table(spark, sf_dir, "supplier")
@@ -103,7 +104,7 @@ def _shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _as_doubles(shares: DataFrame) -> DataFrame:
-    return shares.select("country", F.col("sum").cast("double").alias("total"), F.round("percent", 6).alias("percent"))
+    return shares.select("country", (F.col("sum") / 100).alias("total"), F.round("percent", 6).alias("percent"))
 
 
 @_query(f"with {_LOCATED_SQL} select country, total, percent from shares order by total desc, country")
@@ -130,7 +131,7 @@ def _trimmed(spark: SparkSession, sf_dir: str, method: str) -> DataFrame:
         .agg(
             F.count("*").alias("n"),
             F.max("l_extendedprice").alias("max_price"),
-            F.sum(_money("l_extendedprice")).cast("double").alias("total"),
+            (F.sum(_cents("l_extendedprice")) / 100).alias("total"),
         )
     )
 
@@ -640,7 +641,7 @@ _DAILY_SQL = """select event_type, cast(sum(cast(value as decimal(18,2))) as dou
 def _daily(events: DataFrame) -> DataFrame:
     return (
         events.groupBy("event_type", F.col("ts").cast("date").alias("date"))
-        .agg(F.sum(_money("value")).cast("double").alias("total"))
+        .agg((F.sum(_cents("value")) / 100).alias("total"))
         .select("event_type", "total", "date")
     )
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType, TimestampType
 
 # Fixed value: <prefix>.<epoch millis>, optionally followed by .gz, as the whole base name.
-NAME_PATTERN = r"(?:^|/)([^/.]+)\.([0-9]+)(?:\.gz)?$"
+NAME_PATTERN = r"^([^.]+)\.([0-9]+)(?:\.gz)?$"
 
 OBJECT_SCHEMA = StructType(
     [
@@ -24,13 +24,17 @@ _DIGITS = 13  # epoch millis from September 2001 to 2286
 _RESOLUTION = 8  # listing is pruned to about a day; rows are then filtered exactly
 
 
+def base_name(path: Column) -> Column:
+    return F.substring_index(path, "/", -1)
+
+
 def name_prefix(path: Column) -> Column:
-    return F.regexp_extract(path, NAME_PATTERN, 1)
+    return F.regexp_extract(base_name(path), NAME_PATTERN, 1)
 
 
 def name_millis(path: Column) -> Column:
     """Epoch millis in an object name; null where the name does not follow the pattern."""
-    return F.regexp_extract(path, NAME_PATTERN, 2).try_cast("bigint")
+    return F.regexp_extract(base_name(path), NAME_PATTERN, 2).try_cast("bigint")
 
 
 def strip_root(path: Column | str, root: str) -> Column:
@@ -78,8 +82,11 @@ def millis_glob(prefix: str, after: int | None, before: int | None) -> str:
 
 
 def in_window(millis: Column, after: int | None, before: int | None) -> Column:
-    """Half-open on the left: after < millis <= before."""
-    keep = millis.isNotNull()
+    """Half-open on the left: after < millis <= before; null is never inside."""
+    if after is None and before is None:
+        return millis.isNotNull()
+    # each bound rejects null by itself, so the name is not parsed a further time
+    keep = F.lit(True)
     if after is not None:
         keep &= millis > after
     if before is not None:
@@ -100,9 +107,10 @@ def select_objects(
     takes base names or full paths and is meant for a handful; a ledger of
     everything already read is a DataFrame for ``resume.pending_objects``.
     """
-    base = F.substring_index("path", "/", -1)
-    out = listing.withColumn("file_ts", name_millis(F.col("path"))).where(
-        in_window(F.col("file_ts"), after, before) & F.startswith(base, F.lit(prefix))
+    base = base_name(F.col("path"))
+    out = listing.where(F.startswith(base, F.lit(prefix))) if prefix else listing
+    out = out.withColumn("file_ts", name_millis(F.col("path"))).where(
+        in_window(F.col("file_ts"), after, before)
     )
     exclude = list(exclude)
     if exclude:

@@ -163,10 +163,10 @@ def _columns(descriptor: Descriptor, messages: Sequence, kind: pa.DataType, miss
             values = _values(field, flat, want.value_type, missing)
             out.append(pa.ListArray.from_arrays(_lists(map(len, got)), values, type=want))
         else:
-            unset = None
-            if field.has_presence:
+            unset, is_enum = None, field.cpp_type == FieldDescriptor.CPPTYPE_ENUM
+            if field.has_presence and (missing == "null" or is_enum):
                 unset = [not m.HasField(name) for m in messages]
-            elif field.cpp_type == FieldDescriptor.CPPTYPE_ENUM and missing == "default":
+            elif is_enum and missing == "default":
                 unset = [v == 0 for v in got]
             out.append(_values(field, got, want, missing, unset))
     return out

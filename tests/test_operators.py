@@ -8,7 +8,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from lakewright.operators.batching import _chunk_summary, assign_batches
+from lakewright.operators import batching
+from lakewright.operators.batching import _chain, _chunk_summary, _combine, _pass, assign_batches
 from lakewright.operators.history import append_history, extend_history, holds_date, replace_dates
 from lakewright.operators.outliers import keep_positive, trim_above_quantile
 from lakewright.operators.quantile import narrowed_quantile
@@ -183,27 +184,33 @@ def greedy(sizes, limit):
     return out
 
 
-@settings(max_examples=200, deadline=None)
-@given(st.lists(st.integers(0, 40), min_size=1, max_size=60), st.integers(1, 50), st.integers(0, 60))
-def test_chunk_summary_is_exact(sizes, limit, state):
-    """Entering a chunk with ``state`` bytes gives the closes and bytes of a greedy run."""
-    from lakewright.operators.batching import _enter
-
-    found = _chunk_summary(np.array(sizes), limit)
-    at = _enter(state, np.array(found["prefix"]), limit, len(sizes))
-    if at >= len(sizes):
-        closed, left = 0, state + found["total"]
-    else:
-        closed, left = found["closed"][at] + 1, found["left"][at]
-    total, n = state, 0
-    for s in sizes:
-        if total + s > limit:
-            total, n = 0, n + 1
-        total += s
-    assert (closed, left) == (n, total)
-
-
-def test_assign_batches(spark):
+@settings(max_examples=400, deadline=None)
+@given(
+    st.lists(st.lists(st.integers(0, 40), min_size=1, max_size=15), min_size=1, max_size=8),
+    st.integers(1, 120),
+    st.integers(-1, 130),
+)
+def test_chunk_summaries_chain_and_combine_exactly(chunks, limit, state):
+    """Entering with ``state`` bytes gives the closes and bytes of a greedy run over all items."""
+    rows = [{"_chunk": i, **_chunk_summary(np.array(c), limit)} for i, c in enumerate(chunks)]
+    sizes = [s for c in chunks for s in c]
+    total, n, entry = (None if state < 0 else state), 0, []
+    for c in chunks:
+        entry.append((-1 if total is None else total, n))
+        for s in c:
+            if total is not None and total + s > limit:
+                total, n = 0, n + 1
+            total = (total or 0) + s
+    assert [(s, f) for _, s, f in _chain(rows, state, 0, limit)] == entry
+    whole = _combine(rows, limit)
+    halves = [_combine(r, limit) for r in (rows[: len(rows) // 2], rows[len(rows) // 2 :]) if r]
+    for summary in (whole, _combine(halves, limit), _chunk_summary(np.array(sizes), limit)):
+        closed, left = _pass(summary, np.array([state]), limit)
+        assert (int(closed[0]), int(left[0])) == (n, total)
+
+
+def test_assign_batches(spark, monkeypatch):
+    monkeypatch.setattr(batching, "_SPAN", 8)
     rnd = random.Random(5)
     rows = []
     for g in "ab":
