@@ -7,6 +7,7 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 
 # A frame is a 4-byte big-endian length followed by the record.
@@ -25,22 +26,25 @@ class FrameError(ValueError):
         self.offset = offset
 
 
-def _inflate(content: memoryview, fine_from: int | None = None) -> Iterator[bytes]:
+def _inflate(file: pa.NativeFile, fine_from: int | None = None) -> Iterator[bytes]:
     """Uncompressed pieces over all gzip members; raises ``zlib.error`` where the data breaks.
 
     From output position ``fine_from`` on, pieces are single bytes.
     """
-    member, pos, total = None, 0, 0
+    file.seek(0)
+    member, feed, total, members = None, b"", 0, 0
     while True:
+        feed = feed or file.read(_PIECE)
         if member is None:
-            while total and pos < len(content) and content[pos] == 0:
-                pos += 1  # zero padding between members
-            if pos == len(content):
+            ended = not feed
+            if members:
+                feed = feed.lstrip(b"\0")  # zero padding between members
+            if ended:
                 return
-            member = zlib.decompressobj(wbits=31)
-        feed: bytes | memoryview = content[pos : pos + _PIECE]
-        pos += len(feed)
-        if not len(feed):
+            if not feed:
+                continue
+            member, members = zlib.decompressobj(wbits=31), members + 1
+        elif not feed:
             raise zlib.error("gzip data ends early")
         while True:
             out = member.decompress(feed, _PIECE if fine_from is None or total < fine_from else 1)
@@ -49,14 +53,13 @@ def _inflate(content: memoryview, fine_from: int | None = None) -> Iterator[byte
                 total += len(out)
                 yield out
             if member.eof:
-                pos -= len(member.unused_data)
-                member = None
+                feed, member = member.unused_data, None
                 break
             if not out and not feed:
                 break
 
 
-def gunzip(content: memoryview) -> Iterator[bytes]:
+def gunzip(file: pa.NativeFile) -> Iterator[bytes]:
     """As ``_inflate``, but yields every byte before a break.
 
     zlib drops the piece in which it meets an error. Only for such an object, the
@@ -64,7 +67,7 @@ def gunzip(content: memoryview) -> Iterator[bytes]:
     """
     done = 0
     try:
-        for out in _inflate(content):
+        for out in _inflate(file):
             done += len(out)
             yield out
         return
@@ -72,7 +75,7 @@ def gunzip(content: memoryview) -> Iterator[bytes]:
         broken = err
     seen = 0
     try:
-        for out in _inflate(content, fine_from=done):
+        for out in _inflate(file, fine_from=done):
             seen += len(out)
             if seen > done:
                 yield out
@@ -80,10 +83,10 @@ def gunzip(content: memoryview) -> Iterator[bytes]:
         raise broken from None
 
 
-def frames(content: bytes | memoryview, max_frame: int = MAX_FRAME_BYTES) -> Iterator[tuple[int, bytes]]:
+def frames(file: pa.NativeFile, max_frame: int = MAX_FRAME_BYTES) -> Iterator[tuple[int, bytes]]:
     """``(offset, record)`` of each whole frame, in order; ``FrameError`` after the last good one."""
     buffer, start, base = bytearray(), 0, 0
-    pieces, broken = gunzip(memoryview(content)), None
+    pieces, broken = gunzip(file), None
     while True:
         try:
             piece = next(pieces, None)
@@ -108,13 +111,29 @@ def frames(content: bytes | memoryview, max_frame: int = MAX_FRAME_BYTES) -> Ite
         raise FrameError(base + start, "object ends inside a frame")
 
 
-def objects(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, memoryview]]:
-    """``(path, content)`` of each row, without copying the content out of Arrow."""
+def open_object(path: str) -> pa.NativeFile:
+    """A seekable stream over one object, through Arrow's own file systems."""
+    uri = path.replace("s3a://", "s3://", 1)
+    if ":/" not in uri:
+        return pa.OSFile(uri)
+    store, name = pafs.FileSystem.from_uri(uri)
+    return store.open_input_file(name)
+
+
+def objects(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, pa.NativeFile]]:
+    """``(path, stream)`` of each row: over its ``content``, not copied, or over the opened ``path``."""
     for batch in batches:
-        paths, contents = batch.column("path"), batch.column("content")
+        paths = batch.column("path")
+        contents = batch.column("content") if "content" in batch.schema.names else None
         for i in range(batch.num_rows):
-            buffer = contents[i].as_buffer()
-            yield paths[i].as_py(), memoryview(buffer if buffer is not None else b"")
+            path = paths[i].as_py()
+            with open_object(path) if contents is None else pa.BufferReader(contents[i].as_buffer()) as file:
+                yield path, file
+
+
+def object_columns(df: DataFrame) -> DataFrame:
+    """The columns a reading stage needs: ``path`` and, if it is there, ``content``."""
+    return df.select(*(c for c in ("path", "content") if c in df.columns))
 
 
 _RECORD_SCHEMA = "file string, offset bigint, record binary, error string"
@@ -123,11 +142,12 @@ _RECORD_SCHEMA = "file string, offset bigint, record binary, error string"
 def read_records(
     df: DataFrame, max_frame: int = MAX_FRAME_BYTES, batch_bytes: int = BATCH_BYTES
 ) -> DataFrame:
-    """``file, offset, record, error`` of the objects in ``path, content`` rows.
+    """``file, offset, record, error`` of the objects in ``path`` (and ``content``) rows.
 
     Whole objects are the unit of work, as gzip cannot be split. A task holds one
-    object and one output batch of about ``batch_bytes``. A broken object keeps its
-    good records and adds one row with the error and the offset.
+    object and one output batch of about ``batch_bytes``; without a ``content``
+    column it opens each path itself and holds a small piece of it only. A broken
+    object keeps its good records and adds one row with the error and the offset.
     """
     arrow = pa.schema(
         [("file", pa.string()), ("offset", pa.int64()), ("record", pa.binary()), ("error", pa.string())]
@@ -136,9 +156,9 @@ def read_records(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
         size = 0
-        for path, content in objects(batches):
+        for path, file in objects(batches):
             try:
-                for offset, record in frames(content, max_frame):
+                for offset, record in frames(file, max_frame):
                     rows.append((path, offset, record, None))
                     size += len(record)
                     if size >= batch_bytes:
@@ -149,4 +169,4 @@ def read_records(
         if rows:
             yield pa.RecordBatch.from_arrays(list(map(pa.array, zip(*rows), arrow.types)), schema=arrow)
 
-    return df.select("path", "content").mapInArrow(run, _RECORD_SCHEMA)
+    return object_columns(df).mapInArrow(run, _RECORD_SCHEMA)

@@ -118,7 +118,17 @@ def select_objects(
     return out
 
 
-def list_objects(
+def _objects(reader, root: str, prefix: str, after: int | None, before: int | None, exclude: Iterable[str]) -> DataFrame:
+    objects = (
+        reader.option("pathGlobFilter", millis_glob(prefix, after, before))
+        .option("recursiveFileLookup", "true")
+        .load(root)
+        .select("path", "length", "content")
+    )
+    return select_objects(objects, prefix, after, before, exclude)
+
+
+def read_objects(
     spark: SparkSession,
     root: str,
     prefix: str = "",
@@ -126,18 +136,15 @@ def list_objects(
     before: int | None = None,
     exclude: Iterable[str] = (),
 ) -> DataFrame:
-    """``path, length, file_ts`` of the objects under ``root``; contents are not read."""
-    listing = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", millis_glob(prefix, after, before))
-        .option("recursiveFileLookup", "true")
-        .load(root)
-        .select("path", "length")
-    )
-    return select_objects(listing, prefix, after, before, exclude)
+    """``path, length, content, file_ts`` of the objects under ``root``.
 
+    Spark reads contents only if the plan uses that column, and holds each whole in
+    memory: 2 GB is its limit. Reading stages given only ``path`` open objects themselves.
+    """
+    return _objects(spark.read.format("binaryFile"), root, prefix, after, before, exclude)
 
-def read_objects(
+
+def list_objects(
     spark: SparkSession,
     root: str,
     prefix: str = "",
@@ -145,15 +152,8 @@ def read_objects(
     before: int | None = None,
     exclude: Iterable[str] = (),
 ) -> DataFrame:
-    """``path, length, content, file_ts`` of the objects under ``root``."""
-    objects = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", millis_glob(prefix, after, before))
-        .option("recursiveFileLookup", "true")
-        .load(root)
-        .select("path", "length", "content")
-    )
-    return select_objects(objects, prefix, after, before, exclude)
+    """``path, length, file_ts`` of the objects under ``root``; contents are not read."""
+    return read_objects(spark, root, prefix, after, before, exclude).drop("content")
 
 
 def stream_objects(
@@ -171,14 +171,9 @@ def stream_objects(
     An object larger than the limit forms a micro-batch alone. Objects are told
     apart by path, so one with an older name that turns up late is still read.
     """
-    reader = (
-        spark.readStream.format("binaryFile")
-        .schema(OBJECT_SCHEMA)
-        .option("pathGlobFilter", millis_glob(prefix, after, before))
-        .option("recursiveFileLookup", "true")
-    )
+    reader = spark.readStream.format("binaryFile").schema(OBJECT_SCHEMA)
     if max_bytes_per_trigger is not None:
         reader = reader.option("maxBytesPerTrigger", str(max_bytes_per_trigger))
     if max_file_age is not None:
         reader = reader.option("maxFileAge", max_file_age)
-    return select_objects(reader.load(root), prefix, after, before, exclude)
+    return _objects(reader, root, prefix, after, before, exclude)

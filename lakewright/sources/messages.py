@@ -21,7 +21,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql import types as T
 
 from lakewright.functions.epoch import MILLIS_PER_DAY
-from lakewright.sources.framing import BATCH_BYTES, MAX_FRAME_BYTES, FrameError, frames, objects
+from lakewright.sources.framing import BATCH_BYTES, MAX_FRAME_BYTES, FrameError, frames, object_columns, objects
 
 # Table type of each protobuf scalar.
 _SCALARS = {
@@ -213,14 +213,14 @@ class _Decoder:
         days = (e // self.fmt.date_divisor if e else missing for e in epochs)
         return [d if isinstance(d, str) or abs(d) < 2**31 else "date is out of range" for d in days]
 
-    def batches(self, rows: Iterator[tuple[str, memoryview]]) -> Iterator[tuple[list, list]]:
+    def batches(self, rows: Iterator[tuple[str, pa.NativeFile]]) -> Iterator[tuple[list, list]]:
         """``(accepted, rejected)``: (file, message, day) and (file, offset, error, record)."""
         parsed: list[tuple] = []
         rejected: list[tuple] = []
         size = 0
-        for path, content in rows:
+        for path, file in rows:
             try:
-                for offset, record in frames(content, self.fmt.max_frame_bytes):
+                for offset, record in frames(file, self.fmt.max_frame_bytes):
                     size += len(record)
                     try:
                         parsed.append((path, offset, record, self.parse(record)))
@@ -247,7 +247,7 @@ class _Decoder:
 
 
 def decode_objects(df: DataFrame, fmt: MessageFormat) -> DataFrame:
-    """Typed rows of the objects in ``path, content`` rows, plus an ``error`` column.
+    """Typed rows of the objects in ``path`` (and ``content``) rows, plus an ``error`` column.
 
     ``error`` is null on a good row. A rejected record becomes a row of nulls with
     its file and error, so it can be counted in the same pass; ``reject_records``
@@ -275,7 +275,7 @@ def decode_objects(df: DataFrame, fmt: MessageFormat) -> DataFrame:
                 error = pa.array([r[2] for r in rejected], pa.string())
                 yield pa.RecordBatch.from_arrays([*nulls, file, error], schema=arrow)
 
-    return df.select("path", "content").mapInArrow(run, full)
+    return object_columns(df).mapInArrow(run, full)
 
 
 def reject_records(df: DataFrame, fmt: MessageFormat) -> DataFrame:
@@ -288,4 +288,4 @@ def reject_records(df: DataFrame, fmt: MessageFormat) -> DataFrame:
                 columns = [pa.array(c, t) for c, t in zip(zip(*rejected), arrow.types)]
                 yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
-    return df.select("path", "content").mapInArrow(run, _REJECT_SCHEMA)
+    return object_columns(df).mapInArrow(run, _REJECT_SCHEMA)

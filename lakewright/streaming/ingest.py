@@ -34,6 +34,7 @@ def ingest_objects(
     trigger: str = "AvailableNow",
     interval: str | None = None,
     table_format: str = "parquet",
+    open_in_tasks: bool = False,
 ) -> StreamingQuery:
     """Start appending the objects under ``source`` to the table at ``target``.
 
@@ -42,6 +43,10 @@ def ingest_objects(
     taken. The file sink commits each micro-batch whole. ``AvailableNow`` takes
     what is there in batches of about ``max_bytes_per_trigger`` and stops.
 
+    Spark hands contents to the tasks, up to 2 GB each. With ``open_in_tasks`` it
+    only lists, and each task streams its objects through Arrow's file systems:
+    for larger objects, and where memory is short.
+
     ``already_read`` (a ``path`` column) leaves out objects another job loaded.
     Rejected records are left out and counted (``ingest_counts``); their bytes can
     be had with ``ingest_rejects``.
@@ -50,6 +55,8 @@ def ingest_objects(
     source_rows = stream_objects(
         spark, source, prefix, after, before, exclude, max_bytes_per_trigger, max_file_age
     )
+    if open_in_tasks:
+        source_rows = source_rows.drop("content")
     if already_read is not None:
         source_rows = source_rows.join(already_read.select("path"), "path", "left_anti")
     rows = (

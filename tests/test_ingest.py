@@ -5,6 +5,7 @@ import struct
 import zlib
 from decimal import Decimal
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -13,7 +14,9 @@ from pyspark.sql import types as T
 
 from lakewright.sources.exports import frame_object
 from lakewright.sources.framing import FrameError, frames, read_records
-from lakewright.sources.listing import read_objects
+from lakewright.operators.resume import ledger_of
+from lakewright.plans.backfill import pending_rows
+from lakewright.sources.listing import list_objects, read_objects
 from lakewright.sources.messages import MessageFormat, decode_objects, reject_records
 from lakewright.sources.schema_history import SchemaConflict, evolve
 from lakewright.streaming.ingest import ingest_counts, ingest_objects, ingest_rejects, read_bronze
@@ -26,7 +29,7 @@ T0 = 1_700_000_000_000
 def drain(content, **kw):
     got, error = [], None
     try:
-        for offset, record in frames(content, **kw):
+        for offset, record in frames(pa.BufferReader(content), **kw):
             got.append((offset, record))
     except FrameError as err:
         error = err
@@ -230,6 +233,31 @@ def test_stream_ingest_end_to_end(spark, tmp_path):
         ingest_objects(spark, src, out, ck, fmt, prefix="all")
 
 
+def test_tasks_open_objects_themselves(spark, tmp_path):
+    cls = message_class(all_types(), "all_types")
+    src, out, ck = (str(tmp_path / n) for n in ("src", "out", "ck"))
+    fmt = MessageFormat(all_types(), "all_types", date_field="u64")
+    for d in range(6):
+        write(src, f"all.{T0 + d * DAY}.gz", [cls(i32=10 * d + k, u64=T0 + d * DAY).SerializeToString() for k in range(3)])
+    listing = list_objects(spark, src)
+    got = decode_objects(listing, fmt)
+    assert sorted(r.i32 for r in got.collect()) == sorted(10 * d + k for d in range(6) for k in range(3))
+    assert "content" not in got._jdf.queryExecution().executedPlan().toString()
+    q = ingest_objects(spark, src, out, ck, fmt, before=T0 + 3 * DAY, open_in_tasks=True)
+    q.awaitTermination()
+    bronze = read_bronze(spark, out)
+    assert bronze.count() == 12
+
+    # one object inside the look-back was missed: the pending rows are its and the new ones
+    ledger = ledger_of(bronze.where("i32 < 20 or i32 >= 30"))
+    assert {r.file_ts for r in ledger.collect()} == {T0, T0 + DAY, T0 + 3 * DAY}
+    rows = pending_rows(spark, src, ledger, fmt, look_back_millis=2 * DAY, task_bytes=100)
+    assert sorted(r.i32 for r in rows.collect()) == [20, 21, 22, 40, 41, 42, 50, 51, 52]
+    assert rows.rdd.getNumPartitions() == 8
+    rows = pending_rows(spark, src, ledger, fmt, after=T0 + 4 * DAY, exclude=listing.limit(0))
+    assert sorted(r.i32 for r in rows.collect()) == [50, 51, 52]
+
+
 def test_exclusions(spark, tmp_path):
     cls = message_class(all_types(), "all_types")
     src, out, ck = (str(tmp_path / n) for n in ("src", "out", "ck"))
