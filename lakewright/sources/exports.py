@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 import gzip
+import struct
 from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 
-from lakewright.sources.framing import _HEADER
+from lakewright.scratch import qualified_path
+from lakewright.sources.framing import HEADER
 
 
 def frame_object(records: list[bytes]) -> bytes:
     """One gzip object holding the records as length-prefixed frames."""
-    return gzip.compress(b"".join(_HEADER.pack(len(r)) + r for r in records), 6, mtime=0)
+    return gzip.compress(b"".join(struct.pack(HEADER, len(r)) + r for r in records), 6, mtime=0)
 
 
 def write_objects(df: DataFrame, root: str) -> DataFrame:
@@ -23,10 +25,11 @@ def write_objects(df: DataFrame, root: str) -> DataFrame:
     Objects are written by the tasks themselves. A retried task writes the same
     bytes to the same name.
     """
+    root = qualified_path(df.sparkSession, root)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         uri = root.replace("s3a://", "s3://", 1)
-        store, base = pafs.FileSystem.from_uri(uri if ":/" in uri else "file://" + uri)
+        store, base = pafs.FileSystem.from_uri(uri)
         store.create_dir(base, recursive=True)
         for batch in batches:
             paths, lengths = [], []

@@ -11,7 +11,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 
 # A frame is a 4-byte big-endian length followed by the record.
-_HEADER = struct.Struct(">I")
+HEADER, HEADER_BYTES = ">I", 4
 MAX_FRAME_BYTES = 8 * 1024 * 1024
 BATCH_BYTES = 64 * 1024 * 1024
 
@@ -96,14 +96,14 @@ def frames(file: pa.NativeFile, max_frame: int = MAX_FRAME_BYTES) -> Iterator[tu
             break
         base, buffer, start = base + start, buffer[start:], 0
         buffer += piece
-        while len(buffer) - start >= _HEADER.size:
-            (length,) = _HEADER.unpack_from(buffer, start)
+        while len(buffer) - start >= HEADER_BYTES:
+            (length,) = struct.unpack_from(HEADER, buffer, start)
             if length > max_frame:
                 raise FrameError(base + start, f"frame of {length} bytes exceeds the limit of {max_frame}")
-            end = start + _HEADER.size + length
+            end = start + HEADER_BYTES + length
             if end > len(buffer):
                 break
-            yield base + start, bytes(buffer[start + _HEADER.size : end])
+            yield base + start, bytes(buffer[start + HEADER_BYTES : end])
             start = end
     if broken is not None:
         raise FrameError(base + start, broken)

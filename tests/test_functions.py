@@ -1,9 +1,12 @@
 import base64
 import hashlib
+import subprocess
+import sys
 
 import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from lakewright.functions import (
@@ -83,3 +86,19 @@ def test_epoch_day(spark):
     assert rows[1].huge is None
     assert rows[1].ts == "2023-11-14 22:13:20.123"
     assert df.where("i = 3").select(epoch_day("e", 1).alias("d")).first().d is None
+
+
+def test_task_functions_need_no_package_on_executors():
+    """What is sent to tasks loads where the package cannot be imported."""
+    from lakewright.plans.sample_messages import event_report_format
+    from lakewright.sources.messages import _Decoder
+
+    payload = cloudpickle.dumps((encode_array, _Decoder, event_report_format()))
+    code = (
+        "import sys, pickle, pyarrow as pa\n"
+        "encode, decoder, fmt = pickle.loads(sys.stdin.buffer.read())\n"
+        "assert list(decoder(fmt).batches(iter([]))) == [] and not any('lakewright' in m for m in sys.modules)\n"
+        "print(encode(pa.array([b'\\0\\1']))[0])"
+    )
+    done = subprocess.run([sys.executable, "-c", code], input=payload, capture_output=True, cwd="/", check=True)
+    assert done.stdout.decode().strip() == plain_base58(b"\0\1")
