@@ -10,7 +10,8 @@ from google.protobuf import message_factory
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakewright.functions import b58encode, b58encode_checked, epoch_day, from_epoch_millis
+from lakewright.functions import b58encode, b58encode_checked, epoch_day, from_epoch_millis, path_or_null
+from lakewright.functions.epoch import MILLIS_PER_DAY
 from lakewright.operators.batching import assign_batches
 from lakewright.operators.history import append_history, extend_history
 from lakewright.operators.outliers import keep_positive, trim_above_quantile
@@ -327,15 +328,23 @@ def epoch_millis_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query(
     """select event_id, case when event_type = 'error' then date '1970-01-01' else cast(ts as date) end as date,
-         cast(ts as date) as date_of_seconds from events"""
+         cast(ts as date) as date_of_seconds, date '1970-01-01' as date_of_nothing from events"""
 )
 def epoch_date_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Day of an epoch in millis (null counts as day 0) and in seconds."""
+    """Day of a nested epoch in millis (null and a path to nowhere count as day 0) and in seconds."""
     millis = _millis("ts").cast("decimal(23,0)")
-    return _table(spark, sf_dir, "events").select(
+    reports = _table(spark, sf_dir, "events").select(
+        "event_id",
+        F.struct(
+            F.when(F.col("event_type") != "error", millis).alias("received_timestamp"),
+            F.unix_seconds(F.col("ts").cast("timestamp")).alias("start_period"),
+        ).alias("report"),
+    )
+    return reports.select(
         "event_id",
-        epoch_day(F.when(F.col("event_type") != "error", millis)).alias("date"),
-        epoch_day(F.unix_seconds(F.col("ts").cast("timestamp")), 86_400).alias("date_of_seconds"),
+        epoch_day(path_or_null(reports, "report.received_timestamp")).alias("date"),
+        epoch_day(path_or_null(reports, "report.start_period"), 86_400).alias("date_of_seconds"),
+        epoch_day(path_or_null(reports, "report.sent.timestamp")).alias("date_of_nothing"),
     )
 
 
@@ -424,20 +433,22 @@ def size_bounded_batches_by_prefix(spark: SparkSession, sf_dir: str) -> DataFram
 
 # --- objects and ingest -----------------------------------------------------
 
-_OBJECT_ROWS = 1_000  # events per written object, so no task builds a larger one
+_OBJECT_ROWS = 50_000  # events per written object at most, so no task builds a larger one
 
 
 def _objects(events: DataFrame, columns: list[Column], encode: Callable[[pd.DataFrame], list[bytes]]) -> DataFrame:
-    """``name, content``: framed gzip objects of consecutive events, named by their first time."""
+    """``name, content``: framed gzip objects of one day's consecutive events, named by their first time."""
 
-    def build(pdf: pd.DataFrame) -> pd.DataFrame:
+    def build(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("event_id")
-        name = f"events.{pdf['millis'].iloc[0]}.gz"
+        day, number = key
+        name = f"events-{day}-{number}.{pdf['millis'].min()}.gz"
         return pd.DataFrame({"name": [name], "content": [frame_object(encode(pdf))]})
 
+    millis = _millis("ts")
     return (
-        events.select(F.floor(F.col("event_id") / _OBJECT_ROWS).alias("object"), "event_id", _millis("ts").alias("millis"), *columns)
-        .groupBy("object")
+        events.select("event_id", millis.alias("millis"), *columns)
+        .groupBy(F.floor(F.col("millis") / MILLIS_PER_DAY), F.floor(F.col("event_id") / _OBJECT_ROWS))
         .applyInPandas(build, "name string, content binary")
     )
 
@@ -505,7 +516,7 @@ def _reports(bronze: DataFrame) -> DataFrame:
 
 def _ingest(spark: SparkSession, root: str, target: str) -> None:
     ingest_objects(
-        spark, root, target, target + "-checkpoint", event_report_format(), prefix="events", max_bytes_per_trigger=2**20
+        spark, root, target, target + "-checkpoint", event_report_format(), prefix="events", max_bytes_per_trigger=500_000_000
     ).awaitTermination()
 
 
@@ -522,11 +533,11 @@ def proto_ingest_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ingest_late_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Objects of the first half of the month turn up after those of the second; one run repeats."""
     root, target = scratch_dir(spark, "objects"), scratch_dir(spark, "bronze")
-    objects = _report_objects(_table(spark, sf_dir, "events"))
-    late = F.col("name") < "events.1705276800000.gz"
-    write_objects(objects.where(~late), root).count()
+    events = _table(spark, sf_dir, "events")
+    early = F.col("ts") < F.lit("2024-01-15").cast("timestamp_ntz")
+    write_objects(_report_objects(events.where(~early)), root).count()
     _ingest(spark, root, target)
-    write_objects(objects.where(late), root).count()
+    write_objects(_report_objects(events.where(early)), root).count()
     _ingest(spark, root, target)
     _ingest(spark, root, target)
     return _reports(read_bronze(spark, target))

@@ -14,6 +14,8 @@ _local_root: str | None = None
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder under the shared one named by ``spark.checkpoint.dir``.
 
+    Nothing here deletes it again; it lasts as long as the owner of that folder keeps it.
+
     Only where the session names none (tests, local mode) does a temporary folder
     of this machine stand in; on a cluster that would not be shared, so it is refused.
     """

@@ -47,7 +47,9 @@ def ingest_objects(
     only lists, and each task streams its objects through Arrow's file systems:
     for larger objects, and where memory is short.
 
-    ``already_read`` (a ``path`` column) leaves out objects another job loaded.
+    ``already_read`` (a ``path`` column) leaves out objects another job loaded. A
+    ledger too large to broadcast makes that a shuffle of the source rows: use it with
+    ``open_in_tasks``, so that paths are shuffled and not contents.
     Rejected records are left out and counted (``ingest_counts``); their bytes can
     be had with ``ingest_rejects``.
     """

@@ -14,6 +14,7 @@ from lakewright.functions import (
     b58encode_checked,
     epoch_day,
     from_epoch_millis,
+    path_or_null,
     register_functions,
 )
 from lakewright.functions.base58 import ALPHABET, encode_array
@@ -102,3 +103,9 @@ def test_task_functions_need_no_package_on_executors():
     )
     done = subprocess.run([sys.executable, "-c", code], input=payload, capture_output=True, cwd="/", check=True)
     assert done.stdout.decode().strip() == plain_base58(b"\0\1")
+
+
+def test_path_or_null(spark):
+    df = spark.sql("select named_struct('b', named_struct('c', 5), 'l', array(named_struct('x', 1))) a, 1 as `d`")
+    got = df.select(*(path_or_null(df, p).alias(p) for p in ("a.b.c", "d", "a.l.x", "a.z", "d.e", "q"))).first()
+    assert tuple(got) == (5, 1, None, None, None, None)

@@ -18,7 +18,7 @@ from lakewright.operators.resume import ledger_of
 from lakewright.plans.backfill import pending_rows
 from lakewright.sources.listing import list_objects, read_objects
 from lakewright.sources.messages import MessageFormat, decode_objects, reject_records
-from lakewright.sources.schema_history import SchemaConflict, evolve
+from lakewright.sources.schema_history import SchemaConflict, evolve, record_schema
 from lakewright.streaming.ingest import ingest_counts, ingest_objects, ingest_rejects, read_bronze
 from tests.protos import all_types, message_class
 
@@ -191,6 +191,9 @@ def test_stream_ingest_end_to_end(spark, tmp_path):
     whole = frame_object([record(70 + i, 7) for i in range(500)])
     write(src, f"all.{T0 + 7 * DAY}.gz", whole[: len(whole) // 2])
 
+    record_schema(spark, out, fmt.schema())
+    assert read_bronze(spark, out).count() == 0  # known before the first batch
+
     def run():
         q = ingest_objects(spark, src, out, ck, fmt, prefix="all", max_bytes_per_trigger=150)
         q.awaitTermination()

@@ -16,7 +16,7 @@ from lakewright.operators.quantile import narrowed_quantile
 from lakewright.operators.ranking import rank_order, share_by_group, top_groups
 from lakewright.operators.resume import pending_objects, resume_point
 from lakewright.operators.summary import column_summary
-from lakewright.plans.country_ranking import daily_country_ranking, latest_ranking, ranked_share, read_history
+from lakewright.plans.country_ranking import daily_country_ranking, latest_ranking, located_amounts, ranked_share, read_history
 from lakewright.scratch import input_bytes, scratch_dir, stage
 from lakewright.sources.listing import millis_glob, name_millis, name_prefix, object_uri, select_objects, strip_root
 from lakewright.sources.schema_history import union_versions
@@ -114,6 +114,35 @@ def test_quantile_counts_amounts_without_place(spark):
     assert ranked_share(amounts, places).first()["sum"] == 10.0
 
 
+def test_hot_entity_is_split(spark):
+    """One gateway holds a third of the rows and the places are too large to broadcast."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+    }
+    old = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        amounts = spark.range(0, 300_000, 1, 8).select(
+            F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 1000).alias("gateway"),
+            (F.col("id") + 1).alias("amount"),
+        )
+        places = spark.range(1000).select(F.col("id").alias("gateway"), F.concat(F.lit("c"), F.col("id") % 5).alias("country"))
+        joined = located_amounts(amounts, places, "gateway", "amount", "country")
+        assert joined.agg(F.sum("amount")).first()[0] == 300_000 * 300_001 // 2
+        joined.collect()
+        assert "SortMergeJoin(skew=true)" in joined._jdf.queryExecution().executedPlan().toString()
+        small = ranked_share(amounts, places, amount="amount", small_bytes=10**12)
+        large = ranked_share(amounts, places, amount="amount", small_bytes=0)
+        assert rank_order(small, "country").collect() == rank_order(large, "country").collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
 def test_zero_total_gives_null_percent(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", -1.0), ("b", 0.0)], "g string, v double")
     assert {r.percent for r in share_by_group(df, "g", "v").collect()} == {None}
