@@ -23,23 +23,22 @@ _NO_BATCH = -1  # entry state of the first chunk: no batch is open
 _SPAN = 512  # chunks summed up by one task on the way to the chain
 
 
-def _break_after(prefix: np.ndarray, start: np.ndarray | int, room: np.ndarray | int) -> np.ndarray:
-    """First item k >= start whose inclusive sum exceeds prefix[start] + room."""
-    return np.searchsorted(prefix, prefix[start] + room, side="right") - 1
+def _starts(sizes: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sums before each item, and for a batch started at each item the start of the next one."""
+    prefix = np.concatenate([[0], np.cumsum(sizes)])
+    at = np.arange(len(sizes))
+    return prefix, np.maximum(np.searchsorted(prefix, prefix[at] + limit, side="right") - 1, at + 1)
 
 
-def _runs(sizes: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """For a batch started at each item: next start, closed batches and bytes left at the end."""
-    n = len(sizes)
-    prefix = np.concatenate([[0], np.cumsum(sizes)])
-    at = np.arange(n)
-    following = np.maximum(_break_after(prefix, at, limit), at + 1)
-    closed = np.zeros(n + 1, dtype=np.int64)
-    left = np.zeros(n + 1, dtype=np.int64)
+def _ends(prefix: np.ndarray, following: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For a batch started at each item: batches closed from there, bytes open at the end."""
+    n = len(following)
+    closed, left = np.zeros(n, dtype=np.int64), prefix[n] - prefix[:n]
     for j in range(n - 1, -1, -1):
         k = following[j]
-        closed[j], left[j] = (0, prefix[n] - prefix[j]) if k >= n else (closed[k] + 1, left[k])
-    return prefix, following, closed, left
+        if k < n:
+            closed[j], left[j] = closed[k] + 1, left[k]
+    return closed, left
 
 
 def _chunk_summary(sizes: np.ndarray, limit: int) -> dict:
@@ -48,7 +47,8 @@ def _chunk_summary(sizes: np.ndarray, limit: int) -> dict:
     Only an item within the first ``limit`` bytes can. ``prefix`` has one sum more
     than there are such items.
     """
-    prefix, _, closed, left = _runs(sizes, limit)
+    prefix, following = _starts(sizes, limit)
+    closed, left = _ends(prefix, following)
     items = min(int(np.searchsorted(prefix, limit, side="right")), len(sizes))
     return {
         "total": int(prefix[-1]),
@@ -158,7 +158,7 @@ def assign_batches(
         pdf = pdf.sort_values(order)
         sizes = pdf[size].to_numpy(dtype=np.int64)
         state, first = int(entry["_state"].iloc[0]), int(entry["_first"].iloc[0])
-        prefix, following, _, _ = _runs(sizes, limit)
+        prefix, following = _starts(sizes, limit)
         starts = np.zeros(len(sizes), dtype=np.int64)
         at = int(_enter(np.array(state), prefix, limit))
         while at < len(sizes):

@@ -213,9 +213,9 @@ class _Decoder:
         days = (e // self.fmt.date_divisor if e else missing for e in epochs)
         return [d if isinstance(d, str) or abs(d) < 2**31 else "date is out of range" for d in days]
 
-    def batches(self, rows: Iterator[tuple[str, pa.NativeFile]]) -> Iterator[tuple[list, list]]:
-        """``(accepted, rejected)``: (file, message, day) and (file, offset, error, record)."""
-        parsed: list[tuple] = []
+    def batches(self, rows: Iterator[tuple[str, pa.NativeFile]]) -> Iterator[tuple[tuple, list]]:
+        """``(accepted, rejected)``: lists of files, messages and days; and (file, offset, error, record)."""
+        parsed: tuple = ([], [], [], [])
         rejected: list[tuple] = []
         size = 0
         for path, file in rows:
@@ -223,27 +223,31 @@ class _Decoder:
                 for offset, record in frames(file, self.fmt.max_frame_bytes):
                     size += len(record)
                     try:
-                        parsed.append((path, offset, record, self.parse(record)))
+                        message = self.parse(record)
                     except DecodeError as err:
                         rejected.append((path, offset, f"not a {self.descriptor.name}: {err}", record))
-                    if size >= self.fmt.batch_bytes or len(parsed) + len(rejected) >= _BATCH_ROWS:
+                    else:
+                        for column, value in zip(parsed, (path, message, offset, record)):
+                            column.append(value)
+                    if size >= self.fmt.batch_bytes or len(parsed[0]) + len(rejected) >= _BATCH_ROWS:
                         yield self._dated(parsed, rejected)
-                        parsed, rejected, size = [], [], 0
+                        parsed, rejected, size = ([], [], [], []), [], 0
             except FrameError as err:
                 rejected.append((path, err.offset, str(err), None))
-        if parsed or rejected:
+        if parsed[0] or rejected:
             yield self._dated(parsed, rejected)
 
-    def _dated(self, parsed: list, rejected: list) -> tuple[list, list]:
+    def _dated(self, parsed: tuple, rejected: list) -> tuple[tuple, list]:
+        files, messages, offsets, records = parsed
         if self.fmt.date_field is None:
-            return [(p, m, 0) for p, _, _, m in parsed], rejected
-        accepted = []
-        for (path, offset, record, msg), day in zip(parsed, self._days([p[3] for p in parsed])):
-            if isinstance(day, str):
-                rejected.append((path, offset, day, record))
-            else:
-                accepted.append((path, msg, day))
-        return accepted, rejected
+            return (files, messages, None), rejected
+        days = self._days(messages)
+        bad = [i for i, day in enumerate(days) if isinstance(day, str)]
+        if bad:
+            rejected += [(files[i], offsets[i], days[i], records[i]) for i in bad]
+            good = [i for i, day in enumerate(days) if not isinstance(day, str)]
+            files, messages, days = ([column[i] for i in good] for column in (files, messages, days))
+        return (files, messages, days), rejected
 
 
 def decode_objects(df: DataFrame, fmt: MessageFormat) -> DataFrame:
@@ -260,14 +264,13 @@ def decode_objects(df: DataFrame, fmt: MessageFormat) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = _Decoder(fmt)
-        for accepted, rejected in decoder.batches(objects(batches)):
-            if accepted:
-                columns = _columns(decoder.descriptor, [m for _, m, _ in accepted], body, fmt.missing)
-                if fmt.date_field is not None:
-                    days = np.fromiter((d for _, _, d in accepted), dtype=np.int32, count=len(accepted))
-                    columns.append(pa.array(days).cast(pa.date32()))
-                columns.append(pa.array([p for p, _, _ in accepted], pa.string()))
-                columns.append(pa.nulls(len(accepted), pa.string()))
+        for (files, messages, days), rejected in decoder.batches(objects(batches)):
+            if files:
+                columns = _columns(decoder.descriptor, messages, body, fmt.missing)
+                if days is not None:
+                    columns.append(pa.array(days, pa.int32()).cast(pa.date32()))
+                columns.append(pa.array(files, pa.string()))
+                columns.append(pa.nulls(len(files), pa.string()))
                 yield pa.RecordBatch.from_arrays(columns, schema=arrow)
             if rejected:
                 nulls = [pa.nulls(len(rejected), f.type) for f in arrow][:-2]
