@@ -102,6 +102,33 @@ def test_stream_job_restarts_without_duplicates(spark, tmp_path):
         run("select max(end_period) m, date from reward_share group by date", ck + "2")
 
 
+def test_stream_job_on_an_interval(spark, tmp_path):
+    src, out, ck = (str(tmp_path / n) for n in ("src", "out", "ck"))
+    reward_rows(spark).write.parquet(src)
+    query = run_sql_job(
+        spark, SILVER_SQL, {"reward_share": src}, out, streaming=True, partition_by=["date"], checkpoint=ck, interval="1 second"
+    )
+    try:
+        query.processAllAvailable()
+        reward_rows(spark).write.mode("append").parquet(src)
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert spark.read.parquet(out).count() == 4
+
+
+def test_stream_job_refuses_what_cannot_work(spark, tmp_path):
+    src = str(tmp_path / "src")
+    reward_rows(spark).write.parquet(src)
+    tables = {"reward_share": src}
+    with pytest.raises(ValueError, match="checkpoint"):
+        run_sql_job(spark, SILVER_SQL, tables, "o", streaming=True)
+    with pytest.raises(ValueError, match="Continuous"):
+        run_sql_job(spark, SILVER_SQL, tables, "o", streaming=True, checkpoint="c", trigger="Continuous")
+    with pytest.raises(ValueError, match="no streaming table"):
+        run_sql_job(spark, "select 1 as date", tables, "o", streaming=True, checkpoint="c")
+
+
 def test_job_from_environment(spark, tmp_path):
     src, out, query = str(tmp_path / "src"), str(tmp_path / "out"), tmp_path / "q.sql"
     reward_rows(spark).write.parquet(src)
