@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 HEADER, HEADER_BYTES = ">I", 4
 MAX_FRAME_BYTES = 8 * 1024 * 1024
 BATCH_BYTES = 64 * 1024 * 1024
+BATCH_ROWS = 20_000  # records held at once, however small
 
 _PIECE = 64 * 1024
 
@@ -136,6 +137,18 @@ def object_columns(df: DataFrame) -> DataFrame:
     return df.select(*(c for c in ("path", "content") if c in df.columns))
 
 
+def records(
+    batches: Iterator[pa.RecordBatch], max_frame: int = MAX_FRAME_BYTES
+) -> Iterator[tuple[str, int, bytes | None, str | None]]:
+    """``(file, offset, record, error)`` of object rows; where an object breaks, one without a record."""
+    for path, file in objects(batches):
+        try:
+            for offset, record in frames(file, max_frame):
+                yield path, offset, record, None
+        except FrameError as err:
+            yield path, err.offset, None, str(err)
+
+
 _RECORD_SCHEMA = "file string, offset bigint, record binary, error string"
 
 
@@ -153,20 +166,19 @@ def read_records(
         [("file", pa.string()), ("offset", pa.int64()), ("record", pa.binary()), ("error", pa.string())]
     )
 
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(list(map(pa.array, zip(*rows), arrow.types)), schema=arrow)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
         size = 0
-        for path, file in objects(batches):
-            try:
-                for offset, record in frames(file, max_frame):
-                    rows.append((path, offset, record, None))
-                    size += len(record)
-                    if size >= batch_bytes:
-                        yield pa.RecordBatch.from_arrays(list(map(pa.array, zip(*rows), arrow.types)), schema=arrow)
-                        rows, size = [], 0
-            except FrameError as err:
-                rows.append((path, err.offset, None, str(err)))
+        for row in records(batches, max_frame):
+            rows.append(row)
+            size += len(row[2] or b"")
+            if size >= batch_bytes or len(rows) >= BATCH_ROWS:
+                yield batch_of(rows)
+                rows, size = [], 0
         if rows:
-            yield pa.RecordBatch.from_arrays(list(map(pa.array, zip(*rows), arrow.types)), schema=arrow)
+            yield batch_of(rows)
 
     return object_columns(df).mapInArrow(run, _RECORD_SCHEMA)

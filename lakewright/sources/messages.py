@@ -8,7 +8,7 @@ batch of them and transposes it field by field into Arrow columns.
 from __future__ import annotations
 
 import itertools
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -17,11 +17,12 @@ from google.protobuf import descriptor_pb2, descriptor_pool, message_factory
 from google.protobuf.descriptor import Descriptor, FieldDescriptor
 from google.protobuf.message import DecodeError
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql import types as T
 
 from lakewright.functions.epoch import MILLIS_PER_DAY
-from lakewright.sources.framing import BATCH_BYTES, MAX_FRAME_BYTES, FrameError, frames, object_columns, objects
+from lakewright.sources.framing import BATCH_BYTES, BATCH_ROWS, MAX_FRAME_BYTES, object_columns, read_records, records
 
 # Table type of each protobuf scalar.
 _SCALARS = {
@@ -41,7 +42,7 @@ _INTEGRAL = {
     FieldDescriptor.CPPTYPE_UINT64,
 }
 
-_BATCH_ROWS = 20_000  # parsed messages held at once, whatever their size
+_SPREAD_BYTES = 16 * 1024 * 1024  # uncompressed piece of a large object that one task parses
 
 
 @dataclass(frozen=True)
@@ -90,6 +91,9 @@ class MessageFormat:
     def schema(self) -> T.StructType:
         """Columns of the decoded table: the message's fields, ``date`` if wanted, ``file``."""
         schema = message_schema(self.descriptor())
+        added = {"file", "error"} | ({"date"} if self.date_field is not None else set())
+        if added & set(schema.fieldNames()):
+            raise ValueError(f"fields {sorted(added & set(schema.fieldNames()))} of {self.message} clash with added columns")
         if self.date_field is not None:
             schema = schema.add("date", T.DateType())
         return schema.add("file", T.StringType())
@@ -198,7 +202,7 @@ _REJECT_SCHEMA = T.StructType(
 
 
 class _Decoder:
-    """Splits, parses and dates the records of one task, in bounded batches."""
+    """Parses and dates the records of one task, in bounded batches."""
 
     def __init__(self, fmt: MessageFormat):
         self.fmt = fmt
@@ -213,27 +217,29 @@ class _Decoder:
         days = (e // self.fmt.date_divisor if e else missing for e in epochs)
         return [d if isinstance(d, str) or abs(d) < 2**31 else "date is out of range" for d in days]
 
-    def batches(self, rows: Iterator[tuple[str, pa.NativeFile]]) -> Iterator[tuple[tuple, list]]:
-        """``(accepted, rejected)``: lists of files, messages and days; and (file, offset, error, record)."""
+    def batches(self, rows: Iterator[tuple[str, int, bytes | None, str | None]]) -> Iterator[tuple[tuple, list]]:
+        """``(accepted, rejected)`` of (file, offset, record, error) rows.
+
+        Accepted are lists of files, messages and days; rejected rows are (file, offset, error, record).
+        """
         parsed: tuple = ([], [], [], [])
         rejected: list[tuple] = []
         size = 0
-        for path, file in rows:
+        for path, offset, record, error in rows:
+            if record is None:
+                rejected.append((path, offset, error, None))
+                continue
             try:
-                for offset, record in frames(file, self.fmt.max_frame_bytes):
-                    size += len(record)
-                    try:
-                        message = self.parse(record)
-                    except DecodeError as err:
-                        rejected.append((path, offset, f"not a {self.descriptor.name}: {err}", record))
-                    else:
-                        for column, value in zip(parsed, (path, message, offset, record)):
-                            column.append(value)
-                    if size >= self.fmt.batch_bytes or len(parsed[0]) + len(rejected) >= _BATCH_ROWS:
-                        yield self._dated(parsed, rejected)
-                        parsed, rejected, size = ([], [], [], []), [], 0
-            except FrameError as err:
-                rejected.append((path, err.offset, str(err), None))
+                message = self.parse(record)
+            except DecodeError as err:
+                rejected.append((path, offset, f"not a {self.descriptor.name}: {err}", record))
+            else:
+                for column, value in zip(parsed, (path, message, offset, record)):
+                    column.append(value)
+            size += len(record)
+            if size >= self.fmt.batch_bytes or len(parsed[0]) + len(rejected) >= BATCH_ROWS:
+                yield self._dated(parsed, rejected)
+                parsed, rejected, size = ([], [], [], []), [], 0
         if parsed[0] or rejected:
             yield self._dated(parsed, rejected)
 
@@ -250,13 +256,7 @@ class _Decoder:
         return (files, messages, days), rejected
 
 
-def decode_objects(df: DataFrame, fmt: MessageFormat) -> DataFrame:
-    """Typed rows of the objects in ``path`` (and ``content``) rows, plus an ``error`` column.
-
-    ``error`` is null on a good row. A rejected record becomes a row of nulls with
-    its file and error, so it can be counted in the same pass; ``reject_records``
-    gives its bytes.
-    """
+def _decode(df: DataFrame, fmt: MessageFormat, rows_of: Callable) -> DataFrame:
     schema = fmt.schema()
     full = T.StructType(schema.fields + [T.StructField("error", T.StringType())])
     arrow = to_arrow_schema(full)
@@ -264,7 +264,7 @@ def decode_objects(df: DataFrame, fmt: MessageFormat) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = _Decoder(fmt)
-        for (files, messages, days), rejected in decoder.batches(objects(batches)):
+        for (files, messages, days), rejected in decoder.batches(rows_of(batches)):
             if files:
                 columns = _columns(decoder.descriptor, messages, body, fmt.missing)
                 if days is not None:
@@ -278,7 +278,44 @@ def decode_objects(df: DataFrame, fmt: MessageFormat) -> DataFrame:
                 error = pa.array([r[2] for r in rejected], pa.string())
                 yield pa.RecordBatch.from_arrays([*nulls, file, error], schema=arrow)
 
-    return object_columns(df).mapInArrow(run, full)
+    return df.mapInArrow(run, full)
+
+
+def decode_objects(df: DataFrame, fmt: MessageFormat) -> DataFrame:
+    """Typed rows of the objects in ``path`` (and ``content``) rows, plus an ``error`` column.
+
+    ``error`` is null on a good row. A rejected record becomes a row of nulls with
+    its file and error, so it can be counted in the same pass; ``reject_records``
+    gives its bytes.
+    """
+    return _decode(object_columns(df), fmt, lambda batches: records(batches, fmt.max_frame_bytes))
+
+
+def decode_records(df: DataFrame, fmt: MessageFormat) -> DataFrame:
+    """The same from the rows of ``read_records``.
+
+    Splitting an object into records is the light part of reading it. Done as a
+    stage of its own, the records of a few large objects can be spread over many
+    tasks before they are parsed.
+    """
+
+    def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for batch in batches:
+            yield from zip(*(column.to_pylist() for column in batch.columns))
+
+    return _decode(df.select("file", "offset", "record", "error"), fmt, rows_of)
+
+
+def decode_spread(df: DataFrame, fmt: MessageFormat, large_bytes: int, tasks: int) -> DataFrame:
+    """As ``decode_objects``, with the records of objects above ``large_bytes`` spread over ``tasks``.
+
+    Needs the ``length`` column. Each branch reads the contents of its own objects only.
+    """
+    large = read_records(df.where(F.col("length") > large_bytes), fmt.max_frame_bytes, fmt.batch_bytes)
+    runs = F.floor(F.col("offset") / _SPREAD_BYTES)  # neighbours stay together, and with them their date
+    return decode_objects(df.where(F.col("length") <= large_bytes), fmt).unionByName(
+        decode_records(large.repartition(tasks, "file", runs), fmt)
+    )
 
 
 def reject_records(df: DataFrame, fmt: MessageFormat) -> DataFrame:
@@ -286,7 +323,7 @@ def reject_records(df: DataFrame, fmt: MessageFormat) -> DataFrame:
     arrow = to_arrow_schema(_REJECT_SCHEMA)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, rejected in _Decoder(fmt).batches(objects(batches)):
+        for _, rejected in _Decoder(fmt).batches(records(batches, fmt.max_frame_bytes)):
             if rejected:
                 columns = [pa.array(c, t) for c, t in zip(zip(*rejected), arrow.types)]
                 yield pa.RecordBatch.from_arrays(columns, schema=arrow)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lakewright.sources.listing import stream_objects
-from lakewright.sources.messages import MessageFormat, decode_objects, reject_records
+from lakewright.sources.messages import MessageFormat, decode_objects, decode_spread, reject_records
 from lakewright.sources.schema_history import record_schema
 from lakewright.sources.tables import read_table
 from lakewright.streaming.triggers import trigger_options
@@ -35,6 +35,7 @@ def ingest_objects(
     interval: str | None = None,
     table_format: str = "parquet",
     open_in_tasks: bool = False,
+    spread_above: int | None = None,
 ) -> StreamingQuery:
     """Start appending the objects under ``source`` to the table at ``target``.
 
@@ -47,6 +48,10 @@ def ingest_objects(
     only lists, and each task streams its objects through Arrow's file systems:
     for larger objects, and where memory is short.
 
+    One task reads one object. Where single objects are large, those above
+    ``spread_above`` bytes are only split into records by that task, and the
+    records are parsed by all.
+
     ``already_read`` (a ``path`` column) leaves out objects another job loaded. A
     ledger too large to broadcast makes that a shuffle of the source rows: use it with
     ``open_in_tasks``, so that paths are shuffled and not contents.
@@ -61,9 +66,12 @@ def ingest_objects(
         source_rows = source_rows.drop("content")
     if already_read is not None:
         source_rows = source_rows.join(already_read.select("path"), "path", "left_anti")
+    if spread_above is None:
+        decoded = decode_objects(source_rows, fmt)
+    else:
+        decoded = decode_spread(source_rows, fmt, spread_above, spark.sparkContext.defaultParallelism)
     rows = (
-        decode_objects(source_rows, fmt)
-        .observe(
+        decoded.observe(
             _METRICS,
             F.count(F.when(F.col("error").isNull(), 1)).alias("accepted"),
             F.count("error").alias("rejected"),

@@ -88,6 +88,12 @@ def mobile_share():
     return _set(_file("mobile.proto", [radio, gateway, m]))
 
 
+def clashing():
+    m = descriptor_pb2.DescriptorProto(name="clashing")
+    m.field.append(_field("file", 1, FDP.TYPE_STRING))
+    return _set(_file("clash.proto", [m]))
+
+
 def message_class(descriptor_set, name):
     pool = descriptor_pool.DescriptorPool()
     for f in descriptor_pb2.FileDescriptorSet.FromString(descriptor_set).file:

@@ -17,10 +17,10 @@ from lakewright.sources.framing import FrameError, frames, read_records
 from lakewright.operators.resume import ledger_of
 from lakewright.plans.backfill import pending_rows
 from lakewright.sources.listing import list_objects, read_objects
-from lakewright.sources.messages import MessageFormat, decode_objects, reject_records
+from lakewright.sources.messages import MessageFormat, decode_objects, decode_spread, reject_records
 from lakewright.sources.schema_history import SchemaConflict, evolve, record_schema
 from lakewright.streaming.ingest import ingest_counts, ingest_objects, ingest_rejects, read_bronze
-from tests.protos import all_types, message_class
+from tests.protos import all_types, clashing, message_class
 
 DAY = 86_400_000
 T0 = 1_700_000_000_000
@@ -268,6 +268,39 @@ def test_tasks_open_objects_themselves(spark, tmp_path):
     assert sorted(r.i32 for r in rows.collect()) == [50, 51, 52]
 
 
+def test_large_objects_are_spread(spark, tmp_path, monkeypatch):
+    import lakewright.sources.messages as messages
+
+    monkeypatch.setattr(messages, "_SPREAD_BYTES", 2000)
+    cls = message_class(all_types(), "all_types")
+    src, out, ck = (str(tmp_path / n) for n in ("src", "out", "ck"))
+    fmt = MessageFormat(all_types(), "all_types", date_field="u64")
+    write(src, f"all.{T0}.gz", [cls(i32=i, u64=T0).SerializeToString() for i in range(3000)] + [b"\xff\xff"])
+    write(src, f"all.{T0 + 1}.gz", [cls(i32=-1, u64=T0).SerializeToString()])
+    objects = read_objects(spark, src)
+    spread = decode_spread(objects, fmt, 1000, 8)
+    assert spread.where("i32 >= 0").groupBy(F.spark_partition_id()).count().count() > 4
+    plain = decode_objects(objects, fmt)
+    assert spread.count() == 3002 and spread.select("i32", "date", "file", "error").exceptAll(
+        plain.select("i32", "date", "file", "error")
+    ).isEmpty()
+    q = ingest_objects(spark, src, out, ck, fmt, spread_above=1000)
+    q.awaitTermination()
+    assert ingest_counts(q) == {"accepted": 3001, "rejected": 1}
+    assert read_bronze(spark, out).select("i32").distinct().count() == 3001
+
+
+def test_many_empty_records(spark, tmp_path):
+    src = str(tmp_path / "src")
+    write(src, f"a.{T0}.gz", [b""] * 45_000)
+    assert read_records(read_objects(spark, src)).where("length(record) = 0").count() == 45_000
+
+
+def test_field_names_must_not_clash():
+    with pytest.raises(ValueError, match="file"):
+        MessageFormat(clashing(), "clashing").schema()
+
+
 def test_exclusions(spark, tmp_path):
     cls = message_class(all_types(), "all_types")
     src, out, ck = (str(tmp_path / n) for n in ("src", "out", "ck"))
