@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakewright.sources.schema_history import record_schema
+from lakewright.sources.schema_history import path_is_missing, record_schema
 
 
 def extend_history(history: DataFrame, new: DataFrame, date: str = "date") -> DataFrame:
@@ -27,8 +27,9 @@ def append_history(new: DataFrame, path: str, date: str = "date") -> None:
     try:
         known = spark.read.schema(schema).parquet(path).select(date).distinct()
         new = new.join(known, date, "left_anti")
-    except AnalysisException:  # no table yet
-        pass
+    except AnalysisException as err:
+        if not path_is_missing(err):
+            raise
     (
         new.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

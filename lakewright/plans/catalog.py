@@ -16,8 +16,9 @@ from lakewright.operators.batching import assign_batches
 from lakewright.operators.history import append_history, extend_history
 from lakewright.operators.outliers import keep_positive, trim_above_quantile
 from lakewright.operators.ranking import rank_order, top_groups
-from lakewright.operators.resume import pending_objects, resume_point
+from lakewright.operators.resume import ledger_of, pending_objects, resume_point
 from lakewright.operators.summary import column_summary as summarise
+from lakewright.plans.backfill import pending_rows
 from lakewright.plans.country_ranking import ranked_share
 from lakewright.plans.rewards import active_entities, iot_rewards, latest_by_key, mobile_rewards
 from lakewright.plans.sample_messages import KINDS, event_report_format
@@ -514,9 +515,9 @@ def _reports(bronze: DataFrame) -> DataFrame:
     )
 
 
-def _ingest(spark: SparkSession, root: str, target: str) -> None:
+def _ingest(spark: SparkSession, root: str, target: str, **options) -> None:
     ingest_objects(
-        spark, root, target, target + "-checkpoint", event_report_format(), prefix="events", max_bytes_per_trigger=500_000_000
+        spark, root, target, target + "-checkpoint", event_report_format(), prefix="events", **options
     ).awaitTermination()
 
 
@@ -543,6 +544,26 @@ def ingest_late_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _reports(read_bronze(spark, target))
 
 
+@_query(_REPORTS_SQL)
+def ingest_pending_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the objects are ingested as a stream; the ledger of the table gives the rest as a batch."""
+    root, target = scratch_dir(spark, "objects"), scratch_dir(spark, "bronze")
+    write_objects(_report_objects(_table(spark, sf_dir, "events")), root).count()
+    _ingest(spark, root, target, before=1_705_276_800_000, open_in_tasks=True)
+    bronze = read_bronze(spark, target)
+    rest = pending_rows(spark, root, ledger_of(bronze), event_report_format(), prefix="events")
+    return _reports(bronze.unionByName(rest.where("error is null").drop("error")))
+
+
+@_query(_REPORTS_SQL)
+def ingest_large_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records of every object above 16 KB are spread over the tasks before they are parsed."""
+    root, target = scratch_dir(spark, "objects"), scratch_dir(spark, "bronze")
+    write_objects(_report_objects(_table(spark, sf_dir, "events")), root).count()
+    _ingest(spark, root, target, spread_above=16_384)
+    return _reports(read_bronze(spark, target))
+
+
 @_query(
     """select case when event_type = 'error' then 'rejected' else 'accepted' end as outcome, count(*) as n
        from events group by 1"""

@@ -13,6 +13,7 @@ from lakewright.operators.outliers import keep_positive, trim_above_quantile
 from lakewright.operators.quantile import SMALL_INPUT_BYTES
 from lakewright.operators.ranking import rank_order, share_by_group
 from lakewright.scratch import input_bytes, stage
+from lakewright.sources.schema_history import path_is_missing
 from lakewright.sources.tables import read_table
 
 
@@ -79,8 +80,10 @@ def read_history(spark: SparkSession, path: str) -> DataFrame | None:
     """The history table, or None before the first day."""
     try:
         return read_table(spark, path)
-    except AnalysisException:
-        return None
+    except AnalysisException as err:
+        if path_is_missing(err):
+            return None
+        raise
 
 
 def latest_ranking(history: DataFrame) -> DataFrame:

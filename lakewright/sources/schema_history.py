@@ -18,6 +18,10 @@ _HISTORY = "_schema_history"  # the leading underscore hides it from data reader
 _ROW = "version int, schema_json string"
 
 
+def path_is_missing(err: AnalysisException) -> bool:
+    return err.getCondition() == "PATH_NOT_FOUND"
+
+
 class SchemaConflict(ValueError):
     """The new schema drops a column or changes its type."""
 
@@ -63,8 +67,10 @@ def latest_schema(spark: SparkSession, table: str) -> StructType | None:
             .orderBy(F.desc("version"))
             .first()
         )
-    except AnalysisException:  # no such path
-        return None
+    except AnalysisException as err:
+        if path_is_missing(err):
+            return None
+        raise
     return StructType.fromJson(json.loads(row.schema_json)) if row else None
 
 
