@@ -95,13 +95,20 @@ def narrowed_quantile(df: DataFrame, column: str, q: float) -> float | None:
 
 
 def quantile(
-    df: DataFrame, column: str, q: float, method: str = "auto", small_bytes: int = SMALL_INPUT_BYTES
+    df: DataFrame,
+    column: str,
+    q: float,
+    method: str = "auto",
+    small_bytes: int = SMALL_INPUT_BYTES,
+    accuracy: int = 100_000,
 ) -> Column:
     """The exact interpolated quantile as a scalar column, for use in a filter or projection.
 
     ``builtin`` is Spark's percentile as a scalar subquery, evaluated with the query
     that uses it. ``narrow`` computes the value now. ``auto`` takes the built-in only
     for input whose size, by Catalyst's estimate of what ``df`` reads, is small.
+    ``approx``, never taken unasked, is Spark's sketch: one pass, a value of the data
+    whose rank is off by at most one part in ``accuracy``.
     """
     if method == "auto":
         method = "builtin" if input_bytes(df) <= small_bytes else "narrow"
@@ -109,4 +116,6 @@ def quantile(
         return df.agg(F.percentile(F.col(column), F.lit(q))).scalar()
     if method == "narrow":
         return F.lit(narrowed_quantile(df, column, q)).cast("double")
-    raise ValueError("method must be 'auto', 'builtin' or 'narrow'")
+    if method == "approx":
+        return df.agg(F.percentile_approx(F.col(column).cast("double"), q, accuracy)).scalar()
+    raise ValueError("method must be 'auto', 'builtin', 'narrow' or 'approx'")

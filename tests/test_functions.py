@@ -65,11 +65,13 @@ def test_sql_names(spark):
         """select b58encodeChecked(unbase64('AI4B2MNOkMZkGyMbTG1h8ktdcNlVOhJvwTgMmdkhwmuV')) c,
                   b58encode(X'0001') b, from_epoch_millis(1700000000123) t,
                   from_epoch_millis(cast(1700000000123 as decimal(23,0))) td,
-                  from_epoch_millis(null) tn, b58encodeChecked(null) cn"""
+                  from_epoch_millis(null) tn, b58encodeChecked(null) cn,
+                  b58encode('abc') s, b58encodeChecked('abc') sc"""
     ).first()
     assert row.c == KNOWN_TEXT and row.b == plain_base58(b"\0\1")
     assert row.t == row.td and row.t.microsecond == 123000
     assert row.tn is None and row.cn is None
+    assert row.s == plain_base58(b"abc") and row.sc == plain_check(b"abc")
 
 
 def test_epoch_day(spark):

@@ -85,6 +85,14 @@ def test_trim_methods_agree_and_drop_the_maximum(spark, sf):
     assert "LessThan(l_extendedprice" in pushed
 
 
+def test_approximate_trim_is_off_by_few_ranks(spark):
+    df = spark.range(1, 100_001).select(F.col("id").alias("x"))
+    kept = trim_above_quantile(df, "x", 0.999, method="approx").count()
+    assert abs(kept - 99_900) <= 5
+    with pytest.raises(ValueError):
+        trim_above_quantile(df, "x", method="guess")
+
+
 # --- ranking ----------------------------------------------------------------
 
 
