@@ -15,6 +15,8 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # a task of a date-partitioned write sees a few dates: keep their files open, do not sort
+    "spark.sql.maxConcurrentOutputFileWriters": "16",
 }
 
 DELTA = {

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,9 +52,9 @@ def object_uri(key: Column | str, root: str) -> Column:
 def millis_glob(prefix: str, after: int | None, before: int | None) -> str:
     """A name glob that admits every object in the window and little else.
 
-    It bounds the listing the driver keeps: with a start of one day ago, a bucket
-    with years of objects lists one day of them. A superset is enough, because
-    ``in_window`` then decides exactly.
+    Spark still lists the folder, but plans, sorts and remembers only the objects whose
+    names match: with a start of one day ago, one day of them and not years. A superset
+    is enough, because ``in_window`` then decides exactly.
     """
     low, high = after or 0, 10**_DIGITS - 1 if before is None else before
     if low < 10 ** (_DIGITS - 1) or any(c in prefix for c in "*?[]{}\\"):
@@ -165,15 +165,20 @@ def stream_objects(
     exclude: Iterable[str] = (),
     max_bytes_per_trigger: int | None = 500_000_000,
     max_file_age: str | None = None,
+    options: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """The same as an unbounded stream: each trigger takes up to so many bytes of new objects.
 
     An object larger than the limit forms a micro-batch alone. Objects are told
     apart by path, so one with an older name that turns up late is still read.
+    ``options`` go to Spark's file source, for example ``cleanSource`` with
+    ``sourceArchiveDir``, which moves objects away once they are read and so keeps
+    the folder that every trigger lists small.
     """
     reader = spark.readStream.format("binaryFile").schema(OBJECT_SCHEMA)
     if max_bytes_per_trigger is not None:
         reader = reader.option("maxBytesPerTrigger", str(max_bytes_per_trigger))
     if max_file_age is not None:
         reader = reader.option("maxFileAge", max_file_age)
+    reader = reader.options(**(options or {}))
     return _objects(reader, root, prefix, after, before, exclude)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,13 +29,14 @@ def ingest_objects(
     before: int | None = None,
     exclude: Iterable[str] = (),
     already_read: DataFrame | None = None,
-    max_bytes_per_trigger: int = 500_000_000,
+    max_bytes_per_trigger: int | None = 500_000_000,
     max_file_age: str | None = None,
     trigger: str = "AvailableNow",
     interval: str | None = None,
     table_format: str = "parquet",
     open_in_tasks: bool = False,
     spread_above: int | None = None,
+    source_options: Mapping[str, str] | None = None,
 ) -> StreamingQuery:
     """Start appending the objects under ``source`` to the table at ``target``.
 
@@ -55,12 +56,13 @@ def ingest_objects(
     ``already_read`` (a ``path`` column) leaves out objects another job loaded. A
     ledger too large to broadcast makes that a shuffle of the source rows: use it with
     ``open_in_tasks``, so that paths are shuffled and not contents.
+    ``source_options`` are passed on to the file source.
     Rejected records are left out and counted (``ingest_counts``); their bytes can
     be had with ``ingest_rejects``.
     """
     schema = fmt.schema() if table_format != "parquet" else record_schema(spark, target, fmt.schema())
     source_rows = stream_objects(
-        spark, source, prefix, after, before, exclude, max_bytes_per_trigger, max_file_age
+        spark, source, prefix, after, before, exclude, max_bytes_per_trigger, max_file_age, source_options
     )
     if open_in_tasks:
         source_rows = source_rows.drop("content")

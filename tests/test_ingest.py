@@ -314,6 +314,20 @@ def test_exclusions(spark, tmp_path):
     assert [r.i32 for r in read_bronze(spark, out).collect()] == [2]
 
 
+def test_source_options_reach_the_file_source(spark, tmp_path):
+    cls = message_class(all_types(), "all_types")
+    src, out, ck = (str(tmp_path / n) for n in ("src", "out", "ck"))
+    for i in range(3):
+        write(src, f"all.{T0 + i}.gz", [cls(i32=i).SerializeToString()])
+    q = ingest_objects(
+        spark, src, out, ck, MessageFormat(all_types(), "all_types"), source_options={"maxFilesPerTrigger": "1"},
+        max_bytes_per_trigger=None,
+    )
+    q.awaitTermination()
+    assert [p.numInputRows for p in q.recentProgress if p.numInputRows] == [1, 1, 1]
+    assert read_bronze(spark, out).count() == 3
+
+
 def test_evolve():
     old = T.StructType.fromDDL("a int, s struct<x:int>")
     new = T.StructType.fromDDL("s struct<x:int,y:string>, b array<int>, a int")
