@@ -2,32 +2,28 @@
 
 from __future__ import annotations
 
-import tempfile
+import contextlib
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
 _KEY = "spark.checkpoint.dir"
-_local_root: str | None = None
 
 
-def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A fresh folder under the shared one named by ``spark.checkpoint.dir``.
-
-    Nothing here deletes it again; it lasts as long as the owner of that folder keeps it.
+def shared_root(spark: SparkSession) -> str:
+    """The folder all executors share.
 
-    Only where the session names none (tests, local mode) does a temporary folder
-    of this machine stand in; on a cluster that would not be shared, so it is refused.
+    That is ``spark.checkpoint.dir``, else the folder given to ``SparkContext.setCheckpointDir``,
+    else one below the warehouse, where tables are shared anyway.
     """
-    root = spark.conf.get(_KEY, None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {_KEY} to a folder shared by all executors")
-        global _local_root
-        if _local_root is None:
-            _local_root = tempfile.mkdtemp(prefix="lakewright-")
-        root = _local_root
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    root = spark.conf.get(_KEY, None) or spark.sparkContext.getCheckpointDir()
+    return (root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch").rstrip("/")
+
+
+def scratch_dir(spark: SparkSession, label: str) -> str:
+    """A fresh folder name below the shared one. It lasts until ``remove`` or its owner deletes it."""
+    return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def qualified_path(spark: SparkSession, path: str) -> str:
@@ -36,6 +32,12 @@ def qualified_path(spark: SparkSession, path: str) -> str:
     return where.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(where).toString()
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder through its own file system; nothing happens if it is not there."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -47,6 +49,17 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """``stage`` whose folder goes at the end of the block; results must be written inside it."""
+    path = scratch_dir(df.sparkSession, label)
+    try:
+        df.write.parquet(path)
+        yield df.sparkSession.read.schema(df.schema).parquet(path)
+    finally:
+        remove(df.sparkSession, path)
+
+
 def input_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of everything ``df`` reads: the sum over its leaves."""
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()

@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 import math
 import random
 
@@ -17,7 +18,7 @@ from lakewright.operators.ranking import rank_order, share_by_group, top_groups
 from lakewright.operators.resume import pending_objects, resume_point
 from lakewright.operators.summary import column_summary
 from lakewright.plans.country_ranking import daily_country_ranking, latest_ranking, located_amounts, ranked_share, read_history
-from lakewright.scratch import input_bytes, scratch_dir, stage
+from lakewright.scratch import input_bytes, scratch_dir, stage, staged
 from lakewright.sources.listing import millis_glob, name_millis, name_prefix, object_uri, select_objects, strip_root
 from lakewright.sources.schema_history import union_versions
 
@@ -331,23 +332,30 @@ def test_column_summary(spark, sf):
 def test_stage_and_size(spark, sf):
     df = spark.read.parquet(f"{sf}/nation.parquet")
     assert input_bytes(df.crossJoin(df.limit(1))) > input_bytes(df) > 0
-    staged = stage(df, "t")
-    assert staged.count() == 25 and staged.schema == df.schema
+    kept = stage(df, "t")
+    assert kept.count() == 25 and kept.schema == df.schema
+    with staged(df, "t") as copy:
+        (path,) = {os.path.dirname(f) for f in copy.inputFiles()}
+        assert copy.count() == 25
+    assert not os.path.exists(path.removeprefix("file://"))
 
 
 class FakeSession:
     """Just what ``scratch_dir`` reads."""
 
-    def __init__(self, master, setting=None):
-        self.sparkContext = self
-        self.master, self.setting, self.conf = master, setting, self
+    def __init__(self, setting=None, of_context=None):
+        self.sparkContext = self.conf = self
+        self.setting, self.of_context = setting, of_context
 
     def get(self, key, default=None):
-        return self.setting if key == "spark.checkpoint.dir" and self.setting else default
+        return {"spark.checkpoint.dir": self.setting, "spark.sql.warehouse.dir": "hdfs://c/tables/"}[key] or default
+
+    def getCheckpointDir(self):
+        return self.of_context
 
 
 def test_scratch_follows_the_session():
-    assert scratch_dir(FakeSession("yarn", "hdfs://c/shared/"), "x").startswith("hdfs://c/shared/x-")
-    assert scratch_dir(FakeSession("local[2]"), "x") != scratch_dir(FakeSession("local[2]"), "x")
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        scratch_dir(FakeSession("yarn"), "x")
+    assert scratch_dir(FakeSession("hdfs://c/shared/", "hdfs://c/own"), "x").startswith("hdfs://c/shared/x-")
+    assert scratch_dir(FakeSession(None, "hdfs://c/own"), "x").startswith("hdfs://c/own/x-")
+    assert scratch_dir(FakeSession(), "x").startswith("hdfs://c/tables/_scratch/x-")
+    assert scratch_dir(FakeSession(), "x") != scratch_dir(FakeSession(), "x")
