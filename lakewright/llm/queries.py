@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakewright.llm import bpe, exact_dedup, line_dedup, packing
+from lakewright.llm import bpe, exact_dedup, fingerprints, line_dedup, packing, sharding
 
 QUERIES, ORACLES = {}, {}
 
@@ -53,6 +53,15 @@ from marked group by doc_id
 """
 
 
+@query
+def op4_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shard(documents(spark, sf_dir), 8)
+    return placed.select(
+        F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 @query
 def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -78,3 +87,12 @@ def op9_binary_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     pieces = packing.pack(documents(spark, sf_dir), tokenizer, public_tokenizers.PATTERN)
     return pieces.withColumnRenamed("id", "doc_id")
+
+
+@query
+def op10_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fingerprints.compare_with_edits(documents(spark, sf_dir))
+    return found.select(
+        F.col("id").alias("doc_id"), "n_chars", sha256("edited").alias("edited_sha256"),
+        "fingerprint", "edited_fingerprint", "near_edited", "near_next",
+    )
