@@ -80,7 +80,7 @@ def changed_paragraphs(a: Column, b: Column) -> Column:
     return F.array_except(own(a), own(b))
 
 
-def _bucket(rid: Column, bounds: list[int]) -> Column:
+def bucket_of(rid: Column, bounds: list[int]) -> Column:
     """How many of the ascending bounds lie below ``rid``, by binary search."""
     if not bounds:
         return F.lit(0)
@@ -110,7 +110,7 @@ def with_next(rows: DataFrame, columns: dict[str, Column]) -> DataFrame:
     n = int(spark.conf.get("spark.sql.shuffle.partitions")) * BUCKETS_PER_PARTITION
     shares = [i / n for i in range(1, n)]
     bounds = rows.agg(F.percentile_approx("rid", shares, 10 * n)).first()[0]
-    bucket = _bucket(F.col("rid"), sorted(set(bounds or [])))
+    bucket = bucket_of(F.col("rid"), sorted(set(bounds or [])))
     placed = rows.withColumn("bucket", bucket)
     firsts = placed.groupBy("bucket").agg(F.max("rid").alias("rid")).orderBy("bucket").collect()
     # the first row of a bucket follows the last of the bucket above it; the very first follows the very last

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakewright.llm import bpe, exact_dedup, fingerprints, line_dedup, packing, sharding
+from lakewright.llm import bpe, exact_dedup, fingerprints, line_dedup, lm_scoring, packing, sharding, toxicity
 
 QUERIES, ORACLES = {}, {}
 
@@ -53,6 +53,13 @@ from marked group by doc_id
 """
 
 
+@query
+def op3_subword_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    scored = toxicity.score_documents(documents(spark, sf_dir), labels)
+    return scored.select(F.col("row.doc_id").alias("doc_id"), "held_out", "score", "predicted")
+
+
 @query
 def op4_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard(documents(spark, sf_dir), 8)
@@ -62,6 +69,16 @@ def op4_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op5_backoff_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("id").cast("string").cast("binary")) % 7 == 2
+    scored = lm_scoring.score_documents(documents(spark, sf_dir), ~held_out)
+    return scored.select(
+        F.col("id").alias("doc_id"), (~F.col("train")).alias("held_out"),
+        "n_tokens", "n_known", "train_tokens", "base_score", "score",
+    )
+
+
 @query
 def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -71,8 +88,8 @@ def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    groups = exact_dedup.exact_groups(documents(spark, sf_dir))
-    return groups.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", sha256("text").alias("text_sha256"))
+    groups = exact_dedup.exact_groups(documents(spark, sf_dir), carry={"text_sha256": sha256("text")})
+    return groups.withColumnRenamed("id", "doc_id")
 
 
 ORACLES["op7_exact_dedup"] = """
