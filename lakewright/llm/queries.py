@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakewright.llm import bpe, exact_dedup, fingerprints, line_dedup, lm_scoring, packing, sharding, toxicity
+from lakewright.llm import bpe, exact_dedup, fingerprints, line_dedup, lm_scoring, minhash, packing, sharding, substring_dedup, toxicity
 
 QUERIES, ORACLES = {}, {}
 
@@ -53,6 +53,12 @@ from marked group by doc_id
 """
 
 
+@query
+def op2_gear_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup.dedup_substrings(documents(spark, sf_dir))
+    return kept.withColumn("kept_sha256", sha256("text")).withColumnRenamed("id", "doc_id")
+
+
 @query
 def op3_subword_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -99,6 +105,11 @@ from documents window same as (partition by coalesce(text, ''))
 """
 
 
+@query
+def op8_tensored_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_groups(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
+
+
 @query
 def op9_binary_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
