@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakewright.llm.rows import keyed
@@ -30,12 +30,15 @@ def shared_texts(rows: DataFrame) -> DataFrame:
     ``keep_rid`` is the largest key of the group. Empty texts are equal to each other.
     """
     data = rows.select("rid", "id", F.col("text").cast("binary").alias("bytes"))
-    source = data.withColumn("g", F.lit(0).cast("long"))
+    going_on = None
     offset, width, ended = 0, FIRST_WIDTH, []
     while True:
-        digit = F.substring("bytes", offset + 1, width)
-        # texts too short for this level ended in the one before
-        cut = stage(source.where(F.octet_length("bytes") >= offset).select("rid", "id", "g", digit.alias("digit")), "digits")
+        # texts too short for this level ended in the one before; only digits move
+        digits = data.where(F.octet_length("bytes") >= offset).select(
+            "rid", "id", F.substring("bytes", offset + 1, width).alias("digit")
+        )
+        grouped = digits.withColumn("g", F.lit(0).cast("long")) if going_on is None else digits.join(going_on, "rid")
+        cut = stage(grouped, "digits")
         groups = stage(
             cut.groupBy("g", "digit")
             .agg(F.count("*").alias("group_size"), F.max("rid").alias("keep_rid"), F.max_by("id", "rid").alias("keep_id"), F.min("rid").alias("low"))
@@ -53,24 +56,28 @@ def shared_texts(rows: DataFrame) -> DataFrame:
         going_on = members.where("not ended").select("rid", "g")
         if going_on.isEmpty():
             return reduce(DataFrame.unionByName, ended)
-        source = data.join(going_on, "rid")
         offset, width = offset + width, width * GROWTH
 
 
-def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, keep_id, group_size, kept, text`` per row, dropped ones too.
+def exact_groups(
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: dict[str, Column] | None = None
+) -> DataFrame:
+    """``id, keep_id, group_size, kept`` per row, dropped ones too, and ``carry``: columns made from ``text``, the text itself unless given.
 
+    What is carried is worked out before anything moves, so ask for a digest or a length rather than for whole texts.
     Texts are equal when their bytes are; a null text counts as empty, and all empty texts form a group.
     Of a group the row with the largest id stays. Where ids repeat, exactly one row of a group is kept
     and ``keep_id`` is its id; a null id is smaller than all others. An empty table gives no rows.
     """
     rows = keyed(df, id_col, text_col)
-    return rows.join(shared_texts(rows), "rid", "left").select(
+    carry = {"text": F.col("text")} if carry is None else carry
+    carried = rows.select("rid", "id", *[value.alias(name) for name, value in carry.items()])
+    return carried.join(shared_texts(rows), "rid", "left").select(
         "id",
         F.when(F.col("group_size").isNull(), F.col("id")).otherwise(F.col("keep_id")).alias("keep_id"),
         F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
         F.coalesce(F.col("keep_rid") == F.col("rid"), F.lit(True)).alias("kept"),
-        "text",
+        *carry,
     )
 
 
