@@ -47,9 +47,10 @@ def number_rows(df: DataFrame, *order: Any) -> tuple[DataFrame, int]:
 
     One distributed sort; each partition numbers its own rows and is then moved by the rows before
     it. Only one row per partition is brought together for that. Ties get an arbitrary order that
-    the written copy fixes. Meant for narrow rows.
+    the written copy fixes. Meant for narrow rows; they are written first, as a sort reads its input twice,
+    the first time to find the bounds of its partitions.
     """
-    sorted_rows = df.orderBy(*order).withColumns(
+    sorted_rows = stage(df, "unsorted").orderBy(*order).withColumns(
         {"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)}
     )
     rows = stage(sorted_rows, "numbered")
