@@ -1,6 +1,6 @@
 """Substring deduplication by content-defined chunking.
 
-A gear hash rolls over the bytes of a text: its value at a byte depends on the 32 bytes up to there alone. A
+A gear hash rolls over the bytes of a text: its value at a byte depends on the 16 bytes up to there alone. A
 chunk ends where some of its bits are all zero, so the same passage is cut alike wherever it stands, and an
 insertion moves the cuts around it only. Chunks are known by their digests. Of a passage that
 several documents hold, the document with the smallest id keeps its chunks; the others lose
@@ -24,26 +24,26 @@ from lakewright.llm.rows import keyed
 from lakewright.llm.units import held_units, repeated_units
 
 #: A number for each byte value, from a public digest.
-GEAR = np.array([int.from_bytes(hashlib.blake2b(bytes([b]), digest_size=4).digest(), "little") for b in range(256)], np.uint32)
-WINDOW = 32  # bytes; as many as the hash has bits
+GEAR = np.array([int.from_bytes(hashlib.blake2b(bytes([b]), digest_size=2).digest(), "little") for b in range(256)], np.uint16)
+WINDOW = 16  # bytes; as many as the hash has bits
 
 
 @dataclass(frozen=True)
 class Settings:
     """Chunks have ``shortest`` to ``longest`` bytes, and about ``shortest + 2**bits`` on average. ``run``: bytes of repeated chunks from which they go."""
 
-    shortest: int = 16
-    longest: int = 160
+    shortest: int = 8
+    longest: int = 96
     bits: int = 5
-    run: int = 100
+    run: int = 80
 
 
 def gear_hashes(data: np.ndarray) -> np.ndarray:
-    """The rolling hash at every byte: the sum of the last 32 gear numbers, each shifted left by its distance."""
+    """The rolling hash at every byte: the sum of the last 16 gear numbers, each shifted left by its distance."""
     hashes, width = GEAR[data], 1
     while width < WINDOW:  # a window of twice the width is this one and the one before it
         wider = hashes.copy()
-        wider[width:] += hashes[:-width] << np.uint32(width)
+        wider[width:] += hashes[:-width] << np.uint16(width)
         hashes, width = wider, 2 * width
     return hashes
 
@@ -54,7 +54,7 @@ def chunk_ends(text: bytes, settings: Settings) -> list[int]:
         return []
     data = np.frombuffer(text, np.uint8)
     starts = (data & 0xC0) != 0x80  # first bytes of characters
-    cut = gear_hashes(data) >> np.uint32(32 - settings.bits) == 0
+    cut = gear_hashes(data) >> np.uint16(16 - settings.bits) == 0
     cut[:-1] &= starts[1:]
     ends, at = [], 0
     for end in [*(np.flatnonzero(cut) + 1).tolist(), len(text)]:

@@ -1,0 +1,160 @@
+"""Exact, line and substring deduplication against plain Python."""
+
+import hashlib
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from check_oracles import compare
+from lakewright.llm import exact_dedup, line_dedup, substring_dedup
+from lakewright.llm.queries import QUERIES
+
+ODD_ROWS = [
+    (1, "a line of some length\nshort\n  A LINE of some length \x0b", "x"),
+    (2, "a line of some length\nshort", "x"),
+    (2, "a line of some length\nshort", "x"),
+    (None, "É line of its own here\nA line of some length", None),
+    (4, "é line of its own here", "y"),
+    (5, None, "y"),
+    (6, "", "y"),
+    (7, "0123456789\n0123456789", "z"),
+    (8, "0123456789\n日本語日本語日本語", "z"),
+    (9, "日本語日本語日本語\n" + "x" * 200_000, "z"),
+    (10, "x" * 200_000, "z"),
+    (11, "x" * 199_999 + "y", "z"),
+]
+ODD_SCHEMA = "doc_id long, text string, units string"
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    return spark.createDataFrame(ODD_ROWS, ODD_SCHEMA).repartition(4)
+
+
+@pytest.mark.parametrize("name", ["op1_line_dedup", "op7_exact_dedup"])
+def test_queries_equal_sql(spark, name):
+    assert compare(spark, "/root/testdata/sf0.01", [name]) == []
+
+
+def test_lines_of_odd_rows(odd):
+    got = line_dedup.dedup_lines(odd).collect()
+    by = {}
+    for r in got:
+        by.setdefault(r.id, []).append((r.text, r.n_lines, r.n_dropped))
+    assert len(got) == 12
+    # the row without an id is the smallest
+    assert by[None] == [("É line of its own here\nA line of some length", 2, 0)]
+    assert by[1] == [("short", 3, 2)] and by[2] == [("short", 2, 1)] * 2
+    assert by[4] == [("é line of its own here", 1, 0)]
+    assert by[5] == by[6] == [("", 1, 0)]
+    assert by[7] == [("0123456789\n0123456789", 2, 0)] and by[8] == [("日本語日本語日本語", 2, 1)]
+    assert [x[2] for x in by[9] + by[10] + by[11]] == [0, 1, 0]
+    assert line_dedup.dedup_lines(odd.where("false")).count() == 0
+
+
+def test_line_threshold(odd):
+    kept = line_dedup.dedup_lines(odd, min_docs=3, min_chars=5)
+    assert {r.id: r.n_dropped for r in kept.collect() if r.id in (7, 8)} == {7: 0, 8: 0}
+
+
+def test_copies_of_odd_rows(odd):
+    got = exact_dedup.exact_groups(odd).collect()
+    assert len(got) == 12
+    assert sorted((r.keep_id, r.group_size, r.kept) for r in got if r.id == 2) == [(2, 2, False), (2, 2, True)]
+    by = {r.id: (r.keep_id, r.group_size, r.kept) for r in got}
+    assert by[5] == (6, 2, False) and by[6] == (6, 2, True) and by[None] == (None, 1, True)
+    assert by[10] == (10, 1, True) and by[11] == (11, 1, True)
+    left = exact_dedup.drop_copies(odd)
+    assert left.columns == odd.columns and left.count() == 10
+    assert exact_dedup.exact_groups(odd.where("false")).count() == 0
+
+
+def test_texts_that_share_long_starts(spark):
+    draw = random.Random(4)
+    base = "".join(draw.choice("abcdé ") for _ in range(30_000))
+    cuts = [0, 1, 63, 64, 65, 1087, 1088, 1089, 17_472, 20_000, 30_000]
+    texts = [base[:c] for c in cuts] + [base[:c] + "!" for c in cuts]
+    rows = [(i, texts[i % len(texts)]) for i in range(3 * len(texts))]
+    got = exact_dedup.exact_groups(spark.createDataFrame(rows, "doc_id int, text string"), carry={"size": F.length("text")}).collect()
+    for r in got:
+        same = [i for i, t in rows if t == rows[r.id][1]]
+        assert (r.keep_id, r.group_size, r.kept, r.size) == (max(same), len(same), r.id == max(same), len(rows[r.id][1]))
+
+
+def plain_gear(data):
+    found, h = [], 0
+    for b in data:
+        h = ((h << 1) + int(substring_dedup.GEAR[b])) & 0xFFFF
+        found.append(h)
+    return found
+
+
+def test_gear_hash_is_the_rolling_one():
+    data = random.Random(1).randbytes(500)
+    assert substring_dedup.gear_hashes(substring_dedup.np.frombuffer(data, "u1")).tolist() == plain_gear(data)
+
+
+def test_chunks_cover_the_text_and_resist_insertions():
+    draw, settings = random.Random(2), substring_dedup.Settings()
+    text = " ".join("".join(draw.choice("etaoinsé日") for _ in range(draw.randint(1, 12))) for _ in range(3000)).encode()
+    ends = substring_dedup.chunk_ends(text, settings)
+    sizes = [b - a for a, b in zip([0, *ends], ends)]
+    assert ends[-1] == len(text) and max(sizes) <= settings.longest and min(sizes[:-1]) >= settings.shortest - 3
+    assert 25 < len(text) / len(ends) < 60
+    for a, b in zip([0, *ends], ends):
+        text[a:b].decode()  # no character is cut
+    moved = text[:5000].decode("utf-8", "ignore").encode() + b"inserted words " + text[5000:].decode("utf-8", "ignore").encode()
+    before = set(substring_dedup.chunk_digests(text, ends))
+    after = set(substring_dedup.chunk_digests(moved, substring_dedup.chunk_ends(moved, settings)))
+    assert len(after - before) <= 8
+    assert substring_dedup.chunk_ends(b"", settings) == [] and substring_dedup.chunk_ends(b"ab", settings) == [2]
+
+
+def test_substrings_equal_a_single_pass(spark, sf):
+    """One reader that goes through the documents by id and remembers all chunks so far."""
+    settings = substring_dedup.Settings()
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    got = {r.doc_id: r for r in QUERIES["op2_gear_substring_dedup"](spark, sf).collect()}
+    held, dropped = set(), 0
+    for key in sorted(docs):
+        text, r = docs[key].encode(), got[key]
+        chunks, marked, spans = substring_dedup.repeated_spans(text, held, settings)
+        assert (r.n_chunks, r.n_repeated, [(s.start, s.end) for s in r.spans]) == (chunks, marked, spans)
+        cuts = [0, *[x for s in spans for x in s], len(text)]
+        kept = b"".join(text[a:b] for a, b in zip(cuts[::2], cuts[1::2]))
+        assert r.text == kept.decode() and r.kept_sha256 == hashlib.sha256(kept).hexdigest()
+        assert r.n_dropped_bytes == len(text) - len(kept)
+        dropped += r.n_dropped_bytes
+        held |= set(substring_dedup.chunk_digests(text, substring_dedup.chunk_ends(text, settings)))
+    assert len(got) == len(docs) and dropped > 0
+
+
+def test_planted_passages_go_and_clean_texts_stay(spark):
+    draw = random.Random(9)
+
+    def words(n):
+        return " ".join("".join(draw.choice("abcdefghijklmnop") for _ in range(draw.randint(2, 9))) for _ in range(n))
+
+    passage, rows = words(60), []
+    for i in range(40):
+        own = [words(80), words(80)]
+        rows.append((i, f"{own[0]} {passage} {own[1]}" if i % 2 else " ".join(own), i))
+    df = spark.createDataFrame(rows, "doc_id long, text string, n int")
+    got = {r.id: r for r in substring_dedup.dedup_substrings(df).collect()}
+    for i, text, _ in rows:
+        if i % 2 and i > 1:
+            assert got[i].n_dropped_bytes > 0.6 * len(passage)
+            assert set(got[i].text.split()) <= set(text.split())  # whole words only
+        else:
+            assert got[i].text == text
+    left = substring_dedup.strip_repeats(df)
+    assert left.columns == df.columns and {r.doc_id: r.text for r in left.collect()} == {i: r.text for i, r in got.items()}
+
+
+def test_substrings_of_odd_rows(odd):
+    got = substring_dedup.dedup_substrings(odd).collect()
+    assert len(got) == 12 and sum(r.n_dropped_bytes for r in got) > 300_000
+    assert {(r.n_chunks, r.text) for r in got if r.id in (5, 6)} == {(0, "")}
+    assert substring_dedup.dedup_substrings(odd.where("false")).count() == 0
+    assert substring_dedup.strip_repeats(odd).count() == 12

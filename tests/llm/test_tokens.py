@@ -1,0 +1,143 @@
+"""BPE and packing against the public libraries."""
+
+import hashlib
+import random
+import zlib
+from array import array
+
+import public_tokenizers
+import pytest
+import tiktoken
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from lakewright.llm import bpe, packing
+from lakewright.llm.queries import QUERIES
+from lakewright.llm.words import PartEncoder
+
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+FILE = public_tokenizers.path("byte_bpe_50k.json")
+TEXT = st.text(st.sampled_from("abest  \n\t'1é日!.\x1c　") | st.characters(codec="utf-8"), max_size=60)
+
+
+@pytest.fixture(scope="module")
+def codec():
+    return bpe.BytePairCodec(bpe.load_ranks(RANKS), public_tokenizers.PATTERN)
+
+
+@pytest.fixture(scope="module")
+def reference():
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.load_ranks(RANKS), special_tokens={})
+
+
+def test_bpe_of_any_text(codec, reference):
+    parts = PartEncoder(codec.encode_all, remembered=50)
+
+    @settings(max_examples=300, deadline=None)
+    @given(TEXT)
+    def check(text):
+        ids = array("I", parts.ids(text)).tolist()
+        assert ids == reference.encode_ordinary(text) and codec.decode(ids) == text.encode()
+
+    check()
+
+
+@settings(max_examples=300, deadline=None)
+@given(piece=st.text(st.sampled_from("abcdeinrst"), min_size=1, max_size=40))
+def test_backtracking_gives_the_merges(codec, piece):
+    whole = codec.ranks.get(piece.encode())
+    want = [whole] if whole is not None else [codec.ranks[t] for t in codec.merged(piece.encode())]
+    assert codec.encode_piece(piece.encode()) == want
+
+
+def test_bpe_of_a_vocabulary_with_dead_ends():
+    """Longest matches alone would take 'abc' and be stuck in front of 'd'."""
+    ranks = {bytes([b]): b for b in range(256)} | {b"cd": 256, b"bcd": 257, b"ab": 258, b"abc": 259}
+    odd = bpe.BytePairCodec(ranks, r"\S+|\s+")
+    reference = tiktoken.Encoding("odd", pat_str=r"\S+|\s+", mergeable_ranks=ranks, special_tokens={})
+    draw = random.Random(1)
+    for _ in range(500):
+        text = "".join(draw.choice("abcd ") for _ in range(draw.randint(0, 30)))
+        assert array("I", b"".join(odd.encode_all([text]))).tolist() == reference.encode_ordinary(text)
+
+
+def test_bpe_of_a_long_piece(codec, reference):
+    piece = "ab" * 50_000
+    assert codec.encode_piece(piece.encode()) == reference.encode_ordinary(piece)
+
+
+def test_bpe_query(spark, sf, reference):
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    got = QUERIES["op6_bpe_round_trip"](spark, sf).collect()
+    assert len(got) == len(docs)
+    for r in got:
+        ids = reference.encode_ordinary(docs[r.doc_id])
+        assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
+        assert r.decoded_sha256 == hashlib.sha256(docs[r.doc_id].encode()).hexdigest()
+
+
+def test_bpe_of_odd_rows(spark):
+    rows = [(None, "a b", 1), (2, None, 1), (2, "", 1), (2, "", 1), (3, "word " * 40_000, 1)]
+    df = spark.createDataFrame(rows, "doc_id int, text string, ids int")
+    ids = bpe.encode(df, RANKS, public_tokenizers.PATTERN)
+    assert sorted(len(r.ids) for r in ids.collect())[:4] == [0, 0, 0, 2]
+    back = bpe.decode(ids, RANKS).collect()
+    assert sorted(bytes(r.bytes).decode() for r in back) == sorted(t or "" for _, t, _ in rows)
+    counts = bpe.round_trip(df, RANKS, public_tokenizers.PATTERN)
+    assert counts.count() == 5 and bpe.round_trip(df.where("false"), RANKS, public_tokenizers.PATTERN).count() == 0
+
+
+def test_ids_by_file_and_by_pattern_agree():
+    whole = Tokenizer.from_file(FILE)
+    encoders = [packing.file_encoder(FILE, p) for p in (None, public_tokenizers.PATTERN)]
+
+    @settings(max_examples=200, deadline=None)
+    @given(st.lists(TEXT | st.just("<|endoftext|>"), max_size=4).map("".join))
+    def check(text):
+        want = whole.encode(text, add_special_tokens=False).ids
+        assert [array("I", e.ids(text)).tolist() for e in encoders] == [want, want]
+
+    check()
+
+
+@pytest.mark.parametrize("n", [0, 1, 7, 2047, 2048, 2049, 10_000])
+def test_piece_lengths(n):
+    lengths = packing.piece_lengths(n)
+    assert sum(lengths) == n and lengths == sorted(lengths, reverse=True)
+    assert all(x & (x - 1) == 0 and x <= 2048 for x in lengths) and len(set(x for x in lengths if x < 2048)) == sum(x < 2048 for x in lengths)
+
+
+def check_pieces(pieces, texts):
+    whole = Tokenizer.from_file(FILE)
+    by_doc = {}
+    for r in pieces:
+        by_doc.setdefault(r.doc_id, []).append(r)
+    assert set(by_doc) == set(texts)
+    for key, own in by_doc.items():
+        ids, at = [*whole.encode(texts[key] or "", add_special_tokens=False).ids, 1], 0
+        for r in sorted(own, key=lambda r: r.start):
+            assert r.start == at and r.doc_tokens == len(ids)
+            assert r.ids_crc32 == zlib.crc32(array("I", ids[at : at + r.length]).tobytes())
+            at += r.length
+        assert at == len(ids)
+    assert sorted(r.sequence_id for r in pieces) == list(range(len(pieces))) and {r.offset for r in pieces} == {0}
+    by_length = [r.length for r in sorted(pieces, key=lambda r: r.sequence_id)]
+    assert by_length == sorted(by_length, reverse=True)
+
+
+def test_packing_query(spark, sf):
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    check_pieces(QUERIES["op9_binary_packing"](spark, sf).collect(), docs)
+
+
+def test_packing_of_odd_rows(spark):
+    texts = {1: None, 2: "", 3: "a <|endoftext|> b", 4: "word " * 30_000, None: "x"}
+    df = spark.createDataFrame([(k, v, 0) for k, v in texts.items()], "doc_id long, text string, length int")
+    pieces = packing.pack(df, FILE, with_ids=True).withColumnRenamed("id", "doc_id").collect()
+    check_pieces(pieces, texts)
+    assert all(len(r.ids) == r.length for r in pieces)
+    assert packing.pack(df.where("false"), FILE).count() == 0
+    assert packing.pack(df.unionByName(df), FILE).count() == 2 * len(pieces)
+    with pytest.raises(ValueError):
+        packing.pack(df, FILE, longest=1000)
