@@ -79,7 +79,7 @@ def whole_words(text: bytes, start: int, end: int) -> tuple[int, int]:
     """The span without the parts of words at its ends; the span itself if it holds no blank."""
     if start and not text[start - 1 : start].isspace():
         inner = next((i for i in range(start, end) if text[i : i + 1].isspace()), None)
-        start = start if inner is None else inner
+        start = start if inner is None else inner + 1
     if end < len(text) and not text[end : end + 1].isspace():
         inner = next((i for i in range(end, start, -1) if text[i - 1 : i].isspace()), None)
         end = end if inner is None else inner
