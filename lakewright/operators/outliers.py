@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakewright.operators.quantile import SMALL_INPUT_BYTES, quantile
+from lakewright.operators.quantile import quantile
 
 
 def keep_positive(df: DataFrame, amount: str) -> DataFrame:
@@ -17,12 +17,11 @@ def trim_above_quantile(
     df: DataFrame,
     amount: str,
     q: float = 0.999,
-    method: str = "auto",
-    small_bytes: int = SMALL_INPUT_BYTES,
+    method: str = "narrow",
 ) -> DataFrame:
     """Rows strictly below the exact quantile; the largest always goes, a single row too.
 
-    ``df`` is evaluated again for the quantile, several times with ``narrow``: stage
+    ``df`` is evaluated again for the quantile, several times: stage
     it first if it is more than a scan.
     """
-    return df.where(F.col(amount) < quantile(df, amount, q, method, small_bytes)).dropna(how="any")
+    return df.where(F.col(amount) < quantile(df, amount, q, method)).dropna(how="any")

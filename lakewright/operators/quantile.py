@@ -1,7 +1,7 @@
 """Exact interpolated quantile without gathering the values anywhere.
 
 Spark's own ``percentile`` is exact too, but keeps every distinct value in a map that
-one task merges at the end. That is right for small input and impossible for large.
+one task merges at the end, which is impossible for large input.
 Here each pass counts rows per value interval, keeps the interval that holds the wanted
 rank and looks only inside it in the next pass. A pass shuffles interval counts, never
 rows, and hot values are merged before the shuffle.
@@ -15,12 +15,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lakewright.scratch import input_bytes
-
-# Input up to this size goes to Spark's percentile: its map cannot exceed the input.
-# From a few megabytes on, counting intervals is faster as well.
-SMALL_INPUT_BYTES = 1024 * 1024
-
 _LOG_STEPS = 64  # first pass: 64 intervals per factor e, at most about 190,000 overall
 _LINEAR_STEPS = 4096  # later passes: equal intervals of the one kept
 _SMALL_COUNT = 50_000  # rows from which the last pass may list the distinct values
@@ -88,34 +82,26 @@ def narrowed_quantile(df: DataFrame, column: str, q: float) -> float | None:
         histogram = _histogram(inside, F.col("x") if few else _linear_interval(F.col("x"), row.low, row.high))
         wanted = F.lit(rank - skipped)
     lower = row.low
+    if position == rank:  # the value itself, whatever comes after it
+        return lower
     upper = lower if rank + 1 < skipped + row.n or following is None else following
     if lower == upper:
         return lower
     return (rank + 1 - position) * lower + (position - rank) * upper
 
 
-def quantile(
-    df: DataFrame,
-    column: str,
-    q: float,
-    method: str = "auto",
-    small_bytes: int = SMALL_INPUT_BYTES,
-    accuracy: int = 100_000,
-) -> Column:
-    """The exact interpolated quantile as a scalar column, for use in a filter or projection.
-
-    ``builtin`` is Spark's percentile as a scalar subquery, evaluated with the query
-    that uses it. ``narrow`` computes the value now. ``auto`` takes the built-in only
-    for input whose size, by Catalyst's estimate of what ``df`` reads, is small.
-    ``approx``, never taken unasked, is Spark's sketch: one pass, a value of the data
-    whose rank is off by at most one part in ``accuracy``.
+def quantile(df: DataFrame, column: str, q: float, method: str = "narrow", accuracy: int = 100_000) -> Column:
+    """The interpolated quantile as a column, for use in a filter or projection.
+
+    ``narrow`` is exact at every size and computes the value now. Two others are taken only when asked for: ``builtin``,
+    Spark's percentile as a scalar subquery, exact too and lazy, but with all distinct values in one
+    task; and ``approx``, Spark's sketch: one pass, a value of the data whose rank is off by at most one part in
+    ``accuracy``.
     """
-    if method == "auto":
-        method = "builtin" if input_bytes(df) <= small_bytes else "narrow"
-    if method == "builtin":
-        return df.agg(F.percentile(F.col(column), F.lit(q))).scalar()
     if method == "narrow":
         return F.lit(narrowed_quantile(df, column, q)).cast("double")
+    if method == "builtin":
+        return df.agg(F.percentile(F.col(column), F.lit(q))).scalar()
     if method == "approx":
         return df.agg(F.percentile_approx(F.col(column).cast("double"), q, accuracy)).scalar()
-    raise ValueError("method must be 'auto', 'builtin', 'narrow' or 'approx'")
+    raise ValueError("method must be 'narrow', 'builtin' or 'approx'")

@@ -6,16 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakewright.functions.epoch import MILLIS_PER_DAY
-from lakewright.sources.listing import name_millis
-
-
-def ledger_of(bronze: DataFrame) -> DataFrame:
-    """``path, file_ts`` of the objects a bronze table was loaded from.
-
-    Reads its one ``file`` column and groups before shuffling, so what moves is about
-    one row per object and task.
-    """
-    return bronze.groupBy(F.col("file").alias("path")).agg(F.first(name_millis(F.col("file"))).alias("file_ts"))
 
 
 def resume_point(ledger: DataFrame, look_back_millis: int = MILLIS_PER_DAY) -> DataFrame:

@@ -6,24 +6,30 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def _summary(df: DataFrame, columns: Sequence[str], extremes: str) -> DataFrame:
+    """One row per column in one aggregation pass; ``extremes`` is the type of min and max."""
+
+    def of(c: str) -> list:
+        number = isinstance(df.schema[c].dataType, T.NumericType)
+        moments = [(f(c) if number else F.lit(None)).cast("double") for f in (F.mean, F.stddev)]
+        return [F.count(c), *moments, F.min(c).cast(extremes), F.max(c).cast(extremes)]
+
+    names = ("n", "mean", "stddev", "min", "max")
+    rows = [F.struct(F.lit(c).alias("column"), *(v.alias(n) for n, v in zip(names, of(c)))) for c in columns]
+    return df.agg(F.array(*rows).alias("s")).select(F.inline("s"))
 
 
 def column_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row per column: non-null count, mean, sample deviation, min and max, as numbers.
+    """Non-null count, mean, sample deviation, min and max of numeric columns, as numbers."""
+    return _summary(df, columns, "double")
+
+
+def column_summary_mixed(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """The same for columns of any atomic type, all of them unless named.
 
-    One aggregation pass over all columns; ``DataFrame.describe`` gives the same
-    figures as text.
+    ``min`` and ``max`` are text; text, dates and the like have no mean and deviation.
     """
-    stats = {"n": F.count, "mean": F.mean, "stddev": F.stddev, "min": F.min, "max": F.max}
-    packed = df.agg(
-        F.array(
-            *(
-                F.struct(
-                    F.lit(c).alias("column"),
-                    *(f(F.col(c)).cast("bigint" if name == "n" else "double").alias(name) for name, f in stats.items()),
-                )
-                for c in columns
-            )
-        ).alias("s")
-    )
-    return packed.select(F.inline("s"))
+    return _summary(df, df.columns if columns is None else columns, "string")

@@ -2,21 +2,21 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakewright.functions.epoch import MILLIS_PER_DAY
-from lakewright.operators.batching import assign_batches
 from lakewright.operators.resume import pending_objects
 from lakewright.sources.listing import list_objects
 from lakewright.sources.messages import MessageFormat, decode_objects
 
 
-def pending_rows(
+def pending_objects_of(
     spark: SparkSession,
     source: str,
     ledger: DataFrame,
-    fmt: MessageFormat,
     *,
     prefix: str = "",
     after: int | None = None,
@@ -26,22 +26,24 @@ def pending_rows(
     task_bytes: int = 128 * 1024 * 1024,
     tasks: int | None = None,
 ) -> DataFrame:
-    """Decoded rows of the objects under ``source`` that the ledger does not hold.
-
-    Lists without reading, leaves out what the ledger (``path, file_ts``) or ``exclude``
-    (``path``) holds, packs neighbouring objects into batches of about ``task_bytes``
-    and spreads those over ``tasks`` tasks (at least one per core unless given), which
-    open just these objects. Has an ``error`` column like ``decode_objects``. Give
-    ``after`` where the look-back does not reach far enough; it takes the place of the
-    ledger's resume point.
+    """``path, length, file_ts`` of the objects under ``source`` that the ledger does not hold, spread over tasks.
+
+    Lists without reading and leaves out what the ledger (``path, file_ts``) or ``exclude``
+    (``path``) holds. Objects are dealt by path to a task for each ``task_bytes`` of them, or to ``tasks``, and to
+    one per core at least. Give ``after`` where the look-back does not reach far enough; it takes the place of
+    the ledger's resume point.
     """
     listing = list_objects(spark, source, prefix, after, before)
     if after is not None:
         look_back_millis = 2**62
     pending = pending_objects(listing, ledger, look_back_millis, exclude)
-    day = F.floor(F.col("file_ts") / MILLIS_PER_DAY)
-    batches = assign_batches(pending, "length", task_bytes, ["file_ts", "path"], day)
     if tasks is None:
-        tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        size = pending.agg(F.sum("length")).first()[0] or 0
+        tasks = max(spark.sparkContext.defaultParallelism, math.ceil(size / task_bytes))
     # a fixed number: by their few bytes, adaptive execution would merge all paths into one task
-    return decode_objects(batches.repartition(tasks, "batch_no"), fmt)
+    return pending.repartition(tasks, "path")
+
+
+def pending_rows(spark: SparkSession, source: str, ledger: DataFrame, fmt: MessageFormat, **options) -> DataFrame:
+    """Decoded rows, with an ``error`` column like ``decode_objects``, of what ``pending_objects_of`` gives."""
+    return decode_objects(pending_objects_of(spark, source, ledger, **options), fmt)

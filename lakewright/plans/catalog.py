@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 from collections.abc import Callable
 
 import pandas as pd
@@ -15,21 +16,22 @@ from lakewright.functions.epoch import MILLIS_PER_DAY
 from lakewright.operators.batching import assign_batches
 from lakewright.operators.history import append_history, extend_history
 from lakewright.operators.outliers import keep_positive, trim_above_quantile
+from lakewright.operators.quantile import narrowed_quantile
 from lakewright.operators.ranking import rank_order, top_groups
-from lakewright.operators.resume import ledger_of, pending_objects, resume_point
+from lakewright.operators.resume import pending_objects, resume_point
 from lakewright.operators.summary import column_summary as summarise
-from lakewright.plans.backfill import pending_rows
+from lakewright.operators.summary import column_summary_mixed as summarise_mixed
 from lakewright.plans.country_ranking import ranked_share
 from lakewright.plans.rewards import active_entities, iot_rewards, latest_by_key, mobile_rewards
 from lakewright.plans.sample_messages import KINDS, event_report_format
 from lakewright.plans.sql_job import run_sql_job
 from lakewright.scratch import scratch_dir
-from lakewright.sources.exports import frame_object, write_objects
+from lakewright.sources.exports import frame_object, set_modified, write_objects
 from lakewright.sources.framing import read_records
 from lakewright.sources.listing import object_uri, read_objects, select_objects, strip_root
 from lakewright.sources.schema_history import record_schema
 from lakewright.sources.tables import read_table, register_tables
-from lakewright.streaming.ingest import ingest_objects, ingest_rejects, read_bronze
+from lakewright.streaming.ingest import ingest_objects, ingest_pending, read_bronze, read_ledger, read_rejects
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -140,7 +142,7 @@ def _trimmed(spark: SparkSession, sf_dir: str, method: str) -> DataFrame:
 
 @_query(_TRIM_SQL)
 def outlier_trim_percentile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _trimmed(spark, sf_dir, "auto")
+    return _trimmed(spark, sf_dir, "builtin")
 
 
 @_query(_TRIM_SQL)
@@ -148,6 +150,30 @@ def outlier_trim_by_narrowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _trimmed(spark, sf_dir, "narrow")
 
 
+_EXTREME_SQL = """case event_id % 50 when 0 then null when 1 then 'Infinity'::double when 2 then '-Infinity'::double
+  when 3 then 'NaN'::double else value end"""
+
+
+@_query(
+    f"""with v as (select {_EXTREME_SQL} x from events),
+      s as (select list(x order by x) filter (x is not null) xs from v),
+      q as (select unnest([0.0, 0.01, 0.25, 0.5, 0.97, 1.0]::double[]) q),
+      p as (select q, xs, q * (len(xs) - 1) pos, floor(q * (len(xs) - 1))::bigint r from q, s)
+      select q, case when pos = r or xs[r + 1] = xs[r + 2] then xs[r + 1]
+        else (r + 1 - pos) * xs[r + 1] + (pos - r) * xs[r + 2] end as value from p
+      union all select -1.0::double, min(value) from events where event_id = 4"""
+)
+def quantile_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact quantiles of values with nulls, both infinities and NaN, and of a single row."""
+    events = _table(spark, sf_dir, "events")
+    at = F.col("event_id") % 50
+    odd = F.when(at == 0, None).when(at == 1, float("inf")).when(at == 2, float("-inf")).when(at == 3, float("nan"))
+    values = events.select(odd.otherwise(F.col("value")).cast("double").alias("x"))
+    rows = [(q, narrowed_quantile(values, "x", q)) for q in (0.0, 0.01, 0.25, 0.5, 0.97, 1.0)]
+    rows.append((-1.0, narrowed_quantile(events.where("event_id = 4"), "value", 0.5)))
+    return spark.createDataFrame(rows, "q double, value double")
+
+
 @_query(
     """select c_custkey, c_name, c_mktsegment, balance
        from (select *, case when c_acctbal > 0 then c_acctbal end as balance from customer)
@@ -179,6 +205,25 @@ def column_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_MIXED = {"n_nationkey": True, "n_name": False, "n_regionkey": True}
+
+
+@_query(
+    " union all ".join(
+        f"""select '{c}' as column_name, count({c}) as n, {f"round(avg({c}), 4)" if number else "null::double"} as mean,
+            {f"round(stddev_samp({c}), 4)" if number else "null::double"} as stddev,
+            min({c})::varchar as min_value, max({c})::varchar as max_value from nation"""
+        for c, number in _MIXED.items()
+    )
+)
+def column_summary_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers and text together, each extreme as text."""
+    return summarise_mixed(_table(spark, sf_dir, "nation")).select(
+        F.col("column").alias("column_name"), "n", F.round("mean", 4).alias("mean"), F.round("stddev", 4).alias("stddev"),
+        F.col("min").alias("min_value"), F.col("max").alias("max_value"),
+    )
+
+
 # --- rewards ----------------------------------------------------------------
 
 
@@ -477,6 +522,29 @@ def framed_records_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query(
+    """select event_id, event_type, octet_length(encode(event_id::varchar || '|' || event_type)) <= 9 as kept
+       from events"""
+)
+def framed_oversize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records above the limit are left out by themselves; all others of their objects are there."""
+
+    def encode(pdf: pd.DataFrame) -> list[bytes]:
+        return [line.encode() for line in pdf["line"]]
+
+    root = scratch_dir(spark, "framed")
+    events = _table(spark, sf_dir, "events")
+    line = F.concat_ws("|", "event_id", "event_type")
+    write_objects(_objects(events, [line.alias("line")], encode), root).count()
+    found = read_records(read_objects(spark, root, "events"), max_frame=9).where("record is not null")
+    kept = found.select(F.decode("record", "UTF-8").alias("line"), F.lit(True).alias("kept"))
+    return (
+        events.select("event_id", "event_type", line.alias("line"))
+        .join(kept, "line", "left")
+        .select("event_id", "event_type", F.coalesce("kept", F.lit(False)).alias("kept"))
+    )
+
+
 def _report_objects(events: DataFrame, spoil: str | None = None) -> DataFrame:
     """Events as protobuf report objects; reports of type ``spoil`` are unreadable."""
     fmt = event_report_format()
@@ -544,15 +612,50 @@ def ingest_late_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _reports(read_bronze(spark, target))
 
 
+@_query(_REPORTS_SQL)
+def ingest_old_mtime(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unread objects turn up whose modification time lies a month behind that of what was read."""
+    root, target = scratch_dir(spark, "objects"), scratch_dir(spark, "bronze")
+    events = _table(spark, sf_dir, "events")
+    early = F.col("ts") < F.lit("2024-01-15").cast("timestamp_ntz")
+    write_objects(_report_objects(events.where(early)), root).count()
+    _ingest(spark, root, target)
+    late = write_objects(_report_objects(events.where(~early)), root)
+    set_modified(spark, [r.path for r in late.collect()], int(time.time() * 1000) - 30 * MILLIS_PER_DAY)
+    _ingest(spark, root, target)
+    return _reports(read_bronze(spark, target))
+
+
 @_query(_REPORTS_SQL)
 def ingest_pending_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Half of the objects are ingested as a stream; the ledger of the table gives the rest as a batch."""
+    """Half of the objects are ingested as a stream; the rest is appended as a batch, twice, the second time in vain."""
     root, target = scratch_dir(spark, "objects"), scratch_dir(spark, "bronze")
     write_objects(_report_objects(_table(spark, sf_dir, "events")), root).count()
     _ingest(spark, root, target, before=1_705_276_800_000, open_in_tasks=True)
-    bronze = read_bronze(spark, target)
-    rest = pending_rows(spark, root, ledger_of(bronze), event_report_format(), prefix="events")
-    return _reports(bronze.unionByName(rest.where("error is null").drop("error")))
+    for _ in range(2):
+        ingest_pending(spark, root, target, event_report_format(), prefix="events")
+    return _reports(read_bronze(spark, target))
+
+
+@_query(
+    f"""select 'events-' || day || '-' || number || '.' || min(millis) || '.gz' as name, count(*) as frames,
+          count(*) filter (event_type = 'error') as rejected
+        from (select *, epoch_us(ts) // 1000 as millis, epoch_us(ts) // {1000 * MILLIS_PER_DAY} as day, event_id // {_OBJECT_ROWS} as number
+              from events)
+        group by day, number"""
+)
+def ingest_object_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frames and rejects per object, read half as a stream and half as a batch; objects of rejects only are there too."""
+    root, target = scratch_dir(spark, "objects"), scratch_dir(spark, "bronze")
+    write_objects(_report_objects(_table(spark, sf_dir, "events"), spoil="error"), root).count()
+    _ingest(spark, root, target, before=1_705_276_800_000)
+    for _ in range(2):
+        ingest_pending(spark, root, target, event_report_format(), prefix="events", look_back_millis=60 * MILLIS_PER_DAY)
+    rejects = read_rejects(spark, target).groupBy(F.col("file").alias("path")).agg(F.count("*").alias("rejected"))
+    ledger = read_ledger(spark, target).join(rejects, "path", "left")
+    return ledger.select(
+        F.regexp_extract("path", r"[^/]+$", 0).alias("name"), "frames", F.coalesce("rejected", F.lit(0)).alias("rejected")
+    )
 
 
 @_query(_REPORTS_SQL)
@@ -569,13 +672,12 @@ def ingest_large_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
        from events group by 1"""
 )
 def ingest_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Unreadable reports stay out of the table and go to the quarantine."""
-    root, target, bad = (scratch_dir(spark, n) for n in ("objects", "bronze", "rejects"))
+    """Unreadable reports stay out of the table and go to the quarantine, in the same reading."""
+    root, target = scratch_dir(spark, "objects"), scratch_dir(spark, "bronze")
     write_objects(_report_objects(_table(spark, sf_dir, "events"), spoil="error"), root).count()
     _ingest(spark, root, target)
-    ingest_rejects(spark, root, bad, bad + "-checkpoint", event_report_format(), prefix="events").awaitTermination()
     accepted = read_bronze(spark, target).select(F.lit("accepted").alias("outcome"))
-    rejected = spark.read.parquet(bad).select(F.lit("rejected").alias("outcome"))
+    rejected = read_rejects(spark, target).select(F.lit("rejected").alias("outcome"))
     return accepted.unionByName(rejected).groupBy("outcome").agg(F.count("*").alias("n"))
 
 

@@ -10,9 +10,8 @@ from pyspark.sql import functions as F
 
 from lakewright.operators.history import append_history, holds_date
 from lakewright.operators.outliers import keep_positive, trim_above_quantile
-from lakewright.operators.quantile import SMALL_INPUT_BYTES
 from lakewright.operators.ranking import rank_order, share_by_group
-from lakewright.scratch import input_bytes, stage
+from lakewright.scratch import stage, staged
 from lakewright.sources.schema_history import path_is_missing
 from lakewright.sources.tables import read_table
 
@@ -37,19 +36,19 @@ def ranked_share(
     amount: str = "amount",
     place: str = "country",
     trim_quantile: float = 0.999,
-    small_bytes: int = SMALL_INPUT_BYTES,
+    write_join: bool = True,
 ) -> DataFrame:
     """``place, sum, percent`` over the amounts left after trimming outliers.
 
     Amounts without a place count for the quantile, but not for the sums.
-    Small input stays one lazy plan. Large input is joined once and written, two narrow
-    columns of it, to the shared scratch folder; the passes of the quantile and the sum
-    then read that.
+    The join is written once, two narrow columns of it, to the shared scratch folder; the passes of the
+    quantile and the sum then read that. ``write_join=False`` joins anew in each pass: for input that is already joined cheaply,
+    or a copy the caller has staged and will remove.
     """
     located = located_amounts(amounts, places, entity, amount, place)
-    if input_bytes(located) > small_bytes:
+    if write_join:
         located = stage(located, "located")
-    trimmed = trim_above_quantile(located, amount, trim_quantile, small_bytes=small_bytes)
+    trimmed = trim_above_quantile(located, amount, trim_quantile)
     return share_by_group(trimmed, place, amount)
 
 
@@ -66,13 +65,15 @@ def daily_country_ranking(
 
     Returns False, having done no work, if the history holds the day already.
     """
-    day = day or dt.date.today() - dt.timedelta(days=1)
+    day = day or spark.sql("select current_date() - 1").first()[0]  # in the session's time zone, as the dates are
     history = read_history(spark, history_path)
     if history is not None and holds_date(history, day.isoformat()):
         return False
     amounts = read_table(spark, amounts_path, fmt).where(F.col("date") == F.lit(day))
-    ranked = ranked_share(amounts, read_table(spark, places_path, fmt), "gateway", amount, "country")
-    append_history(ranked.withColumn("date", F.lit(day)), history_path)
+    joined = located_amounts(amounts, read_table(spark, places_path, fmt), "gateway", amount, "country")
+    with staged(joined, "located") as located:  # gone once the day is written
+        trimmed = trim_above_quantile(located, amount, 0.999)
+        append_history(share_by_group(trimmed, "country", amount).withColumn("date", F.lit(day)), history_path)
     return True
 
 

@@ -86,7 +86,7 @@ def run_from_env(env: Mapping[str, str] | None = None, fmt: str = "delta") -> No
 
     ``QUERY_PATH``, ``OUTPUT``, ``TABLE_<NAME>``, ``SPARK_<KEY>``; ``BATCH_PROCESSING``
     (default false); for streams ``PARTITION_BY`` (comma-separated), ``CHECKPOINT``,
-    ``TRIGGER`` and ``TRIGGER_INTERVAL``.
+    ``TRIGGER`` and ``TRIGGER_INTERVAL``. The command line takes the tables' format from ``OUTPUT_FORMAT`` (default delta).
     """
     env = os.environ if env is None else env
     streaming = env.get("BATCH_PROCESSING", "false").lower() != "true"
@@ -110,4 +110,4 @@ def run_from_env(env: Mapping[str, str] | None = None, fmt: str = "delta") -> No
 
 
 if __name__ == "__main__":
-    run_from_env(fmt=os.environ.get("TABLE_FORMAT", "delta"))
+    run_from_env(fmt=os.environ.get("OUTPUT_FORMAT", "delta"))

@@ -58,11 +58,3 @@ def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
         yield df.sparkSession.read.schema(df.schema).parquet(path)
     finally:
         remove(df.sparkSession, path)
-
-
-def input_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of everything ``df`` reads: the sum over its leaves."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(
-        int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())
-    )

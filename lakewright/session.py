@@ -43,9 +43,13 @@ def s3a_conf(
     requester_pays: bool = False,
     path_style: bool = False,
     ssl: bool | None = None,
+    bucket: str | None = None,
 ) -> dict[str, str]:
-    """Hadoop S3A settings for one object store; unset arguments leave Hadoop's default."""
-    p = "spark.hadoop.fs.s3a."
+    """Hadoop S3A settings for all object stores, or for one ``bucket`` only; unset arguments leave Hadoop's default.
+
+    Source and target in different stores take a call for each bucket, the dicts merged.
+    """
+    p = "spark.hadoop.fs.s3a." + (f"bucket.{bucket}." if bucket else "")
     conf = {
         p + "endpoint": endpoint,
         p + "access.key": access_key,

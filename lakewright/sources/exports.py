@@ -4,14 +4,13 @@ from __future__ import annotations
 
 import gzip
 import struct
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-import pyarrow.fs as pafs
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from lakewright.scratch import qualified_path
-from lakewright.sources.framing import HEADER
+from lakewright.sources.framing import HEADER, store_of
 
 
 def frame_object(records: list[bytes]) -> bytes:
@@ -28,8 +27,7 @@ def write_objects(df: DataFrame, root: str) -> DataFrame:
     root = qualified_path(df.sparkSession, root)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        uri = root.replace("s3a://", "s3://", 1)
-        store, base = pafs.FileSystem.from_uri(uri)
+        store, base = store_of(root)
         store.create_dir(base, recursive=True)
         for batch in batches:
             paths, lengths = [], []
@@ -43,3 +41,10 @@ def write_objects(df: DataFrame, root: str) -> DataFrame:
             )
 
     return df.select("name", "content").mapInArrow(run, "path string, length bigint")
+
+
+def set_modified(spark: SparkSession, paths: Iterable[str], millis: int) -> None:
+    """Give a handful of objects another modification time, where their file system keeps one."""
+    for path in paths:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).setTimes(where, millis, -1)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -84,9 +85,14 @@ def gunzip(file: pa.NativeFile) -> Iterator[bytes]:
         raise broken from None
 
 
-def frames(file: pa.NativeFile, max_frame: int = MAX_FRAME_BYTES) -> Iterator[tuple[int, bytes]]:
-    """``(offset, record)`` of each whole frame, in order; ``FrameError`` after the last good one."""
-    buffer, start, base = bytearray(), 0, 0
+def frames(
+    file: pa.NativeFile, max_frame: int = MAX_FRAME_BYTES
+) -> Iterator[tuple[int, bytes | None, str | None]]:
+    """``(offset, record, error)`` of each whole frame, in order; ``FrameError`` after the last one.
+
+    A frame above the limit has an error and no record. Its bytes are dropped piece by piece, and reading goes on behind it.
+    """
+    buffer, start, base, skip = bytearray(), 0, 0, 0
     pieces, broken = gunzip(file), None
     while True:
         try:
@@ -96,28 +102,40 @@ def frames(file: pa.NativeFile, max_frame: int = MAX_FRAME_BYTES) -> Iterator[tu
         if piece is None:
             break
         base, buffer, start = base + start, buffer[start:], 0
-        buffer += piece
+        dropped = min(skip, len(piece))  # of a frame above the limit, which leaves nothing in the buffer
+        base, skip = base + dropped, skip - dropped
+        buffer += piece[dropped:]
         while len(buffer) - start >= HEADER_BYTES:
             (length,) = struct.unpack_from(HEADER, buffer, start)
-            if length > max_frame:
-                raise FrameError(base + start, f"frame of {length} bytes exceeds the limit of {max_frame}")
             end = start + HEADER_BYTES + length
-            if end > len(buffer):
+            if length > max_frame:
+                yield base + start, None, f"frame of {length} bytes exceeds the limit of {max_frame}"
+                skip, end = max(0, end - len(buffer)), min(end, len(buffer))
+            elif end > len(buffer):
                 break
-            yield base + start, bytes(buffer[start + HEADER_BYTES : end])
+            else:
+                yield base + start, bytes(buffer[start + HEADER_BYTES : end]), None
             start = end
     if broken is not None:
         raise FrameError(base + start, broken)
-    if start < len(buffer):
+    if start < len(buffer) or skip:
         raise FrameError(base + start, "object ends inside a frame")
 
 
+def store_of(path: str) -> tuple[pafs.FileSystem, str]:
+    """Arrow's file system of a path and the path within it, both taken as they are: Spark's paths are not URI-encoded."""
+    scheme, rest = re.match(r"(?:([a-z][a-z0-9+.-]*):)?(.*)", path, re.S).groups()
+    if scheme in (None, "file"):
+        return pafs.LocalFileSystem(), re.sub("^//+", "/", rest)
+    store, name = re.match("//([^/]*)/?(.*)", rest, re.S).groups()
+    if scheme in ("s3", "s3a"):
+        return pafs.FileSystem.from_uri(f"s3://{store}")[0], f"{store}/{name}"
+    return pafs.FileSystem.from_uri(f"{scheme}://{store}/")[0], f"/{name}"
+
+
 def open_object(path: str) -> pa.NativeFile:
     """A seekable stream over one object, through Arrow's own file systems."""
-    uri = path.replace("s3a://", "s3://", 1)
-    if ":/" not in uri:
-        return pa.OSFile(uri)
-    store, name = pafs.FileSystem.from_uri(uri)
+    store, name = store_of(path)
     return store.open_input_file(name)
 
 
@@ -138,29 +156,37 @@ def object_columns(df: DataFrame) -> DataFrame:
 
 
 def records(
-    batches: Iterator[pa.RecordBatch], max_frame: int = MAX_FRAME_BYTES
+    batches: Iterator[pa.RecordBatch], max_frame: int = MAX_FRAME_BYTES, ends: bool = False
 ) -> Iterator[tuple[str, int, bytes | None, str | None]]:
-    """``(file, offset, record, error)`` of object rows; where an object breaks, one without a record."""
+    """``(file, offset, record, error)`` of object rows; one without a record for a frame above the limit and where an object breaks.
+
+    With ``ends``, a row with neither record nor error follows each object; its offset is the number of rows before it.
+    """
     for path, file in objects(batches):
+        n = 0
         try:
-            for offset, record in frames(file, max_frame):
-                yield path, offset, record, None
+            for offset, record, error in frames(file, max_frame):
+                n += 1
+                yield path, offset, record, error
         except FrameError as err:
+            n += 1
             yield path, err.offset, None, str(err)
+        if ends:
+            yield path, n, None, None
 
 
 _RECORD_SCHEMA = "file string, offset bigint, record binary, error string"
 
 
 def read_records(
-    df: DataFrame, max_frame: int = MAX_FRAME_BYTES, batch_bytes: int = BATCH_BYTES
+    df: DataFrame, max_frame: int = MAX_FRAME_BYTES, batch_bytes: int = BATCH_BYTES, ends: bool = False
 ) -> DataFrame:
     """``file, offset, record, error`` of the objects in ``path`` (and ``content``) rows.
 
     Whole objects are the unit of work, as gzip cannot be split. A task holds one
     object and one output batch of about ``batch_bytes``; without a ``content``
     column it opens each path itself and holds a small piece of it only. A broken
-    object keeps its good records and adds one row with the error and the offset.
+    object keeps its good records and adds one row with the error and the offset. For ``ends`` see ``records``.
     """
     arrow = pa.schema(
         [("file", pa.string()), ("offset", pa.int64()), ("record", pa.binary()), ("error", pa.string())]
@@ -172,7 +198,7 @@ def read_records(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
         size = 0
-        for row in records(batches, max_frame):
+        for row in records(batches, max_frame, ends):
             rows.append(row)
             size += len(row[2] or b"")
             if size >= batch_bytes or len(rows) >= BATCH_ROWS:

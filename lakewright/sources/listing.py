@@ -24,6 +24,10 @@ _DIGITS = 13  # epoch millis from September 2001 to 2286
 _RESOLUTION = 8  # listing is pruned to about a day; rows are then filtered exactly
 
 
+#: Left to itself, Spark forgets and skips what is seven days older than the newest object.
+NO_AGE_LIMIT = "36500d"
+
+
 def base_name(path: Column) -> Column:
     return F.substring_index(path, "/", -1)
 
@@ -164,13 +168,15 @@ def stream_objects(
     before: int | None = None,
     exclude: Iterable[str] = (),
     max_bytes_per_trigger: int | None = 500_000_000,
-    max_file_age: str | None = None,
+    max_file_age: str = NO_AGE_LIMIT,
     options: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """The same as an unbounded stream: each trigger takes up to so many bytes of new objects.
 
     An object larger than the limit forms a micro-batch alone. Objects are told
-    apart by path, so one with an older name that turns up late is still read.
+    apart by path, so one with an older name or modification time that turns up late is still read:
+    nothing is too old unless ``max_file_age`` says so. The driver remembers the paths of all objects read, some
+    hundred bytes each and so a few hundred megabytes per million; an age limit or ``cleanSource`` bounds that.
     ``options`` go to Spark's file source, for example ``cleanSource`` with
     ``sourceArchiveDir``, which moves objects away once they are read and so keeps
     the folder that every trigger lists small.
@@ -178,7 +184,5 @@ def stream_objects(
     reader = spark.readStream.format("binaryFile").schema(OBJECT_SCHEMA)
     if max_bytes_per_trigger is not None:
         reader = reader.option("maxBytesPerTrigger", str(max_bytes_per_trigger))
-    if max_file_age is not None:
-        reader = reader.option("maxFileAge", max_file_age)
-    reader = reader.options(**(options or {}))
+    reader = reader.option("maxFileAge", max_file_age).options(**(options or {}))
     return _objects(reader, root, prefix, after, before, exclude)

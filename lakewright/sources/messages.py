@@ -201,6 +201,12 @@ _REJECT_SCHEMA = T.StructType(
 )
 
 
+#: What a row of ``decode_all`` is, and what is known of it beside the message.
+KIND, ABOUT = "row_kind", "about"
+RECORD, REJECT, OBJECT = "record", "reject", "object"
+ABOUT_SCHEMA = T.StructType([*_REJECT_SCHEMA.fields[1:], T.StructField("frames", T.LongType())])
+
+
 class _Decoder:
     """Parses and dates the records of one task, in bounded batches."""
 
@@ -217,17 +223,22 @@ class _Decoder:
         days = (e // self.fmt.date_divisor if e else missing for e in epochs)
         return [d if isinstance(d, str) or abs(d) < 2**31 else "date is out of range" for d in days]
 
-    def batches(self, rows: Iterator[tuple[str, int, bytes | None, str | None]]) -> Iterator[tuple[tuple, list]]:
-        """``(accepted, rejected)`` of (file, offset, record, error) rows.
+    def batches(self, rows: Iterator[tuple[str, int, bytes | None, str | None]]) -> Iterator[tuple[tuple, list, list]]:
+        """``(accepted, rejected, finished)`` of (file, offset, record, error) rows.
 
-        Accepted are lists of files, messages and days; rejected rows are (file, offset, error, record).
+        Accepted are lists of files, messages and days; rejected rows are (file, offset, error, record), finished objects
+        (file, frames).
         """
         parsed: tuple = ([], [], [], [])
         rejected: list[tuple] = []
+        finished: list[tuple] = []
         size = 0
         for path, offset, record, error in rows:
             if record is None:
-                rejected.append((path, offset, error, None))
+                if error is None:
+                    finished.append((path, offset))
+                else:
+                    rejected.append((path, offset, error, None))
                 continue
             try:
                 message = self.parse(record)
@@ -238,10 +249,10 @@ class _Decoder:
                     column.append(value)
             size += len(record)
             if size >= self.fmt.batch_bytes or len(parsed[0]) + len(rejected) >= BATCH_ROWS:
-                yield self._dated(parsed, rejected)
-                parsed, rejected, size = ([], [], [], []), [], 0
-        if parsed[0] or rejected:
-            yield self._dated(parsed, rejected)
+                yield *self._dated(parsed, rejected), finished
+                parsed, rejected, finished, size = ([], [], [], []), [], [], 0
+        if parsed[0] or rejected or finished:
+            yield *self._dated(parsed, rejected), finished
 
     def _dated(self, parsed: tuple, rejected: list) -> tuple[tuple, list]:
         files, messages, offsets, records = parsed
@@ -256,27 +267,46 @@ class _Decoder:
         return (files, messages, days), rejected
 
 
-def _decode(df: DataFrame, fmt: MessageFormat, rows_of: Callable) -> DataFrame:
+def _decode(df: DataFrame, fmt: MessageFormat, rows_of: Callable, whole: bool = False) -> DataFrame:
+    """Rows of the message's columns and ``error``; if ``whole``, of all three kinds with ``about`` and ``row_kind``."""
     schema = fmt.schema()
-    full = T.StructType(schema.fields + [T.StructField("error", T.StringType())])
+    more = [T.StructField(ABOUT, ABOUT_SCHEMA), T.StructField(KIND, T.StringType())]
+    if whole and {f.name for f in more} & set(schema.fieldNames()):
+        raise ValueError(f"fields named {KIND} or {ABOUT} clash with columns of the table")
+    full = T.StructType(schema.fields + (more if whole else [T.StructField("error", T.StringType())]))
     arrow = to_arrow_schema(full)
-    body = pa.struct([arrow.field(i) for i in range(len(arrow) - (3 if fmt.date_field is not None else 2))])
+    n = len(schema.fields)
+    body = pa.struct([arrow.field(i) for i in range(n - (2 if fmt.date_field is not None else 1))])
+    about = to_arrow_schema(ABOUT_SCHEMA)
+
+    def tail(kind: str, rows: int, columns: dict[str, list]) -> list[pa.Array]:
+        """What follows the file's column, given the known columns of ``about`` or none for a record."""
+        if not whole:
+            return [pa.array(columns.get("error", [None] * rows), pa.string())]
+        known = [pa.array(columns.get(f.name, [None] * rows), f.type) for f in about]
+        struct = pa.StructArray.from_arrays(known, fields=list(about), mask=pa.array([not columns] * rows))
+        return [struct, pa.array([kind] * rows, pa.string())]
+
+    def bare(files: list, kind: str, columns: dict[str, list]) -> pa.RecordBatch:
+        """Rows without a message."""
+        nulls = [pa.nulls(len(files), f.type) for f in arrow][: n - 1]
+        return pa.RecordBatch.from_arrays([*nulls, pa.array(files, pa.string()), *tail(kind, len(files), columns)], schema=arrow)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = _Decoder(fmt)
-        for (files, messages, days), rejected in decoder.batches(rows_of(batches)):
+        for (files, messages, days), rejected, finished in decoder.batches(rows_of(batches)):
             if files:
                 columns = _columns(decoder.descriptor, messages, body, fmt.missing)
                 if days is not None:
                     columns.append(pa.array(days, pa.int32()).cast(pa.date32()))
                 columns.append(pa.array(files, pa.string()))
-                columns.append(pa.nulls(len(files), pa.string()))
-                yield pa.RecordBatch.from_arrays(columns, schema=arrow)
+                yield pa.RecordBatch.from_arrays([*columns, *tail(RECORD, len(files), {})], schema=arrow)
             if rejected:
-                nulls = [pa.nulls(len(rejected), f.type) for f in arrow][:-2]
-                file = pa.array([r[0] for r in rejected], pa.string())
-                error = pa.array([r[2] for r in rejected], pa.string())
-                yield pa.RecordBatch.from_arrays([*nulls, file, error], schema=arrow)
+                names, offsets, errors, found = map(list, zip(*rejected))
+                yield bare(names, REJECT, {"offset": offsets, "error": errors, "record": found})
+            if finished and whole:
+                names, counts = map(list, zip(*finished))
+                yield bare(names, OBJECT, {"frames": counts})
 
     return df.mapInArrow(run, full)
 
@@ -291,19 +321,35 @@ def decode_objects(df: DataFrame, fmt: MessageFormat) -> DataFrame:
     return _decode(object_columns(df), fmt, lambda batches: records(batches, fmt.max_frame_bytes))
 
 
+def decode_all(df: DataFrame, fmt: MessageFormat, spread_above: int | None = None, tasks: int = 1) -> DataFrame:
+    """Everything that one reading of the objects gives, told apart by ``row_kind``.
+
+    ``record`` rows have the message's columns; ``reject`` rows have offset, error and bytes in ``about``; one ``object``
+    row per object read to its end or break has the number of frames seen, a broken one counted too, so that frames less
+    rejects are the accepted records. With ``spread_above``, the records of larger objects are parsed by ``tasks`` tasks,
+    as in ``decode_spread``.
+    """
+    if spread_above is None:
+        return _decode(object_columns(df), fmt, lambda batches: records(batches, fmt.max_frame_bytes, True), True)
+    large = read_records(df.where(F.col("length") > spread_above), fmt.max_frame_bytes, fmt.batch_bytes, True)
+    spread = large.repartition(tasks, "file", F.floor(F.col("offset") / _SPREAD_BYTES))
+    return decode_all(df.where(F.col("length") <= spread_above), fmt).unionByName(_decode(spread, fmt, _record_rows, True))
+
+
+def _record_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    for batch in batches:
+        yield from zip(*(column.to_pylist() for column in batch.columns))
+
+
 def decode_records(df: DataFrame, fmt: MessageFormat) -> DataFrame:
-    """The same from the rows of ``read_records``.
+    """The same as ``decode_objects`` from the rows of ``read_records``.
 
     Splitting an object into records is the light part of reading it. Done as a
     stage of its own, the records of a few large objects can be spread over many
     tasks before they are parsed.
     """
 
-    def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        for batch in batches:
-            yield from zip(*(column.to_pylist() for column in batch.columns))
-
-    return _decode(df.select("file", "offset", "record", "error"), fmt, rows_of)
+    return _decode(df.select("file", "offset", "record", "error"), fmt, _record_rows)
 
 
 def decode_spread(df: DataFrame, fmt: MessageFormat, large_bytes: int, tasks: int) -> DataFrame:
@@ -323,7 +369,7 @@ def reject_records(df: DataFrame, fmt: MessageFormat) -> DataFrame:
     arrow = to_arrow_schema(_REJECT_SCHEMA)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, rejected in _Decoder(fmt).batches(records(batches, fmt.max_frame_bytes)):
+        for _, rejected, _ in _Decoder(fmt).batches(records(batches, fmt.max_frame_bytes)):
             if rejected:
                 columns = [pa.array(c, t) for c, t in zip(zip(*rejected), arrow.types)]
                 yield pa.RecordBatch.from_arrays(columns, schema=arrow)

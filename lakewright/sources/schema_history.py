@@ -8,6 +8,7 @@ not have with null: no footer merge over the whole table is ever needed.
 from __future__ import annotations
 
 import json
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -59,19 +60,25 @@ def evolve(old: StructType, new: StructType) -> StructType:
 
 
 def latest_schema(spark: SparkSession, table: str) -> StructType | None:
-    """The last schema recorded for the table, or None."""
+    """The last schema recorded for the table, or None.
+
+    Two writers may have recorded the same version; it is then all they added.
+    """
     try:
-        row = (
-            spark.read.schema(_ROW)
-            .json(f"{table.rstrip('/')}/{_HISTORY}")
-            .orderBy(F.desc("version"))
-            .first()
-        )
+        history = spark.read.schema(_ROW).json(f"{table.rstrip('/')}/{_HISTORY}")
+        last = history.agg(F.max("version")).scalar()
+        found = [StructType.fromJson(json.loads(r.schema_json)) for r in history.where(F.col("version") == last).orderBy("schema_json").collect()]
     except AnalysisException as err:
         if path_is_missing(err):
             return None
         raise
-    return StructType.fromJson(json.loads(row.schema_json)) if row else None
+    return reduce(_combined, found) if found else None
+
+
+def _combined(one: StructType, other: StructType) -> StructType:
+    """Two schemas that grew from the same one, joined by name; conflicting types are refused."""
+    fields = {f.name: f for f in one.fields}
+    return _merge_struct(one, StructType([*fields.values(), *[f for f in other.fields if f.name not in fields]]), "")
 
 
 def record_schema(spark: SparkSession, table: str, schema: StructType) -> StructType:

@@ -1,20 +1,23 @@
-"""Bronze ingest: framed protobuf objects into a date-partitioned table, incrementally."""
+"""Bronze ingest: framed protobuf objects into a date-partitioned table, incrementally or as a batch."""
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StringType, StructField, StructType
 
-from lakewright.sources.listing import stream_objects
-from lakewright.sources.messages import MessageFormat, decode_objects, decode_spread, reject_records
-from lakewright.sources.schema_history import record_schema
-from lakewright.sources.tables import read_table
+from lakewright.plans.backfill import pending_objects_of
+from lakewright.sources.listing import NO_AGE_LIMIT, name_millis, stream_objects
+from lakewright.sources.messages import ABOUT, ABOUT_SCHEMA, KIND, OBJECT, RECORD, REJECT, MessageFormat, decode_all
+from lakewright.sources.schema_history import latest_schema, path_is_missing, record_schema
 from lakewright.streaming.triggers import trigger_options
 
-_METRICS = "ingest"
+BYTES_PER_CORE = 128 * 1024 * 1024  # of objects in a micro-batch, unless told otherwise
 
 
 def ingest_objects(
@@ -29,8 +32,8 @@ def ingest_objects(
     before: int | None = None,
     exclude: Iterable[str] = (),
     already_read: DataFrame | None = None,
-    max_bytes_per_trigger: int | None = 500_000_000,
-    max_file_age: str | None = None,
+    max_bytes_per_trigger: int | None = None,
+    max_file_age: str = NO_AGE_LIMIT,
     trigger: str = "AvailableNow",
     interval: str | None = None,
     table_format: str = "parquet",
@@ -43,7 +46,11 @@ def ingest_objects(
     The checkpoint remembers which objects were read, by path: a restart adds
     nothing twice, and an object with an older name that appears later is still
     taken. The file sink commits each micro-batch whole. ``AvailableNow`` takes
-    what is there in batches of about ``max_bytes_per_trigger`` and stops.
+    what is there in batches of about ``max_bytes_per_trigger`` (128 MB for each core unless given) and stops.
+
+    One reading of the objects gives records, rejects and a row for each finished object. They go through one
+    sink into one table, whose first partition column is their kind, so that all three are complete or absent
+    together; ``read_bronze``, ``read_rejects`` and ``read_ledger`` each read their own partitions.
 
     Spark hands contents to the tasks, up to 2 GB each. With ``open_in_tasks`` it
     only lists, and each task streams its objects through Arrow's file systems:
@@ -57,9 +64,9 @@ def ingest_objects(
     ledger too large to broadcast makes that a shuffle of the source rows: use it with
     ``open_in_tasks``, so that paths are shuffled and not contents.
     ``source_options`` are passed on to the file source.
-    Rejected records are left out and counted (``ingest_counts``); their bytes can
-    be had with ``ingest_rejects``.
     """
+    if max_bytes_per_trigger is None and "maxFilesPerTrigger" not in (source_options or {}):
+        max_bytes_per_trigger = BYTES_PER_CORE * spark.sparkContext.defaultParallelism
     schema = fmt.schema() if table_format != "parquet" else record_schema(spark, target, fmt.schema())
     source_rows = stream_objects(
         spark, source, prefix, after, before, exclude, max_bytes_per_trigger, max_file_age, source_options
@@ -68,22 +75,9 @@ def ingest_objects(
         source_rows = source_rows.drop("content")
     if already_read is not None:
         source_rows = source_rows.join(already_read.select("path"), "path", "left_anti")
-    if spread_above is None:
-        decoded = decode_objects(source_rows, fmt)
-    else:
-        decoded = decode_spread(source_rows, fmt, spread_above, spark.sparkContext.defaultParallelism)
-    rows = (
-        decoded.observe(
-            _METRICS,
-            F.count(F.when(F.col("error").isNull(), 1)).alias("accepted"),
-            F.count("error").alias("rejected"),
-        )
-        .where(F.col("error").isNull())
-        .select(*schema.fieldNames())
-    )
-    writer = rows.writeStream.format(table_format).outputMode("append")
-    if fmt.date_field is not None:
-        writer = writer.partitionBy("date")
+    rows = decode_all(source_rows, fmt, spread_above, spark.sparkContext.defaultParallelism)
+    writer = rows.select(*schema.fieldNames(), ABOUT, KIND).writeStream.format(table_format).outputMode("append")
+    writer = writer.partitionBy(*_partitions(fmt))
     return (
         writer.option("checkpointLocation", checkpoint)
         .option("mergeSchema", "true")  # read by table formats that evolve in their own log
@@ -92,45 +86,69 @@ def ingest_objects(
     )
 
 
-def ingest_counts(query: StreamingQuery) -> dict[str, int]:
-    """Accepted and rejected records over the query's remembered micro-batches."""
-    totals = {"accepted": 0, "rejected": 0}
-    for progress in query.recentProgress:
-        seen = progress.observedMetrics.get(_METRICS)
-        for name in totals:
-            totals[name] += getattr(seen, name) if seen is not None else 0
-    return totals
+def ingest_pending(
+    spark: SparkSession, source: str, target: str, fmt: MessageFormat, *, table_format: str = "parquet", **options
+) -> None:
+    """Append, as one batch, the objects under ``source`` that the table does not hold yet.
 
+    What is pending is told by the table's own ledger; ``options`` are those of ``pending_objects_of``. Records, rejects
+    and object rows are committed together, so a run that is repeated adds nothing. A plain append beside
+    a streaming file sink would not be seen by its readers: it goes to a sibling folder, which the readers
+    here take in. A stream started later on the same source does not know these objects; give it
+    ``already_read=read_ledger(...)``. One such batch may run at a time.
+    """
+    schema = fmt.schema() if table_format != "parquet" else record_schema(spark, target, fmt.schema())
+    pending = pending_objects_of(spark, source, read_ledger(spark, target, table_format), **options)
+    rows = decode_all(pending, fmt).select(*schema.fieldNames(), ABOUT, KIND)
+    folder = _batches(target) if table_format == "parquet" else target
+    rows.write.format(table_format).mode("append").partitionBy(*_partitions(fmt)).save(folder)
 
-def ingest_rejects(
-    spark: SparkSession,
-    source: str,
-    target: str,
-    checkpoint: str,
-    fmt: MessageFormat,
-    *,
-    prefix: str = "",
-    max_bytes_per_trigger: int = 500_000_000,
-    trigger: str = "AvailableNow",
-    interval: str | None = None,
-    table_format: str = "parquet",
-) -> StreamingQuery:
-    """Start collecting the rejected records into a quarantine table.
 
-    A job of its own with its own checkpoint: the main ingest then carries no raw
-    bytes, and this one, which parses but writes no columns, runs when the count of
-    rejected records calls for it.
-    """
-    rows = reject_records(stream_objects(spark, source, prefix, max_bytes_per_trigger=max_bytes_per_trigger), fmt)
-    return (
-        rows.writeStream.format(table_format)
-        .outputMode("append")
-        .option("checkpointLocation", checkpoint)
-        .trigger(**trigger_options(trigger, interval))
-        .start(target)
-    )
+def _partitions(fmt: MessageFormat) -> list[str]:
+    return [KIND] if fmt.date_field is None else [KIND, "date"]
+
+
+def _batches(target: str) -> str:
+    return f"{target.rstrip('/')}-batches"
+
+
+def _rows(spark: SparkSession, target: str, kind: str, table_format: str) -> DataFrame:
+    """The rows of one kind of the stream's table and of the batches beside it; only their partitions are read."""
+    if table_format != "parquet":
+        return spark.read.format(table_format).load(target).where(F.col(KIND) == kind)
+    recorded = latest_schema(spark, target)
+    parts = [StructField(ABOUT, ABOUT_SCHEMA), StructField(KIND, StringType())]
+    schema = StructType((recorded.fields if recorded is not None else [StructField("file", StringType())]) + parts)
+    found = []
+    for folder in (target, _batches(target)):
+        try:
+            found.append(spark.read.schema(schema).parquet(folder).select(*schema.fieldNames()))
+        except AnalysisException as err:
+            if not path_is_missing(err):
+                raise
+    rows = reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], schema)
+    return rows.where(F.col(KIND) == kind)
 
 
 def read_bronze(spark: SparkSession, target: str, table_format: str = "parquet") -> DataFrame:
-    """The ingested table under its evolved schema, empty before the first batch."""
-    return read_table(spark, target, table_format)
+    """The ingested records under their evolved schema, empty before the first batch."""
+    return _rows(spark, target, RECORD, table_format).drop(ABOUT, KIND)
+
+
+def read_rejects(spark: SparkSession, target: str, table_format: str = "parquet") -> DataFrame:
+    """``file, offset, error, record`` of what was read and could not be taken."""
+    rows = _rows(spark, target, REJECT, table_format)
+    return rows.select("file", *(F.col(ABOUT)[c].alias(c) for c in ("offset", "error", "record")))
+
+
+def read_ledger(spark: SparkSession, target: str, table_format: str = "parquet") -> DataFrame:
+    """``path, file_ts, frames`` of every object that was read, also of those that gave no record."""
+    rows = _rows(spark, target, OBJECT, table_format)
+    return rows.select(F.col("file").alias("path"), name_millis(F.col("file")).alias("file_ts"), F.col(ABOUT)["frames"].alias("frames"))
+
+
+def ingest_counts(spark: SparkSession, target: str, table_format: str = "parquet") -> dict[str, int]:
+    """Accepted and rejected records of the whole table, from its ledger and its rejects."""
+    frames = read_ledger(spark, target, table_format).agg(F.sum("frames")).first()[0] or 0
+    rejected = read_rejects(spark, target, table_format).count()
+    return {"accepted": frames - rejected, "rejected": rejected}

@@ -1,3 +1,6 @@
+import os
+import subprocess
+import sys
 import datetime as dt
 
 import pytest
@@ -141,11 +144,25 @@ def test_job_from_environment(spark, tmp_path):
     assert spark.read.parquet(out + "-s").count() == 2
 
 
+def test_command_line(tmp_path, spark):
+    """The module as a process of its own, its environment as the only input."""
+    src, query = str(tmp_path / "src"), tmp_path / "q.sql"
+    reward_rows(spark).write.parquet(src)
+    query.write_text(SILVER_SQL)
+    for name, more in (("b", {"BATCH_PROCESSING": "true"}), ("s", {"CHECKPOINT": str(tmp_path / "ck"), "TRIGGER": "AvailableNow", "PARTITION_BY": "date"})):
+        out = str(tmp_path / name)
+        env = {"TABLE_REWARD_SHARE": src, "OUTPUT": out, "QUERY_PATH": str(query), "OUTPUT_FORMAT": "parquet", **more}
+        command = [sys.executable, "-m", "lakewright.plans.sql_job"]
+        subprocess.run(command, env=os.environ | env | {"SPARK_MASTER": "local[2]"}, check=True, timeout=300, capture_output=True)
+        assert spark.read.parquet(out).count() == 2
+
+
 def test_settings():
     assert conf_from_env({"SPARK_SQL_ANSI_ENABLED": "true", "PATH": "x"}) == {"spark.sql.ansi.enabled": "true"}
     assert tables_from_env({"TABLE_Iot_Share": "p", "T": "q"}) == {"iot_share": "p"}
     conf = s3a_conf("localhost:9000", "k", "s", path_style=True, ssl=False, requester_pays=True)
     assert conf["spark.hadoop.fs.s3a.requester.pays.enabled"] == "true" and len(conf) == 6
+    assert s3a_conf("localhost:9000", bucket="lake") == {"spark.hadoop.fs.s3a.bucket.lake.endpoint": "localhost:9000"}
     assert trigger_options() == {"processingTime": "4 hours"}
     assert trigger_options("AvailableNow") == {"availableNow": True}
     for bad in ("Continuous", "Sometimes"):
