@@ -30,7 +30,7 @@ from lakewright.sources.exports import frame_object, set_modified, write_objects
 from lakewright.sources.framing import read_records
 from lakewright.sources.listing import object_uri, read_objects, select_objects, strip_root
 from lakewright.sources.schema_history import record_schema
-from lakewright.sources.tables import read_table, register_tables
+from lakewright.sources.tables import overwrite_table, read_table, register_tables
 from lakewright.streaming.ingest import ingest_objects, ingest_pending, read_bronze, read_ledger, read_rejects
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -339,6 +339,22 @@ def partition_filter_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query(
+    """select event_id, user_id, event_type, value, cast(ts as date) as date from events
+       where cast(ts as date) = date '2024-01-10' order by event_id limit 25"""
+)
+def partitioned_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A day of a table partitioned by date: only that partition is read."""
+    target = scratch_dir(spark, "dated")
+    dated = _table(spark, sf_dir, "events").withColumn("date", F.col("ts").cast("date"))
+    overwrite_table(dated, target, partition_by=["date"])
+    register_tables(spark, {"DATED_EVENTS": target})
+    return spark.sql(
+        """select event_id, user_id, event_type, value, date from dated_events
+           where date = date '2024-01-10' order by event_id limit 25"""
+    )
+
+
 @_query("select * from part where contains(p_name, 'ring')")
 def string_contains_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = _table(spark, sf_dir, "part")

@@ -26,6 +26,9 @@ def test_filters_and_columns_reach_the_scan(spark, sf):
     plan = plan_of(queries()["partition_filter_limit"](spark, sf))
     assert "GreaterThanOrEqual(ts,2024-01-10" in plan and "LessThan(ts,2024-01-11" in plan
     assert "TakeOrderedAndProject" in plan and "props" not in plan.split("ReadSchema:")[1]
+    plan = plan_of(queries()["partitioned_day"](spark, sf))
+    filters = plan.split("PartitionFilters:")[1].split("]")[0]
+    assert "date#" in filters and "= 2024-01-10" in filters and "props" not in plan.split("ReadSchema:")[1]
     plan = plan_of(queries()["string_contains_filter"](spark, sf))
     assert "StringContains(p_name,ring)" in plan
     plan = plan_of(queries()["column_summary"](spark, sf))
