@@ -2,11 +2,11 @@
 
 Items are taken in order; a batch is closed when the next item would take it over the
 limit, and an item above the limit stands alone. Where a batch starts depends on all
-items before it, yet no task sees a whole group: items are cut into chunks, each chunk
+items before it, yet no task sees a whole group: items are sorted and cut into chunks of a fixed number of rows, each chunk
 is summed up on its own as "entered with a batch already holding t bytes, it is left with
 a batch holding u bytes after closing c", the summaries are chained, and each chunk
-then numbers its own items. Summaries of neighbouring chunks combine into one of the same
-form, so the chain runs over spans of chunks first and inside each span afterwards.
+then numbers its own items. Runs of batches that start at different items soon fall into step, so that most values of t
+lead to the same (c, u): a summary keeps one entry per run of equal outcomes, however many items the limit spans.
 """
 
 from __future__ import annotations
@@ -15,12 +15,15 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakewright.scratch import stage
+
 _NO_BATCH = -1  # entry state of the first chunk: no batch is open
-_SPAN = 512  # chunks summed up by one task on the way to the chain
+_CHUNK_ROWS = 100_000
+_PART_BITS = 33  # of the running number within a partition
 
 
 def _starts(sizes: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
@@ -42,20 +45,20 @@ def _ends(prefix: np.ndarray, following: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def _chunk_summary(sizes: np.ndarray, limit: int) -> dict:
-    """What a batch open on entry leads to, for each item that may close it.
+    """What a batch open on entry leads to, for each run of items that close it with the same outcome.
 
-    Only an item within the first ``limit`` bytes can. ``prefix`` has one sum more
-    than there are such items.
+    Only an item within the first ``limit`` bytes can close it. ``prefix`` has the sum before each run's first item,
+    and one more sum: the total if all items lie within the limit, else one beyond it.
     """
     prefix, following = _starts(sizes, limit)
     closed, left = _ends(prefix, following)
     items = min(int(np.searchsorted(prefix, limit, side="right")), len(sizes))
+    runs = np.flatnonzero(np.concatenate([[True], (np.diff(closed[:items]) != 0) | (np.diff(left[:items]) != 0)]))
     return {
         "total": int(prefix[-1]),
-        "n": len(sizes),
-        "prefix": prefix[: items + 1],
-        "closed": closed[:items],
-        "left": left[:items],
+        "prefix": np.append(prefix[runs], prefix[items]),
+        "closed": closed[runs],
+        "left": left[runs],
     }
 
 
@@ -68,7 +71,7 @@ def _enter(states: np.ndarray, prefix: np.ndarray, limit: int) -> np.ndarray:
 def _pass(row: dict, states: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
     """``(closed, states)`` after a chunk is entered with these bytes in the open batch."""
     at = _enter(states, np.asarray(row["prefix"]), limit)
-    inside = at < row["n"]
+    inside = at < len(row["closed"])
     item = np.minimum(at, len(row["closed"]) - 1)
     closed = np.where(inside, np.asarray(row["closed"])[item] + (states != _NO_BATCH), 0)
     return closed, np.where(inside, np.asarray(row["left"])[item], states + row["total"])
@@ -84,79 +87,47 @@ def _chain(rows: list[dict], state: int, first: int, limit: int) -> list[tuple[i
     return out
 
 
-def _combine(rows: list[dict], limit: int) -> dict:
-    """Summary of ordered neighbouring chunks taken as one."""
-    prefix = closed = left = np.empty(0, dtype=np.int64)
-    total = n = 0
-    for row in rows:
-        more, left = _pass(row, left, limit)
-        sums = total + np.asarray(row["prefix"])[: len(row["closed"])]
-        near = sums <= limit
-        prefix = np.concatenate([prefix, sums[near]])
-        closed = np.concatenate([closed + more, np.asarray(row["closed"])[near]])
-        left = np.concatenate([left, np.asarray(row["left"])[near]])
-        total, n = total + row["total"], n + row["n"]
-    beyond = total if len(prefix) == n else limit + 1
-    return {"total": total, "n": n, "prefix": np.append(prefix, beyond), "closed": closed, "left": left}
-
-
-def assign_batches(
-    df: DataFrame,
-    size: str,
-    limit: int,
-    order: str | Sequence[str],
-    chunk: Column,
-    by: Sequence[str] = (),
-) -> DataFrame:
-    """``df`` with ``batch_no``, counted from 0 within each ``by`` group.
-
-    ``chunk`` numbers the pieces of a group that one task handles. It must not
-    decrease along ``order`` and should keep a piece to some 100,000 rows, for
-    example the day or hour of an object's timestamp. What is chained per group is
-    one row per span of 512 chunk numbers, holding the items within its first
-    ``limit`` bytes only; so chunks should hold several times ``limit`` bytes.
+def assign_batches(df: DataFrame, size: str, limit: int, order: str | Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """``df`` with ``batch_no``, counted from 0 within each ``by`` group along ``order``.
+
+    The sorted rows are written once to the shared folder; after that, Python sees keys, order and sizes only, at most
+    a chunk at a time. What comes together per group is one short summary per 100,000 rows. Columns
+    beyond those are joined back at the end. Rows that tie in ``order`` are taken in an arbitrary order.
     """
     order = [order] if isinstance(order, str) else list(order)
     by = list(by)
     keys = [F.col(c) for c in by] or [F.lit(0).alias("_all")]
-    rows = df.withColumn("_chunk", chunk.cast("bigint"))
-    narrow = rows.select(*by, "_chunk", *order, F.col(size).cast("bigint").alias("_size"))
+    numbered = df.orderBy(*by, *order).withColumns(
+        {"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id().bitwiseAND((1 << _PART_BITS) - 1)}
+    )
+    rows = stage(numbered, "ordered")
+    chunk = F.shiftleft(F.col("_part").cast("bigint"), _PART_BITS) + F.floor(F.col("_at") / _CHUNK_ROWS)
+    own = list(dict.fromkeys([*by, *order, size]))
+    narrow = rows.select(*own, "_part", "_at", chunk.alias("_chunk"), F.col(size).cast("bigint").alias("_size"))
     by_schema = T.StructType([df.schema[c] for c in by]).add("_chunk", T.LongType())
     array = T.ArrayType(T.LongType())
     summary_schema = T.StructType(
-        by_schema.fields
-        + [T.StructField("total", T.LongType()), T.StructField("n", T.LongType())]
-        + [T.StructField(c, array) for c in ("prefix", "closed", "left")]
+        [*by_schema.fields, T.StructField("total", T.LongType()), *(T.StructField(c, array) for c in ("prefix", "closed", "left"))]
     )
     entry_schema = T.StructType(
-        by_schema.fields + [T.StructField("_state", T.LongType()), T.StructField("_first", T.LongType())]
+        [*by_schema.fields, T.StructField("_state", T.LongType()), T.StructField("_first", T.LongType())]
     )
-    out_schema = T.StructType(df.schema.fields + [T.StructField("batch_no", T.LongType())])
+    whole = set(own) == set(df.columns)
+    kept = [df.schema[c] for c in own] if whole else [rows.schema["_part"], rows.schema["_at"]]
+    out_schema = T.StructType([*kept, T.StructField("batch_no", T.LongType())])
 
     def summarise(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        sizes = pdf.sort_values(order)["_size"].to_numpy(dtype=np.int64)
+        sizes = pdf.sort_values("_at")["_size"].to_numpy(dtype=np.int64)
         return pd.DataFrame([[*key, *_chunk_summary(sizes, limit).values()]], columns=summary_schema.fieldNames())
 
-    def summary_of(rows: pd.DataFrame) -> list[dict]:
-        return rows.sort_values("_chunk").to_dict("records")
-
-    def combine(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame([[*key, *_combine(summary_of(pdf), limit).values()]], columns=summary_schema.fieldNames())
-
-    def entries_of(head: list, entries: list[tuple[int, int, int]]) -> pd.DataFrame:
-        return pd.DataFrame([[*head, *e] for e in entries], columns=entry_schema.fieldNames())
-
     def chain(pdf: pd.DataFrame) -> pd.DataFrame:
         head = [pdf[c].iloc[0] for c in by]
-        return entries_of(head, _chain(summary_of(pdf), _NO_BATCH, 0, limit))
-
-    def chain_span(key: tuple, pdf: pd.DataFrame, entry: pd.DataFrame) -> pd.DataFrame:
-        state, first = int(entry["_state"].iloc[0]), int(entry["_first"].iloc[0])
-        return entries_of(list(key[:-1]), _chain(summary_of(pdf), state, first, limit))
+        found = _chain(pdf.sort_values("_chunk").to_dict("records"), _NO_BATCH, 0, limit)
+        return pd.DataFrame([[*head, *e] for e in found], columns=entry_schema.fieldNames())
 
     def number(key: tuple, pdf: pd.DataFrame, entry: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order)
-        sizes = pdf[size].to_numpy(dtype=np.int64)
+        pdf = pdf.sort_values("_at")
+        sizes = pdf["_size"].to_numpy(dtype=np.int64)
         state, first = int(entry["_state"].iloc[0]), int(entry["_first"].iloc[0])
         prefix, following = _starts(sizes, limit)
         starts = np.zeros(len(sizes), dtype=np.int64)
@@ -168,15 +139,9 @@ def assign_batches(
         offset = first - (1 if state == _NO_BATCH else 0)
         return pdf.assign(batch_no=np.cumsum(starts) + offset)[out_schema.fieldNames()]
 
-    span = F.floor(F.col("_chunk") / _SPAN).alias("_span")
-    summaries = narrow.groupBy(*by, "_chunk").applyInPandas(summarise, summary_schema)
-    spans = summaries.groupBy(*by, span).applyInPandas(combine, summary_schema)
-    span_entries = spans.groupBy(*keys).applyInPandas(chain, entry_schema)
-    entries = (
-        summaries.groupBy(*by, span)
-        .cogroup(span_entries.groupBy(*by, F.col("_chunk").alias("_span")))
-        .applyInPandas(chain_span, entry_schema)
-    )
-    return (
-        rows.groupBy(*by, "_chunk").cogroup(entries.groupBy(*by, "_chunk")).applyInPandas(number, out_schema)
-    )
+    summaries = narrow.select(*by, "_chunk", "_at", "_size").groupBy(*by, "_chunk").applyInPandas(summarise, summary_schema)
+    entries = summaries.groupBy(*keys).applyInPandas(chain, entry_schema)
+    found = narrow.groupBy(*by, "_chunk").cogroup(entries.groupBy(*by, "_chunk")).applyInPandas(number, out_schema)
+    if not whole:
+        found = rows.join(found, ["_part", "_at"])
+    return found.select(*df.columns, "batch_no")

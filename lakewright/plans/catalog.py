@@ -475,7 +475,7 @@ def _greedy_sql(items: str, limit: int) -> str:
 )
 def size_bounded_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages").select("page_id", F.octet_length("html").cast("bigint").alias("size"))
-    return assign_batches(pages, "size", 65_536, "page_id", F.floor(F.col("page_id") / 2_000))
+    return assign_batches(pages, "size", 65_536, "page_id")
 
 
 @_query(
@@ -490,7 +490,7 @@ def size_bounded_batches_by_prefix(spark: SparkSession, sf_dir: str) -> DataFram
     events = _table(spark, sf_dir, "events").select(
         "event_type", "event_id", F.octet_length("props").cast("bigint").alias("size")
     )
-    return assign_batches(events, "size", 400, "event_id", F.floor(F.col("event_id") / 2_000), by=["event_type"])
+    return assign_batches(events, "size", 400, "event_id", by=["event_type"])
 
 
 # --- objects and ingest -----------------------------------------------------

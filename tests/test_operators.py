@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from lakewright.operators import batching
-from lakewright.operators.batching import _chain, _chunk_summary, _combine, _pass, assign_batches
+from lakewright.operators.batching import _chain, _chunk_summary, _pass, assign_batches
 from lakewright.operators.history import append_history, extend_history, holds_date, replace_dates
 from lakewright.operators.outliers import keep_positive, trim_above_quantile
 from lakewright.operators.quantile import narrowed_quantile
@@ -228,7 +228,7 @@ def greedy(sizes, limit):
     st.integers(1, 120),
     st.integers(-1, 130),
 )
-def test_chunk_summaries_chain_and_combine_exactly(chunks, limit, state):
+def test_chunk_summaries_chain_exactly(chunks, limit, state):
     """Entering with ``state`` bytes gives the closes and bytes of a greedy run over all items."""
     rows = [{"_chunk": i, **_chunk_summary(np.array(c), limit)} for i, c in enumerate(chunks)]
     sizes = [s for c in chunks for s in c]
@@ -240,15 +240,17 @@ def test_chunk_summaries_chain_and_combine_exactly(chunks, limit, state):
                 total, n = 0, n + 1
             total = (total or 0) + s
     assert [(s, f) for _, s, f in _chain(rows, state, 0, limit)] == entry
-    whole = _combine(rows, limit)
-    halves = [_combine(r, limit) for r in (rows[: len(rows) // 2], rows[len(rows) // 2 :]) if r]
-    for summary in (whole, _combine(halves, limit), _chunk_summary(np.array(sizes), limit)):
-        closed, left = _pass(summary, np.array([state]), limit)
-        assert (int(closed[0]), int(left[0])) == (n, total)
+    closed, left = _pass(_chunk_summary(np.array(sizes), limit), np.array([state]), limit)
+    assert (int(closed[0]), int(left[0])) == (n, total)
+
+
+def test_summaries_stay_short():
+    rnd = np.random.default_rng(4)
+    for sizes in (rnd.integers(0, 2000, 100_000), np.zeros(100_000, np.int64), np.arange(100_000) % 7):
+        assert len(_chunk_summary(sizes, 10_000_000)["closed"]) < 5000
 
 
 def test_assign_batches(spark, monkeypatch):
-    monkeypatch.setattr(batching, "_SPAN", 8)
     rnd = random.Random(5)
     rows = []
     for g in "ab":
@@ -258,11 +260,23 @@ def test_assign_batches(spark, monkeypatch):
     for g in "ab":
         for (_, i, _), b in zip([r for r in rows if r[0] == g], greedy([r[2] for r in rows if r[0] == g], 100)):
             want[g, i] = b
-    for width in (1, 7, 1000):
-        got = assign_batches(df, "size", 100, "i", F.floor(F.col("i") / width), by=["g"]).collect()
+    for chunk in (1, 7, 1000):
+        monkeypatch.setattr(batching, "_CHUNK_ROWS", chunk)
+        got = assign_batches(df, "size", 100, "i", by=["g"]).collect()
         assert {(r.g, r.i): r.batch_no for r in got} == want
-    one = assign_batches(df.where("g = 'a'"), "size", 100, ["i"], F.floor(F.col("i") / 20)).collect()
-    assert {("a", r.i): r.batch_no for r in one} == {k: v for k, v in want.items() if k[0] == "a"}
+    one = assign_batches(df.where("g = 'a'").withColumn("more", F.lit("x")), "size", 100, ["i"])
+    assert one.columns == ["g", "i", "size", "more", "batch_no"]
+    assert {("a", r.i): r.batch_no for r in one.collect()} == {k: v for k, v in want.items() if k[0] == "a"}
+    assert assign_batches(df.where("false"), "size", 100, "i").count() == 0
+
+
+def test_batches_of_one_day_with_many_empty_items(spark, monkeypatch):
+    """Nothing but the order tells the items apart, and most of them weigh nothing."""
+    monkeypatch.setattr(batching, "_CHUNK_ROWS", 500)
+    sizes = [60 if i % 97 == 0 else 0 for i in range(20_000)]
+    df = spark.createDataFrame([(0, i, s) for i, s in enumerate(sizes)], "day int, i long, size long").repartition(7)
+    got = {r.i: r.batch_no for r in assign_batches(df, "size", 100, "i", by=["day"]).collect()}
+    assert [got[i] for i in range(len(sizes))] == greedy(sizes, 100)
 
 
 # --- listing and resume -----------------------------------------------------
