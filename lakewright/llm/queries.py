@@ -75,6 +75,36 @@ def op4_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# The checksum's table holds the remainders of the reflected CRC-32 polynomial (a fixed value), byte by byte.
+ORACLES["op4_feistel_shards"] = r"""
+with recursive crc_table as (
+  select list(list_reduce(range(8), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, i) order by i) as t
+  from range(256) r(i)),
+docs as (
+  select doc_id, octet_length(encode(coalesce(text, '')))::bigint + 1 as size, hex(encode(coalesce(text, ''))) as h,
+         row_number() over (order by doc_id) - 1 as row_no, count(*) over () as n
+  from documents),
+sums as (
+  select doc_id, size, row_no, n, ceil(sqrt(n))::bigint as side,
+         xor(list_reduce(list_transform(range(0, length(h), 2), lambda i: ('0x' || h[i + 1 : i + 2])::bigint),
+           lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1]), 4294967295), 4294967295) as text_crc32
+  from docs, crc_table),
+walk as (
+  select row_no, n, side, row_no as x, false as done from sums
+  union all
+  select row_no, n, side, l4 * side + r4, l4 * side + r4 < n
+  from (select *, r3 as l4, (l3 + ('0x' || left(md5('0:3:' || r3), 12))::bigint) % side as r4
+  from (select *, r2 as l3, (l2 + ('0x' || left(md5('0:2:' || r2), 12))::bigint) % side as r3
+  from (select *, r1 as l2, (l1 + ('0x' || left(md5('0:1:' || r1), 12))::bigint) % side as r2
+  from (select *, x % side as l1, (x // side + ('0x' || left(md5('0:0:' || (x % side)), 12))::bigint) % side as r1
+  from walk where not done))))),
+places as (select row_no, x as place from walk where done)
+select doc_id, size, text_crc32::bigint as text_crc32, 'rows' as law, (place % 8)::int as shard, (place // 8)::bigint as slot,
+       null::int as grown_shard
+from sums join places using (row_no)
+"""
+
+
 @query
 def op5_backoff_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.crc32(F.col("id").cast("string").cast("binary")) % 7 == 2
@@ -110,6 +140,28 @@ def op8_tensored_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_groups(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
 
 
+# All pairs that share a shingle.
+ORACLES["op8_tensored_minhash"] = r"""
+with recursive words as (
+  select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda w: w <> '') as w
+  from documents),
+sets as (
+  select doc_id, list_distinct(list_transform(range(greatest(len(w) - 4, least(len(w), 1))), lambda i: array_to_string(w[i + 1 : i + 5], ' '))) as s
+  from words),
+shingles as (select doc_id, len(s) as n, unnest(s) as x from sets),
+links as (
+  select a.doc_id as a, b.doc_id as b from shingles a join shingles b on a.x = b.x and a.doc_id <> b.doc_id
+  group by a.doc_id, b.doc_id, a.n, b.n having 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+reach as (
+  select doc_id as a, doc_id as b from documents
+  union
+  select r.a, l.b from reach r join links l on l.a = r.b),
+components as (select a as doc_id, min(b) as component_id from reach group by a)
+select doc_id, len(s) as n_shingles, component_id, doc_id = component_id as kept from sets join components using (doc_id)
+"""
+
+
 @query
 def op9_binary_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
@@ -124,3 +176,43 @@ def op10_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), "n_chars", sha256("edited").alias("edited_sha256"),
         "fingerprint", "edited_fingerprint", "near_edited", "near_next",
     )
+
+
+ORACLES["op10_merkle_fingerprints"] = r"""
+with docs as (
+  select doc_id, coalesce(text, '') as text, row_number() over (order by doc_id desc) as k, count(*) over () as n
+  from documents),
+pairs as (
+  select d.doc_id, d.text, e.text as following,
+         left(d.text, length(d.text) - length(d.text) // 3) || left(e.text, length(d.text) // 3) as edited
+  from docs d join docs e on e.k = d.k % d.n + 1),
+texts as (select distinct t from (select text as t from pairs union all select edited from pairs)),
+leaves as (
+  select t, list_transform(string_split(t, chr(10) || chr(10)), lambda s: list_transform(string_split(s, chr(10)),
+    lambda p: list_transform(range(0, len(string_split(p, ' ')), 8),
+      lambda i: sha256(array_to_string(string_split(p, ' ')[i + 1 : i + 8], ' '))))) as tree
+  from texts),
+paragraphs as (
+  select t, list_transform(tree, lambda s: list_transform(s, lambda l: {
+    'digest': sha256(array_to_string(l, '')),
+    'below': array_to_string(list_transform(l, lambda x: ' L' || left(x, 8)), '')})) as tree
+  from leaves),
+sections as (
+  select t, list_transform(tree, lambda s: {
+    'digest': sha256(array_to_string(list_transform(s, lambda p: p.digest), '')),
+    'below': array_to_string(list_transform(s, lambda p: ' P' || left(p.digest, 16) || p.below), '')}) as tree
+  from paragraphs),
+prints as (
+  select t, 'R' || sha256(array_to_string(list_transform(tree, lambda s: s.digest), ''))
+    || array_to_string(list_transform(tree, lambda s: ' S' || left(s.digest, 16) || s.below), '') as f
+  from sections),
+nodes as (
+  select p.doc_id, p.text, p.edited, a.f as own, b.f as other,
+         list_distinct(string_split(a.f, ' ')) as x, list_distinct(string_split(b.f, ' ')) as y,
+         list_distinct(string_split(c.f, ' ')) as z
+  from pairs p join prints a on a.t = p.text join prints b on b.t = p.edited join prints c on c.t = p.following)
+select doc_id, length(text) as n_chars, sha256(edited) as edited_sha256, own as fingerprint, other as edited_fingerprint,
+       len(list_intersect(x, y)) / len(list_distinct(list_concat(x, y))) as near_edited,
+       len(list_intersect(x, z)) / len(list_distinct(list_concat(x, z))) as near_next
+from nodes
+"""
