@@ -6,9 +6,11 @@ side give ``halves**2`` tables for the minhashes of ``2 * halves`` half keys. A
 one has too, so that nearly all documents drop out before any pair of halves is formed.
 
 Documents with equal sets are one class and go on as their smallest member. Within a table's key the first and the last
-document stand for the others: every other one is compared with those two, not with each other. Comparing
-goes on only where a key still joins documents of different components, so that a group of near copies costs as
-many comparisons as it has members, while no pair that shares a key and might still change the outcome is left out.
+document stand for the others: every other one is compared with those two, not with each other. Where a key
+then still joins documents of different components, those documents are put through an exact filter on their rarest shingles
+(``crossing``), which leaves out no link between components and, unlike the keys, is not met by texts that only share a
+common passage. So a group of near copies costs as many comparisons as it has members, and no pairs are formed of texts
+that merely resemble each other.
 """
 
 from __future__ import annotations
@@ -19,8 +21,9 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from lakewright.llm.rows import keyed
 from lakewright.scratch import stage
@@ -132,13 +135,13 @@ def components(links: DataFrame) -> DataFrame:
     """``rid, component``: for every end of a link the smallest key it can reach.
 
     Alternates two steps that hang the neighbours of a node below the smallest of them, first the
-    larger ones, then the smaller ones, until nothing changes: a number of rounds logarithmic in the longest chain.
+    larger ones, then the smaller ones, until all hang on one: a number of rounds logarithmic in the longest chain.
     """
 
     def both_ways(edges: DataFrame) -> DataFrame:
         return edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
 
-    def hung(edges: DataFrame, side: DataFrame, larger: bool) -> DataFrame:
+    def hung(side: DataFrame, larger: bool) -> DataFrame:
         lowest = stage(side.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m")), "lowest")
         below = side.where("b > a") if larger else side
         moved = below.join(lowest, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
@@ -146,14 +149,17 @@ def components(links: DataFrame) -> DataFrame:
             moved = moved.unionByName(lowest.select("a", F.col("m").alias("b")))
         return stage(moved.where("a <> b").distinct(), "edges")
 
-    def state(edges: DataFrame) -> tuple:
-        return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first())
+    def done(edges: DataFrame) -> bool:
+        """Whether all nodes hang on one node each, and those on none."""
+        ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("below"), F.lit(0).alias("above"))
+        ends = ends.unionByName(edges.select(F.col("b").alias("node"), F.lit(0).alias("below"), F.lit(1).alias("above")))
+        counted = ends.groupBy("node").agg(F.sum("below").alias("below"), F.max("above").alias("above"))
+        return counted.where("below > 1 or (below > 0 and above > 0)").isEmpty()
 
     edges = stage(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "edges")
-    before = None
-    while before != (before := state(edges)):
-        edges = hung(edges, both_ways(edges), True)
-        edges = hung(edges, edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), False)
+    while not done(edges):
+        edges = hung(both_ways(edges), True)
+        edges = hung(edges, False)
     flat = edges.select(F.col("a").alias("rid"), F.col("b").alias("component"))
     return flat.unionByName(flat.select(F.col("component").alias("rid"), "component").distinct())
 
@@ -197,21 +203,61 @@ def alike(rows: DataFrame, settings: Settings) -> DataFrame:
     links = stage(confirmed(fitting(stars.where("a <> b").distinct()), texts, settings), "links")
     joined = components(links)
 
-    # what is left: keys that still hold documents of several components
+    # keys that still hold documents of several components
     labelled = held.select("key", "rid").join(joined, "rid", "left").select("key", "rid", F.coalesce("component", "rid").alias("c"))
     labelled = stage(labelled, "labelled")
-    mixed = stage(labelled.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key"), "mixed")
-    open_keys = stage(labelled.join(mixed, "key"), "open")
-    other = open_keys.select("key", F.col("rid").alias("b"), F.col("c").alias("c_b"))
-    across = open_keys.withColumnRenamed("rid", "a").join(other, "key").where("c < c_b")
-    across = across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    done = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    rest = fitting(across.join(done, ["a", "b"], "left_anti"))
-    more = stage(confirmed(rest, texts, settings), "links")
-    final = components(links.unionByName(more)).withColumnRenamed("rid", "first")
+    mixed = labelled.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key")
+    still_open = stage(labelled.join(stage(mixed, "mixed"), "key").select("rid", "c").distinct(), "open")
+    more = stage(confirmed(crossing(still_open, texts, settings), texts, settings), "links")
+    final = joined
+    if not more.isEmpty():
+        final = components(joined.select(F.col("rid").alias("a"), F.col("component").alias("b")).unionByName(more))
+    final = final.withColumnRenamed("rid", "first")
     return members.join(final, "first", "left").select("rid", "n", F.coalesce("component", "first").alias("component"))
 
 
+def crossing(docs: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
+    """``a, b``: every pair of the ``rid, c`` rows that may be linked and lies in two components ``c``, and few others.
+
+    With all sets in one order, rarest shingles first, two sets that are alike enough share one within their first
+    few: of the smaller set, those that may lie outside the required overlap with an equally large one, of the
+    larger one, outside the least overlap it can be linked by. What comes after the first shared shingle must
+    suffice for the rest of the overlap. A shingle of one document only takes a place in this order and nothing else.
+    """
+    percent = settings.percent
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rid, text in zip(batch.column("rid").to_pylist(), batch.column("bytes")):
+                found = shingles(text.as_py(), settings.words)
+                same = [pa.array(np.full(len(found), x)) for x in (rid, len(found))]
+                yield pa.RecordBatch.from_arrays([same[0], pa.array(found.view(np.int64)), same[1]], names=["rid", "value", "n"])
+
+    found = texts.join(docs.select("rid"), "rid").select("rid", "bytes").mapInArrow(run, "rid long, value long, n long")
+    found = stage(found, "shingles")
+    shared = stage(found.groupBy("value").agg(F.count("*").alias("df")).where("df > 1"), "shared_shingles")
+    own = Window.partitionBy("rid")
+    before = F.col("n") - F.count("*").over(own)  # shingles that no other document has
+    ranked = found.join(shared, "value").withColumn("at", before + F.row_number().over(own.orderBy("df", "value")))
+    first = ranked.where(F.col("at") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)
+    first = stage(first.join(docs, "rid").select("value", "rid", "c", "n", "at"), "prefixes")
+    # the largest component that holds a shingle need not meet itself
+    counted = first.groupBy("value", "c").count().groupBy("value")
+    largest = counted.agg(F.max_by("c", "count").alias("largest"), F.count("*").alias("several")).where("several > 1")
+    held = stage(first.join(stage(largest.select("value", "largest"), "largest"), "value"), "meeting")
+    a = held.where("c <> largest").select("value", F.struct("rid", "c", "n", "at").alias("x"))
+    b = held.select("value", F.struct("rid", "c", "n", "at").alias("y"))
+    x, y, both = F.col("x"), F.col("y"), F.col("x.n") + F.col("y.n")
+
+    def smaller(p: Column, q: Column) -> Column:
+        return (p["n"] <= q["n"]) & (p["at"] <= p["n"] - F.ceil(p["n"] * 2 * percent / (100 + percent)) + 1)
+
+    enough = 1 + F.least(x["n"] - x["at"], y["n"] - y["at"]) >= F.ceil(both * percent / (100 + percent))
+    sizes = 100 * F.least(x["n"], y["n"]) >= percent * F.greatest(x["n"], y["n"])
+    pairs = a.join(b, "value").where((x["c"] != y["c"]) & sizes & enough & (smaller(x, y) | smaller(y, x)))
+    return pairs.select(F.least("x.rid", "y.rid").alias("a"), F.greatest("x.rid", "y.rid").alias("b")).distinct()
+
+
 def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", settings: Settings = Settings()) -> DataFrame:
     """``id, n_shingles, component_id, kept`` per row; of each component the row with the smallest id is kept.
 
