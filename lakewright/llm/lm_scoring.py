@@ -36,6 +36,7 @@ from lakewright.llm.rows import keyed
 from lakewright.scratch import stage
 
 END = b"\n"  # no word holds white space
+AT_ONCE = 4 << 20  # bytes of texts whose words a task holds together when it scores
 BLOCK_BITS = 20  # a block's number shares a long with a count
 
 
@@ -51,13 +52,12 @@ class Settings:
 
 def word_keys(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """64-bit keys of all words of all texts, each text followed by the end mark; and the tokens of each text."""
-    key, words, counts = xxhash.xxh3_64_intdigest, [], []
+    key, found = xxhash.xxh3_64_intdigest, [np.array([], np.uint64)]
     for text in texts:
         own = text.lower().split()  # of bytes: A-Z, and white space from 9 to 13 and 32
-        words += own
-        words.append(END)
-        counts.append(len(own) + 1)
-    return np.array([key(w) for w in words], np.uint64).view(np.int64), np.array(counts, np.int64)
+        own.append(END)
+        found.append(np.array([key(w) for w in own], np.uint64))
+    return np.concatenate(found).view(np.int64), np.array([len(x) for x in found[1:]], np.int64)
 
 
 END_KEY = int(word_keys([b""])[0][0])
@@ -218,16 +218,19 @@ class Automaton:
         return tuple(np.add.reduceat(x, starts) for x in (seen > 0, root, weight))
 
 
+def runs_of(values: np.ndarray) -> list[tuple[int, int]]:
+    """Where runs of equal values start and end."""
+    cuts = [0, *(np.flatnonzero(np.diff(values)) + 1).tolist(), len(values)]
+    return [(a, b) for a, b in zip(cuts, cuts[1:]) if a < b]
+
+
 def _scored(sent, settings: Settings):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         contexts, block, parts, automaton = sent.value, None, ([], []), None
         for whole in batches:
             blocks = whole.column("block").to_numpy()
-            cuts = [0, *(np.flatnonzero(np.diff(blocks)) + 1).tolist(), len(blocks)]
-            for at, to in zip(cuts, cuts[1:]):
+            for at, to in runs_of(blocks):
                 batch = whole.slice(at, to - at)
-                if to == at:
-                    continue
                 if blocks[at] != block:
                     block, parts, automaton = blocks[at], ([], []), None
                 kinds = batch.column("kind").to_numpy()
@@ -242,13 +245,16 @@ def _scored(sent, settings: Settings):
                     empty = (np.array([], np.int64), np.array([], np.int64))
                     tables = [np.concatenate(x) for kind in (0, 1) for x in zip(*parts[kind] or [empty])]
                     automaton, parts = Automaton(contexts, settings, *tables), ([], [])
-                words, counts = word_keys(docs.column("bytes").to_pylist())
-                known, base, score = automaton.run(words, counts)
-                total = np.full(len(counts), contexts.tokens)
-                columns = [pa.array(counts), pa.array(known.astype(np.int64)), pa.array(total, pa.int64()), pa.array(base), pa.array(score)]
-                yield pa.RecordBatch.from_arrays(
-                    [docs.column("id"), docs.column("train"), *columns],
-                    names=["id", "train", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
-                )
+                sizes = np.cumsum([len(x.as_buffer()) for x in docs.column("bytes")])
+                for first, last in runs_of(sizes // AT_ONCE):
+                    run_of = docs.slice(first, last - first)
+                    words, counts = word_keys(run_of.column("bytes").to_pylist())
+                    known, base, score = automaton.run(words, counts)
+                    total = np.full(len(counts), contexts.tokens)
+                    columns = [pa.array(counts), pa.array(known.astype(np.int64)), pa.array(total, pa.int64()), pa.array(base), pa.array(score)]
+                    yield pa.RecordBatch.from_arrays(
+                        [run_of.column("id"), run_of.column("train"), *columns],
+                        names=["id", "train", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
+                    )
 
     return run
