@@ -12,11 +12,10 @@ weighted log10 p(w). Every arc leads to the state of its word, or to the root if
 once from left to right, starting in the state of the end mark, following an arc or the failure arc and
 then the root's, and adding up weights.
 
-Nothing that grows with the corpus is held in one place. Words of at least a fixed share of all tokens make up
-the contexts: they cannot be more than the inverse of that share, so their counts and failure weights are
-sent to all tasks. All other counts and all pairs stay distributed. Documents are read in blocks of
+Nothing that grows with the corpus is held in one place. Every word is a context and every pair is keyed by the keys of
+its two words; counts are made by shuffles, and so is what the pairs of a context take. Documents are read in blocks of
 neighbouring ids; a block asks for the words and pairs that occur in it, gets their counts from all training
-documents, and runs on the part of the automaton that its own texts can reach.
+documents, numbers its own words, and runs on the part of the automaton that its own texts can reach.
 """
 
 from __future__ import annotations
@@ -37,14 +36,17 @@ from lakewright.scratch import stage
 
 END = b"\n"  # no word holds white space
 AT_ONCE = 4 << 20  # bytes of texts whose words a task holds together when it scores
+COUNTED = 8 << 20  # and when it counts
+OUT_ROWS = 100_000  # of counts handed over together
 BLOCK_BITS = 20  # a block's number shares a long with a count
+PACKED = 1 << 19  # rows of pairs that a task packs together, by block
 
 
 @dataclass(frozen=True)
 class Settings:
-    """``share``: a context word's least share of all tokens. ``least``: a pair's least count. ``block_bytes``: text per block."""
+    """``least``: a pair's least count. ``block_bytes``: text per block. ``share``: 0, or a context word's least share of all tokens for a smaller model."""
 
-    share: float = 1e-5
+    share: float = 0.0
     least: int = 2
     discount: float = 0.75
     block_bytes: int = 32 << 20
@@ -79,39 +81,114 @@ def pairs_of(states: np.ndarray, counts: np.ndarray, end_state: int) -> np.ndarr
     return np.where((before >= 0) & (states >= 0), before << 32 | states, -1)
 
 
-def _counted(make, contexts=None):
-    """A function over batches of ``block, train, bytes`` giving each block's distinct keys and how often its training texts hold them."""
+def _parts(batches: Iterator[pa.RecordBatch]):
+    """Of batches of ``block, train, bytes``: each block, its words, the tokens of each text, and 1 for each token to learn from."""
+    for batch in batches:
+        blocks = batch.column("block").to_numpy()
+        train = batch.column("train").to_numpy(zero_copy_only=False).astype(np.int64)
+        for block in np.unique(blocks).tolist():
+            rows = np.flatnonzero(blocks == block)
+            own = batch.column("bytes").take(pa.array(rows))
+            sizes = np.cumsum([len(x.as_buffer()) for x in own])
+            for first, last in runs_of(sizes // COUNTED):
+                words, counts = word_keys(own.slice(first, last - first).to_pylist())
+                yield block, words, counts, np.repeat(train[rows[first:last]], counts)
+
+
+def _handed_over(columns: list[np.ndarray], names: list[str]) -> Iterator[pa.RecordBatch]:
+    for at in range(0, len(columns[0]), OUT_ROWS):
+        yield pa.RecordBatch.from_arrays([pa.array(x[at : at + OUT_ROWS]) for x in columns], names=names)
+
+
+def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each block's distinct words and how often its training texts hold them."""
+    for block, words, _, learnt in _parts(batches):
+        known, n = np.unique(words, return_inverse=True)
+        times = np.bincount(n, weights=learnt, minlength=len(known)).astype(np.int64)
+        yield from _handed_over([known, times << BLOCK_BITS | block], ["key", "packed"])
+
+
+def _pairs(frequent=None):
+    """A function giving each block's distinct pairs and how often its training texts hold them; only pairs of ``frequent`` words, if given."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = contexts.value.keys if contexts else None
-        for batch in batches:
-            blocks = batch.column("block").to_numpy()
-            train = batch.column("train").to_numpy(zero_copy_only=False)
-            texts = batch.column("bytes").to_pylist()
-            for block in np.unique(blocks).tolist():
-                rows = np.flatnonzero(blocks == block)
-                words, counts = word_keys([texts[i] for i in rows])
-                keys = make(words, counts, table)
-                known, n = np.unique(keys, return_inverse=True)
-                times = np.bincount(n, weights=np.repeat(train[rows], counts), minlength=len(known)).astype(np.int64)
-                if make is not _words:
-                    known, times = known[known >= 0], times[known >= 0]
-                yield pa.RecordBatch.from_arrays([pa.array(known), pa.array(times << BLOCK_BITS | block)], names=["key", "packed"])
+        for block, words, counts, learnt in _parts(batches):
+            known, own = np.unique(words, return_inverse=True)
+            if frequent is not None:
+                own = np.where(find(frequent.value, known) >= 0, np.arange(len(known)), -1)[own]
+            pairs = pairs_of(own, counts, own[counts[0] - 1])  # behind the first text comes an end mark
+            del words, own
+            pairs <<= 1  # a word's number in a block has fewer than 31 bits; what is negative stays so
+            pairs |= learnt
+            pairs.sort()
+            pairs = pairs[np.searchsorted(pairs, 0) :]
+            starts = changes(pairs >> 1)
+            times = np.add.reduceat(pairs & 1, starts) if len(pairs) else pairs
+            pairs = pairs[starts] >> 1
+            columns = [known[pairs >> 32], known[pairs & 0xFFFFFFFF], times << BLOCK_BITS | block]
+            yield from _handed_over(columns, ["before", "key", "packed"])
 
     return run
 
 
-def _words(words, counts, table):
-    return words
+def changes(*columns: np.ndarray) -> np.ndarray:
+    """Where runs of equal rows start."""
+    if not len(columns[0]):
+        return np.array([], np.int64)
+    new = np.any([x[1:] != x[:-1] for x in columns], axis=0)
+    return np.flatnonzero(np.concatenate([[True], new]))
+
+
+def _totalled(settings: Settings):
+    """A function over sorted rows of pairs giving two kinds of rows: what pairs take of their context, in parts; and for
+    each block the pairs it holds with their counts in all blocks, packed as three columns one after another."""
+
+    def packed(before, key, packs):
+        starts = changes(before, key)
+        times = np.add.reduceat(packs >> BLOCK_BITS, starts)
+        some = times >= settings.least
+        context, took = before[starts[some]], times[some] - settings.discount
+        at = changes(context)
+        mass = np.add.reduceat(took, at) if len(at) else took
+        times = np.repeat(times, np.diff(np.append(starts, len(key))))
+        kept = np.flatnonzero(times >= settings.least)
+        blocks = packs[kept] & ((1 << BLOCK_BITS) - 1)
+        order = np.argsort(blocks, kind="stable")
+        kept, blocks = kept[order], blocks[order]
+        runs = runs_of(blocks)
+        payloads = [np.concatenate([x[kept[a:b]] for x in (before, key, times)]).tobytes() for a, b in runs]
+        none = len(at)
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([None] * none + [int(blocks[a]) for a, _ in runs], pa.int32()),
+                pa.concat_arrays([pa.array(context[at]), pa.nulls(len(runs), pa.int64())]),
+                pa.concat_arrays([pa.array(mass, pa.float64()), pa.nulls(len(runs), pa.float64())]),
+                pa.array([None] * none + payloads, pa.binary()),
+            ],
+            names=["block", "key", "mass", "bytes"],
+        )
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in batches:
+            held.append([batch.column(c).to_numpy() for c in ("before", "key", "packed")])
+            n += batch.num_rows
+            if n >= PACKED:
+                columns = [np.concatenate(x) for x in zip(*held)]
+                last = changes(*columns[:2])[-1]  # the last pair may go on in the next batch
+                if last:
+                    yield packed(*[x[:last] for x in columns])
+                held = [[x[last:].copy() for x in columns]]
+                n = len(held[0][0])
+        if n:
+            yield packed(*[np.concatenate(x) for x in zip(*held)])
 
-def _pairs(words, counts, table):
-    return pairs_of(find(table, words), counts, int(find(table, np.array([END_KEY]))[0]))
+    return run
 
 
 @dataclass(frozen=True)
 class Contexts:
-    """The bounded part of the model: ascending keys of the context words, their counts, log10 of what their pairs leave; N and V."""
+    """Ascending keys of a block's context words, their counts, log10 of what their pairs leave; N and V."""
 
     keys: np.ndarray
     counts: np.ndarray
@@ -151,37 +228,31 @@ def score_documents(
     rows = rows.withColumn("block", bucket_of(F.col("rid"), sorted(set(bounds)) if n_blocks > 1 else []))
     texts = rows.select("block", "train", F.col("text").cast("binary").alias("bytes"))
 
-    words = stage(texts.mapInArrow(_counted(_words), "key long, packed long"), "words")
+    words = stage(texts.mapInArrow(_words, "key long, packed long"), "words")
     totals = stage(words.groupBy("key").agg(F.sum(_times()).alias("c")).where("c > 0"), "word_counts")
     tokens, distinct = totals.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    # at most 1 / share of them
-    frequent = totals.where(F.col("c") >= settings.share * tokens).orderBy("key").collect()
-    keys, counts = np.array([r.key for r in frequent], np.int64), np.array([r.c for r in frequent], np.int64)
-    contexts = Contexts(keys, counts, np.zeros(len(keys)), tokens, distinct)
-    sent = spark.sparkContext.broadcast(contexts)
-
-    pairs = stage(texts.mapInArrow(_counted(_pairs, sent), "key long, packed long"), "pairs")
-    pair_totals = pairs.groupBy("key").agg(F.sum(_times()).alias("c")).where(F.col("c") >= settings.least)
-    pair_totals = stage(pair_totals, "pair_counts")
-    taken = pair_totals.groupBy(F.shiftright("key", 32).alias("state")).agg(F.sum(F.col("c") - settings.discount).alias("mass"))
-    rest = np.ones(len(keys))
-    for r in taken.collect():  # one row per context at most
-        rest[r.state] = 1 - r.mass / counts[r.state]
-    sent = spark.sparkContext.broadcast(Contexts(keys, counts, np.log10(rest), tokens, distinct))
-
-    def asked(of: DataFrame, found: DataFrame, kind: int) -> DataFrame:
-        """Counts for each block that has the key; both sides are plain reads."""
-        needs = of.select("key", _block().alias("block")).join(found, "key").distinct()
-        return needs.select("block", F.lit(kind).alias("kind"), "key", "c")
-
-    rare = totals.where(F.col("c") < settings.share * tokens)
-    nothing = {"key": F.lit(None).cast("long"), "c": F.lit(None).cast("long")}
-    docs = rows.select("block", F.lit(2).alias("kind"), "id", "train", F.col("text").cast("binary").alias("bytes")).withColumns(nothing)
-    model = asked(words, rare, 0).unionByName(asked(pairs, pair_totals, 1))
-    together = docs.unionByName(model, allowMissingColumns=True).repartition("block").sortWithinPartitions("block", "kind")
+    least, frequent = settings.share * tokens, None
+    if settings.share > 0:  # at most 1 / share of them
+        keys = [r.key for r in totals.where(F.col("c") >= least).orderBy("key").collect()]
+        frequent = spark.sparkContext.broadcast(np.array(keys, np.int64))
+
+    pairs = texts.mapInArrow(_pairs(frequent), "before long, key long, packed long")
+    pairs = pairs.repartition("before", "key").sortWithinPartitions("before", "key")
+    pairs = stage(pairs.mapInArrow(_totalled(settings), "block int, key long, mass double, bytes binary"), "pair_counts")
+    taken = pairs.where("block is null").groupBy("key").agg(F.sum("mass").alias("mass"))
+    facts = totals.join(taken, "key", "left").withColumn("mass", F.coalesce("mass", F.lit(0.0)))
+
+    asked = words.select("key", _block().alias("block")).join(facts, "key").distinct()
+    asked = asked.select("block", F.lit(0).alias("kind"), "key", "c", "mass")
+    arcs = pairs.where("block is not null").select("block", F.lit(1).alias("kind"), "bytes")
+    docs = rows.select("block", F.lit(2).alias("kind"), "id", "train", F.col("text").cast("binary").alias("bytes"))
+    nothing = {"key": "long", "c": "long", "mass": "double"}
+    docs = docs.withColumns({c: F.lit(None).cast(t) for c, t in nothing.items()})
+    together = docs.unionByName(asked, allowMissingColumns=True).unionByName(arcs, allowMissingColumns=True)
+    together = together.repartition("block").sortWithinPartitions("block", "kind")
     id_type = docs.schema["id"].dataType.simpleString()
     schema = f"id {id_type}, train boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return together.mapInArrow(_scored(sent, settings), schema)
+    return together.mapInArrow(_scored(settings, tokens, distinct), schema)
 
 
 class Automaton:
@@ -224,33 +295,47 @@ def runs_of(values: np.ndarray) -> list[tuple[int, int]]:
     return [(a, b) for a, b in zip(cuts, cuts[1:]) if a < b]
 
 
-def _scored(sent, settings: Settings):
+def block_automaton(words: list, arcs: list[bytes], settings: Settings, tokens: int, distinct: int) -> Automaton:
+    """From columns of words with their counts and masses, and packed pairs. Words are numbered within the block."""
+    keys, c, mass = [np.concatenate(x) for x in zip(*words)] if words else [np.array([], t) for t in (np.int64, np.int64, float)]
+    context = c >= settings.share * tokens
+    rare, keys = (keys[~context], c[~context]), keys[context]
+    order = np.argsort(keys)
+    keys, c, mass = keys[order], c[context][order], mass[context][order]
+    contexts = Contexts(keys, c, np.log10((c - mass) / c), tokens, distinct)
+    pairs, times = [np.array([], np.int64)], [np.array([], np.int64)]
+    while arcs:
+        before, key, n = np.frombuffer(arcs.pop(), np.int64).reshape(3, -1)
+        pairs.append(find(keys, before) << 32 | find(keys, key))
+        times.append(n.copy())
+    return Automaton(contexts, settings, *rare, np.concatenate(pairs), np.concatenate(times))
+
+
+def _scored(settings: Settings, tokens: int, distinct: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        contexts, block, parts, automaton = sent.value, None, ([], []), None
+        block, facts, arcs, automaton = None, [], [], None
         for whole in batches:
             blocks = whole.column("block").to_numpy()
             for at, to in runs_of(blocks):
                 batch = whole.slice(at, to - at)
                 if blocks[at] != block:
-                    block, parts, automaton = blocks[at], ([], []), None
+                    block, facts, arcs, automaton = blocks[at], [], [], None
                 kinds = batch.column("kind").to_numpy()
-                for kind in (0, 1):  # a block's counts come before its texts
-                    own = batch.filter(pa.array(kinds == kind))
-                    if own.num_rows:
-                        parts[kind].append((own.column("key").to_numpy(), own.column("c").to_numpy()))
+                own = batch.filter(pa.array(kinds == 0))  # a block's counts come before its texts
+                if own.num_rows:
+                    facts.append([own.column(c).to_numpy() for c in ("key", "c", "mass")])
+                arcs += batch.column("bytes").filter(pa.array(kinds == 1)).to_pylist()
                 docs = batch.filter(pa.array(kinds == 2))
                 if not docs.num_rows:
                     continue
                 if automaton is None:
-                    empty = (np.array([], np.int64), np.array([], np.int64))
-                    tables = [np.concatenate(x) for kind in (0, 1) for x in zip(*parts[kind] or [empty])]
-                    automaton, parts = Automaton(contexts, settings, *tables), ([], [])
+                    automaton, facts, arcs = block_automaton(facts, arcs, settings, tokens, distinct), [], []
                 sizes = np.cumsum([len(x.as_buffer()) for x in docs.column("bytes")])
                 for first, last in runs_of(sizes // AT_ONCE):
                     run_of = docs.slice(first, last - first)
                     words, counts = word_keys(run_of.column("bytes").to_pylist())
                     known, base, score = automaton.run(words, counts)
-                    total = np.full(len(counts), contexts.tokens)
+                    total = np.full(len(counts), tokens)
                     columns = [pa.array(counts), pa.array(known.astype(np.int64)), pa.array(total, pa.int64()), pa.array(base), pa.array(score)]
                     yield pa.RecordBatch.from_arrays(
                         [run_of.column("id"), run_of.column("train"), *columns],

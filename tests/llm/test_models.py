@@ -139,3 +139,15 @@ def test_toxicity_of_odd_rows(spark):
     assert toxicity.score_documents(df.where("false"), marks).count() == 0
     assert {r.score for r in toxicity.score_documents(df, marks.where("false")).collect()} == {0.5}
     assert {r.score for r in toxicity.score_documents(df, marks.where("toxic = 0")).collect()} == {0.0}
+
+
+def test_pairs_of_rare_words_count(spark):
+    """In a long corpus a pair of words far below 1e-5 of all tokens counts as any other."""
+    texts = {i: "the cat sat " * 3400 for i in range(30)} | {100 + i: "rara avis" for i in range(3)} | {200: "rara avis", 201: "avis rara"}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    settings = lm_scoring.Settings(block_bytes=1 << 17)
+    got = lm_scoring.score_documents(df, F.col("id") < 200, settings=settings).collect()
+    assert 3 / got[0].train_tokens < 1e-5
+    check_scores(got, plain_scores(texts, lambda k: k < 200, lm_scoring.Settings(share=0.0)))
+    score = {r.id: r.score - r.base_score for r in got}
+    assert score[200] > 5 > 0 > score[201]
