@@ -47,7 +47,7 @@ class Settings:
     """``least``: a pair's least count. ``block_bytes``: text per block. ``share``: 0, or a context word's least share of all tokens for a smaller model."""
 
     share: float = 0.0
-    least: int = 2
+    least: int = 1
     discount: float = 0.75
     block_bytes: int = 32 << 20
 

@@ -151,3 +151,12 @@ def test_pairs_of_rare_words_count(spark):
     check_scores(got, plain_scores(texts, lambda k: k < 200, lm_scoring.Settings(share=0.0)))
     score = {r.id: r.score - r.base_score for r in got}
     assert score[200] > 5 > 0 > score[201]
+
+
+def test_pairs_seen_once_count(spark):
+    texts = {1: "one two three", 2: "four five", 3: "one two", 4: "two one"}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = lm_scoring.score_documents(df, F.col("id") < 3).collect()
+    check_scores(got, plain_scores(texts, lambda k: k < 3, lm_scoring.Settings(least=1)))
+    score = {r.id: r.score - r.base_score for r in got}
+    assert score[3] > 0 > score[4]
