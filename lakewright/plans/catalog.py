@@ -224,6 +224,29 @@ def column_summary_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_MIXED_ORDERS = {
+    "o_orderkey": True, "o_custkey": True, "o_orderstatus": False, "o_totalprice": True, "o_orderdate": False, "o_orderpriority": False,
+}
+
+
+@_query(
+    " union all ".join(
+        f"""select '{c}' as column_name, count({c}) as n, {f"round(avg({c}), 4)" if number else "null::double"} as mean,
+            {f"round(stddev_samp({c}), 4)" if number else "null::double"} as stddev,
+            min({c})::varchar as min_value, max({c})::varchar as max_value
+            from (select * replace (case when o_orderkey % 11 <> 0 then o_orderpriority end as o_orderpriority) from orders)"""
+        for c, number in _MIXED_ORDERS.items()
+    )
+)
+def column_summary_mixed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers, text and dates of a table that grows, one column with nulls."""
+    priority = F.when(F.col("o_orderkey") % 11 != 0, F.col("o_orderpriority"))
+    return summarise_mixed(_table(spark, sf_dir, "orders").withColumn("o_orderpriority", priority)).select(
+        F.col("column").alias("column_name"), "n", F.round("mean", 4).alias("mean"), F.round("stddev", 4).alias("stddev"),
+        F.col("min").alias("min_value"), F.col("max").alias("max_value"),
+    )
+
+
 # --- rewards ----------------------------------------------------------------
 
 
