@@ -6,7 +6,9 @@ items before it, yet no task sees a whole group: items are sorted and cut into c
 is summed up on its own as "entered with a batch already holding t bytes, it is left with
 a batch holding u bytes after closing c", the summaries are chained, and each chunk
 then numbers its own items. Runs of batches that start at different items soon fall into step, so that most values of t
-lead to the same (c, u): a summary keeps one entry per run of equal outcomes, however many items the limit spans.
+lead to the same (c, u): a summary keeps one entry per run of equal outcomes. Where chunks weigh less than the limit it
+keeps up to one entry per item within the limit. Neighbouring summaries combine into one of the same form, a few in a
+task and in as many rounds as it takes, and the chain runs back down the rounds.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ from lakewright.scratch import stage
 
 _NO_BATCH = -1  # entry state of the first chunk: no batch is open
 _CHUNK_ROWS = 100_000
+_SPAN = 16  # neighbouring summaries that one task combines or chains
 _PART_BITS = 33  # of the running number within a partition
 
 
@@ -44,6 +47,11 @@ def _ends(prefix: np.ndarray, following: np.ndarray) -> tuple[np.ndarray, np.nda
     return closed, left
 
 
+def _runs(closed: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """Where runs of equal outcomes start."""
+    return np.flatnonzero(np.concatenate([[True], (np.diff(closed) != 0) | (np.diff(left) != 0)]))
+
+
 def _chunk_summary(sizes: np.ndarray, limit: int) -> dict:
     """What a batch open on entry leads to, for each run of items that close it with the same outcome.
 
@@ -53,7 +61,7 @@ def _chunk_summary(sizes: np.ndarray, limit: int) -> dict:
     prefix, following = _starts(sizes, limit)
     closed, left = _ends(prefix, following)
     items = min(int(np.searchsorted(prefix, limit, side="right")), len(sizes))
-    runs = np.flatnonzero(np.concatenate([[True], (np.diff(closed[:items]) != 0) | (np.diff(left[:items]) != 0)]))
+    runs = _runs(closed[:items], left[:items])
     return {
         "total": int(prefix[-1]),
         "prefix": np.append(prefix[runs], prefix[items]),
@@ -87,21 +95,39 @@ def _chain(rows: list[dict], state: int, first: int, limit: int) -> list[tuple[i
     return out
 
 
+def _combine(rows: list[dict], limit: int) -> dict:
+    """Summary of ordered neighbouring chunks taken as one."""
+    prefix = closed = left = np.empty(0, dtype=np.int64)
+    total = 0
+    for row in rows:
+        more, left = _pass(row, left, limit)
+        sums = total + np.asarray(row["prefix"])[:-1]
+        near = sums <= limit
+        prefix = np.concatenate([prefix, sums[near]])
+        closed = np.concatenate([closed + more, np.asarray(row["closed"])[near]])
+        left = np.concatenate([left, np.asarray(row["left"])[near]])
+        runs = _runs(closed, left)
+        prefix, closed, left = prefix[runs], closed[runs], left[runs]
+        total += row["total"]
+    return {"total": total, "prefix": np.append(prefix, total), "closed": closed, "left": left}
+
+
 def assign_batches(df: DataFrame, size: str, limit: int, order: str | Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """``df`` with ``batch_no``, counted from 0 within each ``by`` group along ``order``.
 
     The sorted rows are written once to the shared folder; after that, Python sees keys, order and sizes only, at most
-    a chunk at a time. What comes together per group is one short summary per 100,000 rows. Columns
+    a chunk at a time, or ``_SPAN`` summaries of neighbouring chunks. Columns
     beyond those are joined back at the end. Rows that tie in ``order`` are taken in an arbitrary order.
     """
     order = [order] if isinstance(order, str) else list(order)
     by = list(by)
-    keys = [F.col(c) for c in by] or [F.lit(0).alias("_all")]
     numbered = df.orderBy(*by, *order).withColumns(
         {"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id().bitwiseAND((1 << _PART_BITS) - 1)}
     )
     rows = stage(numbered, "ordered")
-    chunk = F.shiftleft(F.col("_part").cast("bigint"), _PART_BITS) + F.floor(F.col("_at") / _CHUNK_ROWS)
+    last_part, last_at = rows.agg(F.coalesce(F.max("_part"), F.lit(0)), F.coalesce(F.max("_at"), F.lit(0))).first()
+    width = last_at // _CHUNK_ROWS + 1  # chunks of the longest partition
+    chunk = F.col("_part").cast("bigint") * width + F.floor(F.col("_at") / _CHUNK_ROWS)
     own = list(dict.fromkeys([*by, *order, size]))
     narrow = rows.select(*own, "_part", "_at", chunk.alias("_chunk"), F.col(size).cast("bigint").alias("_size"))
     by_schema = T.StructType([df.schema[c] for c in by]).add("_chunk", T.LongType())
@@ -120,11 +146,21 @@ def assign_batches(df: DataFrame, size: str, limit: int, order: str | Sequence[s
         sizes = pdf.sort_values("_at")["_size"].to_numpy(dtype=np.int64)
         return pd.DataFrame([[*key, *_chunk_summary(sizes, limit).values()]], columns=summary_schema.fieldNames())
 
-    def chain(pdf: pd.DataFrame) -> pd.DataFrame:
+    def combine(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        found = _combine(pdf.sort_values("_chunk").to_dict("records"), limit)
+        return pd.DataFrame([[*key, *found.values()]], columns=summary_schema.fieldNames())
+
+    def chained(pdf: pd.DataFrame, state: int, first: int) -> pd.DataFrame:
         head = [pdf[c].iloc[0] for c in by]
-        found = _chain(pdf.sort_values("_chunk").to_dict("records"), _NO_BATCH, 0, limit)
+        found = _chain(pdf.sort_values("_chunk").to_dict("records"), state, first, limit)
         return pd.DataFrame([[*head, *e] for e in found], columns=entry_schema.fieldNames())
 
+    def chain(pdf: pd.DataFrame) -> pd.DataFrame:
+        return chained(pdf, _NO_BATCH, 0)
+
+    def chain_within(pdf: pd.DataFrame, entry: pd.DataFrame) -> pd.DataFrame:
+        return chained(pdf, int(entry["_state"].iloc[0]), int(entry["_first"].iloc[0]))
+
     def number(key: tuple, pdf: pd.DataFrame, entry: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_at")
         sizes = pdf["_size"].to_numpy(dtype=np.int64)
@@ -140,7 +176,15 @@ def assign_batches(df: DataFrame, size: str, limit: int, order: str | Sequence[s
         return pdf.assign(batch_no=np.cumsum(starts) + offset)[out_schema.fieldNames()]
 
     summaries = narrow.select(*by, "_chunk", "_at", "_size").groupBy(*by, "_chunk").applyInPandas(summarise, summary_schema)
-    entries = summaries.groupBy(*keys).applyInPandas(chain, entry_schema)
+    span, levels, n_chunks = F.floor(F.col("_chunk") / _SPAN).cast("bigint"), [], (last_part + 1) * width
+    while n_chunks > _SPAN:
+        levels.append(stage(summaries, "summaries"))
+        spans = levels[-1].withColumn("_span", span).groupBy(*by, "_span")
+        summaries, n_chunks = spans.applyInPandas(combine, summary_schema), -(-n_chunks // _SPAN)
+    entries = summaries.groupBy(*(by or [F.lit(0).alias("_all")])).applyInPandas(chain, entry_schema)
+    for level in reversed(levels):
+        spans = level.withColumn("_span", span).groupBy(*by, "_span")
+        entries = spans.cogroup(entries.groupBy(*by, "_chunk")).applyInPandas(chain_within, entry_schema)
     found = narrow.groupBy(*by, "_chunk").cogroup(entries.groupBy(*by, "_chunk")).applyInPandas(number, out_schema)
     if not whole:
         found = rows.join(found, ["_part", "_at"])

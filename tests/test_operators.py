@@ -2,6 +2,7 @@ import datetime as dt
 import os
 import math
 import random
+import tempfile
 
 import numpy as np
 import pytest
@@ -372,3 +373,39 @@ def test_scratch_follows_the_session():
     assert scratch_dir(FakeSession(None, "hdfs://c/own"), "x").startswith("hdfs://c/own/x-")
     assert scratch_dir(FakeSession(), "x").startswith("hdfs://c/tables/_scratch/x-")
     assert scratch_dir(FakeSession(), "x") != scratch_dir(FakeSession(), "x")
+
+
+@settings(max_examples=400, deadline=None)
+@given(
+    st.lists(st.lists(st.integers(0, 40), min_size=1, max_size=15), min_size=1, max_size=8),
+    st.integers(1, 300),
+    st.integers(-1, 330),
+)
+def test_combined_summaries_equal_one(chunks, limit, state):
+    """Neighbouring summaries, combined in two rounds, act as the summary of all their items."""
+    rows = [batching._chunk_summary(np.array(c), limit) for c in chunks]
+    spans = [batching._combine(rows[i : i + 3], limit) for i in range(0, len(rows), 3)]
+    whole = batching._chunk_summary(np.array([s for c in chunks for s in c]), limit)
+    got, want = (_pass(x, np.array([state]), limit) for x in (batching._combine(spans, limit), whole))
+    assert [int(x[0]) for x in got] == [int(x[0]) for x in want]
+
+
+def test_no_task_chains_all_summaries(spark, monkeypatch):
+    """Light chunks under a large limit: the numbers are greedy, and no task gets more than a span of summaries."""
+    monkeypatch.setattr(batching, "_CHUNK_ROWS", 5)
+    monkeypatch.setattr(batching, "_SPAN", 3)
+    chain = batching._chain
+    seen = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+
+    def counted(rows, *rest):
+        with open(f"{seen}/{os.getpid()}", "a") as f:
+            f.write(f"{len(rows)}\n")
+        return chain(rows, *rest)
+
+    monkeypatch.setattr(batching, "_chain", counted)
+    sizes = [i % 7 for i in range(400)]
+    df = spark.createDataFrame(list(enumerate(sizes)), "i long, size long").coalesce(1)
+    got = {r.i: r.batch_no for r in batching.assign_batches(df, "size", 300, "i").collect()}
+    assert [got[i] for i in range(400)] == greedy(sizes, 300)
+    counts = [int(x) for name in os.listdir(seen) for x in open(f"{seen}/{name}")]
+    assert counts and max(counts) <= 3
