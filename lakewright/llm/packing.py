@@ -38,8 +38,8 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
-def file_encoder(path: str, pattern: str | None) -> PartEncoder:
-    """The encoder of a tokenizer file, without special tokens added.
+def encoder_of(content: str, pattern: str | None) -> PartEncoder:
+    """The encoder of a tokenizer file with this content, without special tokens added.
 
     ``pattern`` promises that the file holds a byte-level BPE whose ids are the order of its merges, cut by that
     pattern. Its vocabulary then goes to tiktoken, which gives the same ids several times faster; only
@@ -48,7 +48,7 @@ def file_encoder(path: str, pattern: str | None) -> PartEncoder:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
+    tokenizer = Tokenizer.from_str(content)
 
     def by_file(text: str) -> bytes:
         return array("I", tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
@@ -57,11 +57,10 @@ def file_encoder(path: str, pattern: str | None) -> PartEncoder:
         return PartEncoder(lambda texts: map(by_file, texts))
     import tiktoken
 
-    with open(path, encoding="utf-8") as file:
-        content = json.load(file)
-    added = {token["content"] for token in content["added_tokens"]}
+    model = json.loads(content)
+    added = {token["content"] for token in model["added_tokens"]}
     letters = byte_letters()
-    ranks = {bytes(letters[c] for c in token): i for token, i in content["model"]["vocab"].items() if token not in added}
+    ranks = {bytes(letters[c] for c in token): i for token, i in model["model"]["vocab"].items() if token not in added}
     encode = tiktoken.Encoding("file", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
     def fast(text: str) -> bytes:
@@ -70,6 +69,12 @@ def file_encoder(path: str, pattern: str | None) -> PartEncoder:
     return PartEncoder(lambda texts: map(fast, texts))
 
 
+def file_encoder(path: str, pattern: str | None) -> PartEncoder:
+    """``encoder_of`` a file's content."""
+    with open(path, encoding="utf-8") as file:
+        return encoder_of(file.read(), pattern)
+
+
 def cut_documents(
     rows: DataFrame, tokenizer_path: str, pattern: str | None, longest: int, with_ids: bool
 ) -> DataFrame:

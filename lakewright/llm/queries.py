@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakewright.llm import bpe, exact_dedup, fingerprints, line_dedup, lm_scoring, minhash, packing, sharding, substring_dedup, toxicity
+from lakewright.llm import bpe, exact_dedup, fingerprints, line_dedup, lm_scoring, minhash, packing, sharding, substring_dedup, token_files, toxicity
+from lakewright.scratch import scratch_dir
 
 QUERIES, ORACLES = {}, {}
 
@@ -216,3 +217,10 @@ select doc_id, length(text) as n_chars, sha256(edited) as edited_sha256, own as
        len(list_intersect(x, z)) / len(list_distinct(list_concat(x, z))) as near_next
 from nodes
 """
+
+
+@query
+def op11_arrow_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, tokenizer = scratch_dir(spark, "token-files"), public_tokenizers.path("byte_bpe_50k.json")
+    token_files.write_tokens(documents(spark, sf_dir), path, tokenizer, public_tokenizers.PATTERN)
+    return token_files.read_documents(spark, path).withColumnRenamed("id", "doc_id")
