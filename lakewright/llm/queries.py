@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakewright.llm import bpe, exact_dedup, fingerprints, line_dedup, lm_scoring, minhash, packing, sharding, substring_dedup, token_files, toxicity
+from lakewright.llm import bpe, exact_dedup, fingerprints, line_dedup, lm_scoring, minhash, packing, sharding, source_divergence, substring_dedup, token_files, toxicity
 from lakewright.scratch import scratch_dir
 
 QUERIES, ORACLES = {}, {}
@@ -224,3 +224,46 @@ def op11_arrow_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, tokenizer = scratch_dir(spark, "token-files"), public_tokenizers.path("byte_bpe_50k.json")
     token_files.write_tokens(documents(spark, sf_dir), path, tokenizer, public_tokenizers.PATTERN)
     return token_files.read_documents(spark, path).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op12_skyband_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.audit_sources(documents(spark, sf_dir))
+
+
+ORACLES["op12_skyband_source_audit"] = r"""
+with docs as (
+  select row_number() over () as r, coalesce(lang, '') as lang, coalesce(source, '') as source,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as text
+  from documents),
+words as (
+  select r, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) as term from docs),
+kept as (select lang, term, count(*) as n from words group by lang, term having count(distinct r) >= 10),
+own as (select lang, source, term, count(*) as n from words group by lang, source, term),
+members as (select distinct lang, source from docs),
+counts as (
+  select m.lang, m.source, k.term, coalesce(o.n, 0) as n, k.n as lang_n
+  from members m join kept k on k.lang = m.lang
+  left join own o on o.lang = m.lang and o.source = m.source and o.term = k.term),
+sums as (
+  select *, sum(n) over same as total, sum(lang_n) over same as lang_total, count(*) over same as v
+  from counts window same as (partition by lang, source)),
+shares as (
+  select lang, source, term, n, 1 + (1000000000::hugeint * (n + 2)) // (total + 2 * v) as p,
+         1 + (1000000000::hugeint * (lang_n + 2)) // (lang_total + 2 * v) as q
+  from sums),
+pairs as (
+  select a.lang, a.source, b.source as item, coalesce(sum(((x.p - y.p) * (x.p - y.p)) // (x.p + y.p)), 0)::bigint as value
+  from members a join members b on a.lang = b.lang and a.source <> b.source
+  left join shares x on x.lang = a.lang and x.source = a.source
+  left join shares y on y.lang = b.lang and y.source = b.source and y.term = x.term
+  group by a.lang, a.source, b.source),
+terms as (
+  select lang, source, term as item, (((p - q) * (p - q)) // (p + q))::bigint as value from shares where n > 0 and p > q),
+ranked as (
+  select lang, source, 'pair' as part, item, value, row_number() over (partition by lang, source order by value desc, item) as rank
+  from pairs
+  union all
+  select lang, source, 'term', item, value, row_number() over (partition by lang, source order by value desc, item) from terms)
+select lang, source, part, item, value, rank::int as rank from ranked where part = 'pair' or rank <= 10
+"""
