@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakewright.llm import bpe, exact_dedup, fingerprints, line_dedup, lm_scoring, minhash, packing, sharding, source_divergence, substring_dedup, token_files, toxicity
+from lakewright.llm import bpe, exact_dedup, filter_audit, fingerprints, line_dedup, lm_scoring, minhash, packing, sharding, source_divergence, substring_dedup, token_files, toxicity
 from lakewright.scratch import scratch_dir
 
 QUERIES, ORACLES = {}, {}
@@ -267,3 +267,47 @@ ranked as (
   select lang, source, 'term', item, value, row_number() over (partition by lang, source order by value desc, item) from terms)
 select lang, source, part, item, value, rank::int as rank from ranked where part = 'pair' or rank <= 10
 """
+
+
+@query
+def op13_transducer_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_filters(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+ORACLES["op13_transducer_filter_audit"] = r"""
+with texts as (
+  select doc_id, coalesce(lang, '') as part, coalesce(text, '') as text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words
+  from documents),
+marks as (
+  select doc_id, coalesce(bool_or(quality = 1), false) as good, coalesce(bool_or(toxic = 1), false) as toxic
+  from labels group by doc_id),
+fails as (
+  select t.part, coalesce(m.good, false) as good, coalesce(m.toxic, false) as toxic,
+         (len(words) < 100)::int
+         + 2 * (100 * len(list_distinct(words)) < 80 * len(words))::int
+         + 4 * (100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text))::int
+         + 8 * regexp_matches(text, '[#$%&*|]')::int
+         + 16 * (t.doc_id > min(t.doc_id) over (partition by text))::int as mask
+  from texts t left join marks m on m.doc_id = t.doc_id),
+filters as (select unnest(['A', 'B', 'C', 'D', 'E']) as f, unnest([1, 2, 4, 8, 16]) as bit),
+orders as (
+  select a.f || b.f || c.f || d.f || e.f as filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] as bits
+  from filters a join filters b on b.f <> a.f join filters c on c.f not in (a.f, b.f)
+  join filters d on d.f not in (a.f, b.f, c.f) join filters e on e.f not in (a.f, b.f, c.f, d.f)),
+steps as (
+  select filter_order, i as step, bits[i] as bit, coalesce(list_sum(bits[1 : i - 1]), 0)::int as before
+  from orders, (select unnest([1, 2, 3, 4, 5]) as i)),
+counts as (
+  select part, filter_order, step, bit,
+         count(*) filter (mask & bit = 0 and mask & before = 0) as kept,
+         count(*) filter (mask & bit <> 0 and mask & before = 0) as removed,
+         count(*) filter (mask & bit <> 0 and mask & before <> 0) as redundant,
+         count(*) filter (mask = bit) as unique_fails,
+         count(*) filter (mask & bit <> 0 and mask & before = 0 and good) as good_lost,
+         count(*) filter (mask & bit <> 0 and mask & before = 0 and toxic) as toxic_lost
+  from fails, steps group by part, filter_order, step, bit)
+select part, filter_order, step::int as step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) over (partition by part, bit))::bigint as shapley
+from counts
+"""
