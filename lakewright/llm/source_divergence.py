@@ -29,7 +29,7 @@ MIN_DOCS, TOP = 10, 10
 HELD = 500_000  # distinct terms that a task counts before it passes them on
 FAN_IN = 16  # skybands merged by one task
 SOURCES = 256  # of a language that one task compares with the others
-CELLS = 1 << 20  # counts, terms times sources, that one task compares
+CELLS = 1 << 17  # counts, terms times sources, that one task compares
 SHARE = 1_000_000_000
 
 #: Letters and all bytes beyond ASCII make up terms; other bytes part them, and A-Z become lower case.
@@ -179,13 +179,13 @@ def shares(counts: np.ndarray, totals: np.ndarray) -> np.ndarray:
 def compare_sources(vectors: DataFrame, groups: DataFrame, width: int) -> DataFrame:
     """``lang, source, item, value`` of each two sources of a language, summed over all its kept terms.
 
-    The terms of a language are dealt out among tasks of about ``CELLS`` counts, and so are blocks of its sources if there are
-    more than ``width``; every task compares its block's sources with all others over its terms. Pairs are made once
-    per task, not once per term, and added up.
+    The terms of a language are dealt out among tasks of about ``CELLS`` counts, or as many as there are pairs if that is more, and so
+    are blocks of its sources if there are more than ``width``; every task compares its block's sources with all
+    others over its terms. Pairs are made once per task, not once per term, and added up.
     """
     langs = groups.groupBy("lang").agg(F.count("*").alias("n"), F.max("n_terms").alias("n_terms"))
     most, cells = langs.agg(F.max("n"), F.max(F.col("n") * F.col("n_terms"))).first()
-    blocks, deals = max(1, -(-(most or 0) // width)), max(1, -(-(cells or 0) // CELLS))
+    blocks, deals = max(1, -(-(most or 0) // width)), max(1, -(-(cells or 0) // max(CELLS, (most or 0) ** 2)))
     each_block = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")
     terms = vectors.select("lang", F.pmod(F.xxhash64("term"), F.lit(deals)).cast("int").alias("deal"), "sources", each_block)
     block_of = F.pmod(F.xxhash64("source"), F.lit(blocks)).alias("own_block")
