@@ -17,21 +17,22 @@ def resume_point(ledger: DataFrame, look_back_millis: int = MILLIS_PER_DAY) -> D
 def pending_objects(
     listing: DataFrame,
     ledger: DataFrame,
-    look_back_millis: int = MILLIS_PER_DAY,
+    look_back_millis: int | None = None,
     exclude: DataFrame | None = None,
     key: str = "path",
 ) -> DataFrame:
-    """Objects newer than the resume point that are not in the ledger.
+    """Objects that are not in the ledger, however old.
 
-    Objects that arrive out of order are found as long as they are no older than the
-    look-back. Both inputs have ``path`` (or another ``key``) and ``file_ts``; an
-    empty ledger leaves everything pending. Seen objects are judged by the ledger's
-    own timestamps, never by the dates of the records inside, and only its part
-    after the resume point takes part in the join.
+    Both inputs have ``path`` (or another ``key``) and ``file_ts``; an empty ledger leaves everything pending. With a look-back,
+    only objects newer than the resume point are looked at, and only that part of the ledger takes part in the join:
+    cheaper, but an older object that turns up late is left to a later run without one. Seen objects are judged by
+    the ledger's own timestamps, never by the dates of the records inside.
     """
-    after = resume_point(ledger, look_back_millis).select("resume_after").scalar()
-    recent = F.coalesce(F.col("file_ts") > after, F.lit(True))
-    seen = ledger.where(F.col("file_ts") > after).select(key)
+    if look_back_millis is not None:
+        after = resume_point(ledger, look_back_millis).select("resume_after").scalar()
+        listing = listing.where(F.coalesce(F.col("file_ts") > after, F.lit(True)))
+        ledger = ledger.where(F.col("file_ts") > after)
+    seen = ledger.select(key)
     if exclude is not None:
         seen = seen.unionByName(exclude.select(key))
-    return listing.where(recent).join(seen, key, "left_anti")
+    return listing.join(seen, key, "left_anti")

@@ -7,10 +7,11 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakewright.functions.epoch import MILLIS_PER_DAY
 from lakewright.operators.resume import pending_objects
+from lakewright.scratch import qualified_path, stage
 from lakewright.sources.listing import list_objects
 from lakewright.sources.messages import MessageFormat, decode_objects
+from lakewright.sources.stores import store_settings, tasks_can_open
 
 
 def pending_objects_of(
@@ -22,21 +23,21 @@ def pending_objects_of(
     after: int | None = None,
     before: int | None = None,
     exclude: DataFrame | None = None,
-    look_back_millis: int = MILLIS_PER_DAY,
+    look_back_millis: int | None = None,
     task_bytes: int = 128 * 1024 * 1024,
     tasks: int | None = None,
 ) -> DataFrame:
     """``path, length, file_ts`` of the objects under ``source`` that the ledger does not hold, spread over tasks.
 
-    Lists without reading and leaves out what the ledger (``path, file_ts``) or ``exclude``
-    (``path``) holds. Objects are dealt by path to a task for each ``task_bytes`` of them, or to ``tasks``, and to
-    one per core at least. Give ``after`` where the look-back does not reach far enough; it takes the place of
-    the ledger's resume point.
+    Lists without reading and leaves out what the ledger (``path, file_ts``) or ``exclude`` (``path``) holds. No object is too old,
+    unless ``after`` or a look-back behind the newest object read says so. What is pending is written once.
+    Objects are dealt by path to a task for each ``task_bytes`` of them, or to ``tasks``, and to one per core at least.
+    In a store that tasks cannot open themselves, there is a ``content`` column too, and Spark plans the tasks.
     """
     listing = list_objects(spark, source, prefix, after, before)
-    if after is not None:
-        look_back_millis = 2**62
-    pending = pending_objects(listing, ledger, look_back_millis, exclude)
+    pending = stage(pending_objects(listing, ledger, look_back_millis, exclude), "pending")
+    if not tasks_can_open(qualified_path(spark, source), store_settings(spark)):
+        return _with_contents(spark, source, pending)
     if tasks is None:
         size = pending.agg(F.sum("length")).first()[0] or 0
         tasks = max(spark.sparkContext.defaultParallelism, math.ceil(size / task_bytes))
@@ -44,6 +45,15 @@ def pending_objects_of(
     return pending.repartition(tasks, "path")
 
 
+def _with_contents(spark: SparkSession, source: str, pending: DataFrame) -> DataFrame:
+    """The objects with their contents, read by Spark. Its planner holds the paths of a read on the driver in any case."""
+    paths = [r.path for r in pending.select("path").toLocalIterator()]
+    reader = spark.read.format("binaryFile")
+    found = reader.load(paths) if paths else reader.load(source).where(F.lit(False))
+    # the name of an object holds its time, so nothing is joined back
+    return found.select("path", "length", "content")
+
+
 def pending_rows(spark: SparkSession, source: str, ledger: DataFrame, fmt: MessageFormat, **options) -> DataFrame:
     """Decoded rows, with an ``error`` column like ``decode_objects``, of what ``pending_objects_of`` gives."""
     return decode_objects(pending_objects_of(spark, source, ledger, **options), fmt)

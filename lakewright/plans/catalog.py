@@ -473,7 +473,7 @@ def ingest_resume_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     listing = select_objects(_listing(_table(spark, sf_dir, "events")))
     ledger = listing.where(~F.contains("path", F.lit("/error.")) & (F.col("file_ts") <= 1_705_968_000_000))
     after = resume_point(ledger).select("resume_after").scalar()
-    return pending_objects(listing.select("path", "file_ts"), ledger).select(
+    return pending_objects(listing.select("path", "file_ts"), ledger, MILLIS_PER_DAY).select(
         "path", "file_ts", from_epoch_millis(after).cast("date").alias("resume_date")
     )
 
@@ -676,6 +676,33 @@ def ingest_pending_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _reports(read_bronze(spark, target))
 
 
+@_query(_REPORTS_SQL)
+def ingest_pending_old(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last days are ingested as a stream; unread objects up to a month older are then taken as a batch that is told nothing."""
+    root, target = scratch_dir(spark, "objects"), scratch_dir(spark, "bronze")
+    write_objects(_report_objects(_table(spark, sf_dir, "events")), root).count()
+    _ingest(spark, root, target, after=1_706_140_800_000)
+    ingest_pending(spark, root, target, event_report_format())
+    return _reports(read_bronze(spark, target))
+
+
+@_query(_REPORTS_SQL)
+def ingest_cursor_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Objects found by a cursor with a look-back of three days: one turns up late within it, the first days too late.
+
+    The stream takes the late one and what is new, a repeat takes nothing, and the ledger finds the rest.
+    """
+    root, target = scratch_dir(spark, "objects"), scratch_dir(spark, "bronze")
+    events, day = _table(spark, sf_dir, "events"), F.floor(_millis("ts") / MILLIS_PER_DAY) - 19_723
+    at_first = day.between(10, 17) | (day == 19)
+    for arriving, runs in ((at_first, 1), (~at_first, 2)):
+        write_objects(_report_objects(events.where(arriving)), root).count()
+        for _ in range(runs):
+            _ingest(spark, root, target, look_back_millis=3 * MILLIS_PER_DAY)
+    ingest_pending(spark, root, target, event_report_format(), prefix="events")
+    return _reports(read_bronze(spark, target))
+
+
 @_query(
     f"""select 'events-' || day || '-' || number || '.' || min(millis) || '.gz' as name, count(*) as frames,
           count(*) filter (event_type = 'error') as rejected

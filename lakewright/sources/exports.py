@@ -10,7 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from lakewright.scratch import qualified_path
-from lakewright.sources.framing import HEADER, store_of
+from lakewright.sources.framing import HEADER
+from lakewright.sources.stores import store_of, store_settings
 
 
 def frame_object(records: list[bytes]) -> bytes:
@@ -24,10 +25,10 @@ def write_objects(df: DataFrame, root: str) -> DataFrame:
     Objects are written by the tasks themselves. A retried task writes the same
     bytes to the same name.
     """
-    root = qualified_path(df.sparkSession, root)
+    root, settings = qualified_path(df.sparkSession, root), store_settings(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, base = store_of(root)
+        store, base = store_of(root, settings)
         store.create_dir(base, recursive=True)
         for batch in batches:
             paths, lengths = [], []

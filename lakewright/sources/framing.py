@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-import re
 import struct
 import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 
+from lakewright.sources.stores import Settings, open_object, store_settings
+
 # A frame is a 4-byte big-endian length followed by the record.
 HEADER, HEADER_BYTES = ">I", 4
 MAX_FRAME_BYTES = 8 * 1024 * 1024
@@ -122,31 +122,14 @@ def frames(
         raise FrameError(base + start, "object ends inside a frame")
 
 
-def store_of(path: str) -> tuple[pafs.FileSystem, str]:
-    """Arrow's file system of a path and the path within it, both taken as they are: Spark's paths are not URI-encoded."""
-    scheme, rest = re.match(r"(?:([a-z][a-z0-9+.-]*):)?(.*)", path, re.S).groups()
-    if scheme in (None, "file"):
-        return pafs.LocalFileSystem(), re.sub("^//+", "/", rest)
-    store, name = re.match("//([^/]*)/?(.*)", rest, re.S).groups()
-    if scheme in ("s3", "s3a"):
-        return pafs.FileSystem.from_uri(f"s3://{store}")[0], f"{store}/{name}"
-    return pafs.FileSystem.from_uri(f"{scheme}://{store}/")[0], f"/{name}"
-
-
-def open_object(path: str) -> pa.NativeFile:
-    """A seekable stream over one object, through Arrow's own file systems."""
-    store, name = store_of(path)
-    return store.open_input_file(name)
-
-
-def objects(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, pa.NativeFile]]:
-    """``(path, stream)`` of each row: over its ``content``, not copied, or over the opened ``path``."""
+def objects(batches: Iterator[pa.RecordBatch], settings: Settings) -> Iterator[tuple[str, pa.NativeFile]]:
+    """``(path, stream)`` of each row: over its ``content``, not copied, or over the ``path``, opened with the store's settings."""
     for batch in batches:
         paths = batch.column("path")
         contents = batch.column("content") if "content" in batch.schema.names else None
         for i in range(batch.num_rows):
             path = paths[i].as_py()
-            with open_object(path) if contents is None else pa.BufferReader(contents[i].as_buffer()) as file:
+            with open_object(path, settings) if contents is None else pa.BufferReader(contents[i].as_buffer()) as file:
                 yield path, file
 
 
@@ -156,13 +139,13 @@ def object_columns(df: DataFrame) -> DataFrame:
 
 
 def records(
-    batches: Iterator[pa.RecordBatch], max_frame: int = MAX_FRAME_BYTES, ends: bool = False
+    batches: Iterator[pa.RecordBatch], settings: Settings, max_frame: int = MAX_FRAME_BYTES, ends: bool = False
 ) -> Iterator[tuple[str, int, bytes | None, str | None]]:
     """``(file, offset, record, error)`` of object rows; one without a record for a frame above the limit and where an object breaks.
 
     With ``ends``, a row with neither record nor error follows each object; its offset is the number of rows before it.
     """
-    for path, file in objects(batches):
+    for path, file in objects(batches, settings):
         n = 0
         try:
             for offset, record, error in frames(file, max_frame):
@@ -192,13 +175,15 @@ def read_records(
         [("file", pa.string()), ("offset", pa.int64()), ("record", pa.binary()), ("error", pa.string())]
     )
 
+    settings = store_settings(df.sparkSession)
+
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(list(map(pa.array, zip(*rows), arrow.types)), schema=arrow)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
         size = 0
-        for row in records(batches, max_frame, ends):
+        for row in records(batches, settings, max_frame, ends):
             rows.append(row)
             size += len(row[2] or b"")
             if size >= batch_bytes or len(rows) >= BATCH_ROWS:

@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 
 from lakewright.functions.epoch import MILLIS_PER_DAY
 from lakewright.sources.framing import BATCH_BYTES, BATCH_ROWS, MAX_FRAME_BYTES, object_columns, read_records, records
+from lakewright.sources.stores import store_settings
 
 # Table type of each protobuf scalar.
 _SCALARS = {
@@ -318,7 +319,8 @@ def decode_objects(df: DataFrame, fmt: MessageFormat) -> DataFrame:
     its file and error, so it can be counted in the same pass; ``reject_records``
     gives its bytes.
     """
-    return _decode(object_columns(df), fmt, lambda batches: records(batches, fmt.max_frame_bytes))
+    settings = store_settings(df.sparkSession)
+    return _decode(object_columns(df), fmt, lambda batches: records(batches, settings, fmt.max_frame_bytes))
 
 
 def decode_all(df: DataFrame, fmt: MessageFormat, spread_above: int | None = None, tasks: int = 1) -> DataFrame:
@@ -329,8 +331,9 @@ def decode_all(df: DataFrame, fmt: MessageFormat, spread_above: int | None = Non
     rejects are the accepted records. With ``spread_above``, the records of larger objects are parsed by ``tasks`` tasks,
     as in ``decode_spread``.
     """
+    settings = store_settings(df.sparkSession)
     if spread_above is None:
-        return _decode(object_columns(df), fmt, lambda batches: records(batches, fmt.max_frame_bytes, True), True)
+        return _decode(object_columns(df), fmt, lambda batches: records(batches, settings, fmt.max_frame_bytes, True), True)
     large = read_records(df.where(F.col("length") > spread_above), fmt.max_frame_bytes, fmt.batch_bytes, True)
     spread = large.repartition(tasks, "file", F.floor(F.col("offset") / _SPREAD_BYTES))
     return decode_all(df.where(F.col("length") <= spread_above), fmt).unionByName(_decode(spread, fmt, _record_rows, True))
@@ -366,10 +369,10 @@ def decode_spread(df: DataFrame, fmt: MessageFormat, large_bytes: int, tasks: in
 
 def reject_records(df: DataFrame, fmt: MessageFormat) -> DataFrame:
     """``file, offset, error, record`` of every record that ``decode_objects`` rejects."""
-    arrow = to_arrow_schema(_REJECT_SCHEMA)
+    arrow, settings = to_arrow_schema(_REJECT_SCHEMA), store_settings(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, rejected, _ in _Decoder(fmt).batches(records(batches, fmt.max_frame_bytes)):
+        for _, rejected, _ in _Decoder(fmt).batches(records(batches, settings, fmt.max_frame_bytes)):
             if rejected:
                 columns = [pa.array(c, t) for c, t in zip(zip(*rejected), arrow.types)]
                 yield pa.RecordBatch.from_arrays(columns, schema=arrow)

@@ -12,9 +12,13 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
 from lakewright.plans.backfill import pending_objects_of
-from lakewright.sources.listing import NO_AGE_LIMIT, name_millis, stream_objects
+from lakewright.scratch import qualified_path
+from lakewright.sources import commits
+from lakewright.sources.listing import NO_AGE_LIMIT, name_millis, select_objects, stream_objects
 from lakewright.sources.messages import ABOUT, ABOUT_SCHEMA, KIND, OBJECT, RECORD, REJECT, MessageFormat, decode_all
+from lakewright.sources.object_cursor import stream_listing
 from lakewright.sources.schema_history import latest_schema, path_is_missing, record_schema
+from lakewright.sources.stores import store_settings, tasks_can_open
 from lakewright.streaming.triggers import trigger_options
 
 BYTES_PER_CORE = 128 * 1024 * 1024  # of objects in a micro-batch, unless told otherwise
@@ -40,6 +44,7 @@ def ingest_objects(
     open_in_tasks: bool = False,
     spread_above: int | None = None,
     source_options: Mapping[str, str] | None = None,
+    look_back_millis: int | None = None,
 ) -> StreamingQuery:
     """Start appending the objects under ``source`` to the table at ``target``.
 
@@ -54,7 +59,11 @@ def ingest_objects(
 
     Spark hands contents to the tasks, up to 2 GB each. With ``open_in_tasks`` it
     only lists, and each task streams its objects through Arrow's file systems:
-    for larger objects, and where memory is short.
+    for larger objects, and where memory is short. In a store that tasks cannot open, Spark hands over the contents all the same.
+
+    With ``look_back_millis``, objects are found by ``object_cursor.stream_listing``, which remembers one look-back of names and not all
+    paths ever read, and tasks open them. It takes all there is at each trigger. An object that turns up later than that is
+    left to ``ingest_pending``, which finds it by the ledger.
 
     One task reads one object. Where single objects are large, those above
     ``spread_above`` bytes are only split into records by that task, and the
@@ -65,14 +74,21 @@ def ingest_objects(
     ``open_in_tasks``, so that paths are shuffled and not contents.
     ``source_options`` are passed on to the file source.
     """
+    opens = tasks_can_open(qualified_path(spark, source), store_settings(spark))
     if max_bytes_per_trigger is None and "maxFilesPerTrigger" not in (source_options or {}):
         max_bytes_per_trigger = BYTES_PER_CORE * spark.sparkContext.defaultParallelism
     schema = fmt.schema() if table_format != "parquet" else record_schema(spark, target, fmt.schema())
-    source_rows = stream_objects(
-        spark, source, prefix, after, before, exclude, max_bytes_per_trigger, max_file_age, source_options
-    )
-    if open_in_tasks:
-        source_rows = source_rows.drop("content")
+    if look_back_millis is None:
+        source_rows = stream_objects(
+            spark, source, prefix, after, before, exclude, max_bytes_per_trigger, max_file_age, source_options
+        )
+        if open_in_tasks and opens:
+            source_rows = source_rows.drop("content")
+    elif not opens:
+        raise ValueError(f"tasks cannot open the objects of {source}; leave out the look-back")
+    else:
+        listing = stream_listing(spark, source, prefix, after, before, look_back_millis)
+        source_rows = select_objects(listing, exclude=exclude)
     if already_read is not None:
         source_rows = source_rows.join(already_read.select("path"), "path", "left_anti")
     rows = decode_all(source_rows, fmt, spread_above, spark.sparkContext.defaultParallelism)
@@ -87,21 +103,40 @@ def ingest_objects(
 
 
 def ingest_pending(
-    spark: SparkSession, source: str, target: str, fmt: MessageFormat, *, table_format: str = "parquet", **options
+    spark: SparkSession,
+    source: str,
+    target: str,
+    fmt: MessageFormat,
+    *,
+    table_format: str = "parquet",
+    attempts: int = 5,
+    **options,
 ) -> None:
     """Append, as one batch, the objects under ``source`` that the table does not hold yet.
 
-    What is pending is told by the table's own ledger; ``options`` are those of ``pending_objects_of``. Records, rejects
-    and object rows are committed together, so a run that is repeated adds nothing. A plain append beside
-    a streaming file sink would not be seen by its readers: it goes to a sibling folder, which the readers
-    here take in. A stream started later on the same source does not know these objects; give it
-    ``already_read=read_ledger(...)``. One such batch may run at a time.
+    What is pending is told by the table's own ledger, however old it is; ``options`` are those of ``pending_objects_of``. Records,
+    rejects and object rows become visible together by one commit, so a run that breaks off shows nothing and one that is
+    repeated adds nothing. If another batch was committed meanwhile, what is pending is found and read anew, up to
+    ``attempts`` times. A plain append beside a streaming file sink would not be seen by its readers: a batch goes to a sibling folder,
+    which the readers here take in. A stream started later on the same source does not know these objects; give it
+    ``already_read=read_ledger(...)``. Other table formats commit by themselves; there, one such batch may run at a time.
     """
     schema = fmt.schema() if table_format != "parquet" else record_schema(spark, target, fmt.schema())
-    pending = pending_objects_of(spark, source, read_ledger(spark, target, table_format), **options)
-    rows = decode_all(pending, fmt).select(*schema.fieldNames(), ABOUT, KIND)
-    folder = _batches(target) if table_format == "parquet" else target
-    rows.write.format(table_format).mode("append").partitionBy(*_partitions(fmt)).save(folder)
+    for attempt in range(1, attempts + 1):
+        planned_on = commits.version(spark, _batches(target)) if table_format == "parquet" else 0
+        pending = pending_objects_of(spark, source, read_ledger(spark, target, table_format), **options)
+        if pending.isEmpty():
+            return
+        rows = decode_all(pending, fmt).select(*schema.fieldNames(), ABOUT, KIND)
+        if table_format != "parquet":
+            rows.write.format(table_format).mode("append").partitionBy(*_partitions(fmt)).save(target)
+            return
+        try:
+            commits.append_batch(rows, _batches(target), planned_on, _partitions(fmt))
+            return
+        except commits.CommitConflict:
+            if attempt == attempts:
+                raise
 
 
 def _partitions(fmt: MessageFormat) -> list[str]:
@@ -119,13 +154,13 @@ def _rows(spark: SparkSession, target: str, kind: str, table_format: str) -> Dat
     recorded = latest_schema(spark, target)
     parts = [StructField(ABOUT, ABOUT_SCHEMA), StructField(KIND, StringType())]
     schema = StructType((recorded.fields if recorded is not None else [StructField("file", StringType())]) + parts)
-    found = []
-    for folder in (target, _batches(target)):
-        try:
-            found.append(spark.read.schema(schema).parquet(folder).select(*schema.fieldNames()))
-        except AnalysisException as err:
-            if not path_is_missing(err):
-                raise
+    found = [commits.read_batches(spark, _batches(target), schema)]
+    try:
+        found.append(spark.read.schema(schema).parquet(target))
+    except AnalysisException as err:
+        if not path_is_missing(err):
+            raise
+    found = [rows.select(*schema.fieldNames()) for rows in found if rows is not None]
     rows = reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], schema)
     return rows.where(F.col(KIND) == kind)
 

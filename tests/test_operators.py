@@ -324,10 +324,10 @@ def test_pending_objects(spark):
     listing = spark.createDataFrame([(f"p.{T0 + d * DAY}.gz", T0 + d * DAY) for d in range(-3, 3)], "path string, file_ts long")
     ledger = listing.where(F.col("file_ts").isin(T0 - 2 * DAY, T0 + DAY))
     assert resume_point(ledger).first().resume_after == T0
-    got = {r.path for r in pending_objects(listing, ledger).collect()}
+    got = {r.path for r in pending_objects(listing, ledger, DAY).collect()}
     assert got == {f"p.{T0 + 2 * DAY}.gz"}
     wide = {r.path for r in pending_objects(listing, ledger, 10 * DAY).collect()}
-    assert len(wide) == 4
+    assert len(wide) == 4 and {r.path for r in pending_objects(listing, ledger).collect()} == wide  # no age is too old
     fewer = pending_objects(listing, ledger, 10 * DAY, exclude=listing.where(F.col("file_ts") == T0))
     assert fewer.count() == 3
     assert pending_objects(listing, ledger.limit(0)).count() == 6
