@@ -30,7 +30,7 @@ from pyspark.sql.window import Window
 from lakewright.llm.packing import encoder_of
 from lakewright.llm.rows import in_worker, keyed
 from lakewright.scratch import qualified_path
-from lakewright.sources.framing import store_of
+from lakewright.sources.stores import store_of, store_settings
 
 LENGTH = 2048
 END_ID = 0  # follows the last token of every document
@@ -166,11 +166,12 @@ def write_tokens(
     found = json.loads(content)
     ids = [*found["model"]["vocab"].values(), *(t["id"] for t in found["added_tokens"]), end_id]
     kind, sent = id_type(max(ids) + 1), spark.sparkContext.broadcast(content)
+    settings = store_settings(spark)
     folder, name = qualified_path(spark, f"{path}/data"), f"encoder of {zlib.crc32(content.encode())} {pattern}"
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = in_worker(name, lambda: encoder_of(sent.value, pattern))
-        store, where = store_of(folder)
+        store, where = store_of(folder, settings)
         store.create_dir(where, recursive=True)
         writer, first, of = None, None, None
 
@@ -213,10 +214,10 @@ def token_files(spark: SparkSession, path: str) -> DataFrame:
 
 def _opened(spark: SparkSession, path: str):
     """The files of ``path`` dealt among tasks, and what opens one of them in a task."""
-    folder = qualified_path(spark, f"{path}/data")
+    folder, settings = qualified_path(spark, f"{path}/data"), store_settings(spark)
 
     def open_file(name: str) -> TokenFile:
-        store, where = store_of(folder)
+        store, where = store_of(folder, settings)
         local = folder.startswith(("file:", "/"))
         return TokenFile(f"{where}/{name}" if local else store.open_input_file(f"{where}/{name}"))
 
