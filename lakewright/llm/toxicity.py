@@ -1,10 +1,10 @@
-"""Toxicity classifier: bags of subword embeddings, averaged, into a linear softmax, trained jointly in numpy.
+"""Toxicity classifier: words as averages of subword embeddings, averaged in turn into a linear softmax, trained jointly in numpy.
 
-A word is the mean of its own embedding and those of its character n-grams, all hashed to one table, so that an
-unseen spelling is placed by the n-grams it shares with known ones. A bag is the mean of some consecutive
-words, and the softmax over two classes gives its log odds. A document's log odds pool those of its bags (the log of
-their mean exponential), so that few words mark a long text: training starts at the average of all bags and moves to those that
-tell. Embeddings and softmax learn together, by Adagrad on the document's label.
+A word is the mean of the embeddings of its character n-grams, all hashed to one table, so that an unseen spelling is placed by the
+n-grams it shares with known ones; words have no entry of their own, which would only learn them by heart. A bag is the
+mean of some consecutive words, one unless told otherwise, and the softmax over two classes gives its log odds. A
+document's log odds pool those of its bags: a soft average (the log of their mean exponential, at a low sharpness) in which a few telling
+words still mark a long text. Embeddings and softmax learn together, by Adagrad on the document's label, with decaying embeddings.
 
 Training takes a bounded sample of labelled documents to the driver (``Settings.sample``, ``Settings.sample_bytes``); scoring runs on
 all rows where they are and sends one number per hash bucket along.
@@ -15,16 +15,16 @@ from __future__ import annotations
 import math
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
 import numpy as np
-import pyarrow as pa
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakewright.llm.rows import Memo
 
-EDGES = ".,;:!?\"'()[]{}<>|*_-#`~…«»“”‘’¿¡/\\"
+EDGES = ".,;:!?\"'()[]{}<>|*_-#`~…«»“”‘’¿¡/\\$%&@+="
 
 
 @dataclass(frozen=True)
@@ -35,16 +35,18 @@ class Settings:
     """
 
     sample: int = 3000
-    sample_bytes: int = 100_000
+    sample_bytes: int = 50_000
     buckets: int = 1 << 16
     dim: int = 8
     shortest: int = 3  # characters of an n-gram
-    longest: int = 5
-    bag: int = 4  # words
-    epochs: int = 6
-    batch: int = 50
+    longest: int = 6
+    bag: int = 1  # words
+    epochs: int = 9
+    batch: int = 50  # at most; a twentieth of a small sample, but ten documents at least
+    updates: int = 360  # a small sample is gone through more often
     rate: float = 0.3
-    sharpness: float = 1.0  # of pooling: 0 would be the mean of the log odds, infinity their maximum
+    decay: float = 0.001  # of the embeddings at each update, so that what few documents hold fades
+    sharpness: float = 0.28  # of pooling: 0 would be the mean of the log odds, infinity their maximum
     seed: int = 7
 
 
@@ -62,11 +64,12 @@ def words_of(text: str) -> list[str]:
 
 
 def word_features(word: str, settings: Settings) -> list[int]:
-    """The buckets of a word, without punctuation at its ends, and of its n-grams with marks for start and end."""
+    """The buckets of the n-grams of a word, without punctuation at its ends and with marks for start and end; a short word is its own."""
     word = f"<{word.strip(EDGES)}>"
-    parts = [word]
-    for n in range(settings.shortest, settings.longest + 1):
-        parts += [word[i : i + n] for i in range(len(word) - n + 1) if n < len(word)]
+    parts = []
+    for n in range(settings.shortest, min(settings.longest, len(word) - 1) + 1):
+        parts += [word[i : i + n] for i in range(len(word) - n + 1)]
+    parts = parts or [word]
     return [zlib.crc32(p.encode("utf-8", "replace")) % settings.buckets for p in parts]
 
 
@@ -80,60 +83,81 @@ def _sums(rows: np.ndarray, of: np.ndarray, n: int) -> np.ndarray:
     return np.stack([np.bincount(of, weights=rows[:, k], minlength=n) for k in range(rows.shape[1])], axis=1)
 
 
+class Sample:
+    """Texts as numbers: the words of each, and the buckets of each word."""
+
+    def __init__(self, texts: list[str], settings: Settings) -> None:
+        vocabulary: dict[str, int] = {}
+        self.docs = [np.array([vocabulary.setdefault(w, len(vocabulary)) for w in words_of(t) or [""]]) for t in texts]
+        features = [np.array(word_features(w, settings)) for w in vocabulary]
+        self.counts = np.array([len(f) for f in features])
+        self.first, self.flat = np.cumsum(self.counts) - self.counts, np.concatenate(features)
+
+
+def gradients(values: tuple, sample: Sample, chosen: np.ndarray, y: np.ndarray, settings: Settings) -> tuple[float, tuple]:
+    """Mean log loss of the ``chosen`` documents with labels ``y``, and its gradients by table, softmax weights and biases."""
+    table, out, bias = values
+    tokens = np.concatenate([sample.docs[i] for i in chosen])
+    lengths = np.array([len(sample.docs[i]) for i in chosen])
+    bags_of = -(-lengths // settings.bag)  # bags per document
+    bag_sizes = np.full(bags_of.sum(), settings.bag)
+    bag_sizes[np.cumsum(bags_of) - 1] = lengths - (bags_of - 1) * settings.bag
+    words, place = np.unique(tokens, return_inverse=True)
+    counts = sample.counts[words]
+    buckets = sample.flat[_spans(sample.first[words], counts)]
+    vectors = np.add.reduceat(table[buckets], np.cumsum(counts) - counts) / counts[:, None]
+    bags = np.add.reduceat(vectors[place], np.cumsum(bag_sizes) - bag_sizes) / bag_sizes[:, None]
+    logits = bags @ out + bias
+    odds = settings.sharpness * (logits[:, 1] - logits[:, 0])
+    doc_of, starts = np.repeat(np.arange(len(chosen)), bags_of), np.cumsum(bags_of) - bags_of
+    top = np.maximum.reduceat(odds, starts)
+    raised = np.exp(odds - top[doc_of])
+    total = np.add.reduceat(raised, starts)
+    pooled = (top + np.log(total / bags_of)) / settings.sharpness
+    loss = float(np.mean(np.logaddexp(0, np.where(y, -pooled, pooled))))
+    miss = 1 / (1 + np.exp(-pooled)) - y
+    slope = (miss / len(chosen))[doc_of] * raised / total[doc_of]
+    by_class = np.stack([-slope, slope], axis=1)
+    of_word = np.repeat(by_class @ out.T / bag_sizes[:, None], bag_sizes, axis=0)
+    of_vector = _sums(of_word, place, len(words)) / counts[:, None]
+    return loss, (_sums(np.repeat(of_vector, counts, axis=0), buckets, settings.buckets), bags.T @ by_class, by_class.sum(axis=0))
+
+
 def fit(texts: list[str], labels: list[int], settings: Settings, prior: float | None = None) -> Model:
     """Train on whole texts. ``prior``, the true share of label 1, corrects the intercept for how the sample was drawn.
 
     Without texts of both labels every text gets the share of label 1 as its score, one half without any.
     """
-    vocabulary: dict[str, int] = {}
-    docs = [np.array([vocabulary.setdefault(w, len(vocabulary)) for w in words_of(t)] or [vocabulary.setdefault("", len(vocabulary))]) for t in texts]
     y = np.array(labels, dtype=float)
     share = float(y.mean()) if len(y) else 0.5
     if share in (0.0, 1.0) or not len(y):
         odds = 0.0 if not len(y) else math.inf if share else -math.inf
         return Model(np.zeros(settings.buckets, np.float32), odds, settings)
-    features = [np.array(word_features(w, settings)) for w in vocabulary]
-    per_word = np.array([len(f) for f in features])
-    first, flat = np.cumsum(per_word) - per_word, np.concatenate(features)
+    sample = Sample(texts, settings)
     random = np.random.default_rng(settings.seed)
     table = random.uniform(-1 / settings.dim, 1 / settings.dim, (settings.buckets, settings.dim))
     out, bias = np.zeros((settings.dim, 2)), np.zeros(2)
     out[:, 1] = random.uniform(-1, 1, settings.dim)
-    past = [np.full_like(x, 1e-8) for x in (table, out, bias)]
-    for _ in range(settings.epochs):
-        order = random.permutation(len(docs))
-        for at in range(0, len(docs), settings.batch):
-            chosen = order[at : at + settings.batch]
-            tokens = np.concatenate([docs[i] for i in chosen])
-            lengths = np.array([len(docs[i]) for i in chosen])
-            bags_of = -(-lengths // settings.bag)  # bags per document
-            bag_sizes = np.full(bags_of.sum(), settings.bag)
-            bag_sizes[np.cumsum(bags_of) - 1] = lengths - (bags_of - 1) * settings.bag
-            words, place = np.unique(tokens, return_inverse=True)
-            counts = per_word[words]
-            buckets = flat[_spans(first[words], counts)]
-            vectors = np.add.reduceat(table[buckets], np.cumsum(counts) - counts) / counts[:, None]
-            bags = np.add.reduceat(vectors[place], np.cumsum(bag_sizes) - bag_sizes) / bag_sizes[:, None]
-            logits = bags @ out + bias
-            odds = settings.sharpness * (logits[:, 1] - logits[:, 0])
-            doc_of, starts = np.repeat(np.arange(len(chosen)), bags_of), np.cumsum(bags_of) - bags_of
-            top = np.maximum.reduceat(odds, starts)
-            raised = np.exp(odds - top[doc_of])
-            total = np.add.reduceat(raised, starts)
-            pooled = (top + np.log(total / bags_of)) / settings.sharpness
-            miss = 1 / (1 + np.exp(-pooled)) - y[chosen]
-            slope = (miss / len(chosen))[doc_of] * raised / total[doc_of]
-            by_class = np.stack([-slope, slope], axis=1)
-            of_word = np.repeat(by_class @ out.T / bag_sizes[:, None], bag_sizes, axis=0)
-            of_vector = _sums(of_word, place, len(words)) / counts[:, None]
-            steps = (_sums(np.repeat(of_vector, counts, axis=0), buckets, settings.buckets), bags.T @ by_class, by_class.sum(axis=0))
-            for value, grad, seen in zip((table, out, bias), steps, past):
+    values = (table, out, bias)
+    past = [np.full_like(x, 1e-8) for x in values]
+    batch = min(settings.batch, max(10, len(y) // 20))
+    epochs = max(settings.epochs, -(-settings.updates // -(-len(y) // batch)))
+    odds, intercept, kept = np.zeros(settings.buckets), 0.0, 0
+    for epoch in range(epochs):
+        order = random.permutation(len(y))
+        for at in range(0, len(y), batch):
+            chosen = order[at : at + batch]
+            _, steps = gradients(values, sample, chosen, y[chosen], settings)
+            for value, grad, seen in zip(values, steps, past):
                 seen += grad * grad
                 value -= settings.rate * grad / np.sqrt(seen)
-    intercept = bias[1] - bias[0]
+            table *= 1 - settings.decay
+        if 3 * epoch >= epochs:  # the model is the mean of what the last two thirds of the epochs end with
+            odds, intercept, kept = odds + table @ (out[:, 1] - out[:, 0]), intercept + bias[1] - bias[0], kept + 1
+    odds, intercept = odds / kept, intercept / kept
     if prior is not None and 0 < prior < 1:
         intercept += math.log(prior / (1 - prior)) - math.log(share / (1 - share))
-    return Model((table @ (out[:, 1] - out[:, 0])).astype(np.float32), float(intercept), settings)
+    return Model(odds.astype(np.float32), float(intercept), settings)
 
 
 class Scorer:
@@ -205,16 +229,17 @@ def score_documents(
     Empty and null texts get the score of a text that says nothing: the intercept's. Rows are scored
     one by one, so repeated rows and null ids need no rule; an empty table gives no rows.
     """
-    model = df.sparkSession.sparkContext.broadcast(train(df, labels, id_col, text_col, label_col, settings))
-
-    def run(series: Iterator) -> Iterator:
-        import pandas as pd
-
-        scorer = Scorer(model.value)
+    model = train(df, labels, id_col, text_col, label_col, settings)
+    # plain values: a broadcast is pickled by reference, and executors may have no copy of the package
+    sent = df.sparkSession.sparkContext.broadcast((model.odds, model.intercept, asdict(settings)))
+
+    @F.pandas_udf("double")
+    def score(series: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        odds, intercept, known = sent.value
+        scorer = Scorer(Model(odds, intercept, Settings(**known)))
         for texts in series:
             yield pd.Series([scorer.score(t) if t else scorer.score("") for t in texts], dtype="float64")
 
-    score = F.pandas_udf(run, "double", F.PandasUDFType.SCALAR_ITER)
     scored = df.select(F.struct("*").alias("row")).withColumn("score", score(F.col(f"row.{text_col}")))
     return scored.withColumns(
         {"predicted": (F.col("score") >= threshold).cast("int"), "held_out": held_out(f"row.{id_col}")}

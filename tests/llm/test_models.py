@@ -127,6 +127,48 @@ def test_unseen_spellings_share_ngrams():
     assert right >= 145 and scorer.score("") < 0.5
 
 
+def test_toxicity_score_is_the_formula():
+    settings = toxicity.Settings(buckets=97, dim=3, bag=2, sharpness=0.5)
+    model = toxicity.Model(np.linspace(-2, 3, 97).astype(np.float32), -0.4, settings)
+
+    def odds(word):
+        word = f"<{word.lower().strip(toxicity.EDGES)}>"
+        grams = [word[i : i + n] for n in (3, 4, 5, 6) for i in range(len(word) - n + 1) if n < len(word)] or [word]
+        return sum(float(model.odds[zlib.crc32(g.encode()) % 97]) for g in grams) / len(grams)
+
+    for text in ("One two, THREE four five!", "a", "", "x " * 501, "é ** <b> réeux"):
+        words = text.split()
+        bags = [words[i : i + 2] for i in range(0, len(words), 2)]
+        each = [math.exp(0.5 * sum(map(odds, bag)) / len(bag)) for bag in bags]
+        pooled = math.log(sum(each) / len(each)) / 0.5 if each else 0.0
+        assert toxicity.Scorer(model).score(text) == pytest.approx(1 / (1 + math.exp(0.4 - pooled)))
+
+
+def test_toxicity_gradients():
+    settings = toxicity.Settings(buckets=23, dim=3, bag=2, sharpness=0.7)
+    sample = toxicity.Sample(["one two three", "", "two two four five six", "SEVEN!"], settings)
+    draw = np.random.default_rng(1)
+    values, y = (draw.normal(size=(23, 3)), draw.normal(size=(3, 2)), draw.normal(size=2)), np.array([1.0, 0.0, 1.0])
+    chosen = np.array([2, 1, 0])
+    _, steps = toxicity.gradients(values, sample, chosen, y, settings)
+    for value, step in zip(values, steps):
+        for at in np.ndindex(*value.shape):
+            kept, losses = value[at], []
+            for moved in (1e-6, -1e-6):
+                value[at] = kept + moved
+                losses.append(toxicity.gradients(values, sample, chosen, y, settings)[0])
+            value[at] = kept
+            assert step[at] == pytest.approx((losses[0] - losses[1]) / 2e-6, abs=1e-7)
+
+
+def test_toxicity_needs_no_package_in_tasks():
+    """Everything a task gets: the function by value, and a broadcast that names no class of the package."""
+    import pickle
+
+    model = toxicity.fit(*made_up(30, ["horrible"], 1), toxicity.Settings(buckets=64))
+    assert b"lakewright" not in pickle.dumps((model.odds, model.intercept, toxicity.asdict(model.settings)))
+
+
 def test_toxicity_of_odd_rows(spark):
     texts, labels = made_up(90, ["horrible"], 3)
     rows = [(i, t, "x") for i, t in enumerate(texts)] + [(None, None, "x"), (5, "", None), (5, "", None), (6, "horrible " * 30000, "x")]
