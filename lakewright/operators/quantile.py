@@ -10,11 +10,15 @@ rows, and hot values are merged before the shuffle.
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from lakewright.scratch import stage
+
 _LOG_STEPS = 64  # first pass: 64 intervals per factor e, at most about 190,000 overall
 _LINEAR_STEPS = 4096  # later passes: equal intervals of the one kept
 _SMALL_COUNT = 50_000  # rows from which the last pass may list the distinct values
@@ -31,11 +35,13 @@ def _linear_interval(x: Column, low: float, high: float) -> Column:
     return F.floor((x - low) / (high - low) * _LINEAR_STEPS).cast("bigint")
 
 
+def _counts() -> list[Column]:
+    return [F.count("*").alias("n"), F.min("x").alias("low"), F.max("x").alias("high")]
+
+
 def _histogram(values: DataFrame, interval: Column) -> DataFrame:
     """Rows, smallest and largest value per interval, with the rows before it and the next value."""
-    counted = values.groupBy(interval.alias("i")).agg(
-        F.count("*").alias("n"), F.min("x").alias("low"), F.max("x").alias("high")
-    )
+    counted = values.groupBy(interval.alias("i")).agg(*_counts())
     order = Window.orderBy("i")  # over the interval counts only: their number is bounded
     return counted.select(
         "n",
@@ -90,6 +96,51 @@ def narrowed_quantile(df: DataFrame, column: str, q: float) -> float | None:
     return (rank + 1 - position) * lower + (position - rank) * upper
 
 
+def narrowed_quantiles(df: DataFrame, by: Sequence[str], column: str, q: float) -> DataFrame:
+    """``by`` and ``value``: the quantile of each group that has a value that is not null, by the same interval counting.
+
+    All groups are narrowed in the same passes, so the number of scans does not depend on how many there are: five at most. What is
+    known of a group, its interval and the rows before it, is one row of a small written table, which each pass joins with the
+    values. A group's counts are added up before they are shuffled, a hot group's too. Null keys form a group.
+    """
+    if not 0.0 <= q <= 1.0:
+        raise ValueError("q must lie between 0 and 1")
+    x = F.col(column).cast("double")
+    values = df.select(F.struct(*by).alias("g"), F.when(x == 0, F.lit(0.0)).otherwise(x).alias("x")).where("x is not null")
+    counted = values.groupBy("g", _log_interval(F.col("x")).cast("double").alias("i")).agg(*_counts())
+    total = F.sum("n").over(Window.partitionBy("g"))
+    wanted = {"position": q * (total - 1), "rank": F.floor(q * (total - 1)), "skipped": F.lit(0).cast("long"), "following": F.lit(None).cast("double")}
+    state = stage(_kept(counted.withColumns(wanted)), "quantiles")
+    found = []
+    for narrower in range(1, 6):
+        done = (F.col("low") == F.col("high")) | F.isnan("low")
+        found.append(state.where(done))
+        still = state.where(~done)
+        if narrower == 5 or still.isEmpty():
+            break
+        width = F.col("high") - F.col("low")
+        few = (F.col("n") <= _SMALL_COUNT) | F.lit(narrower >= 4) | ~(F.abs(width) < float("inf"))
+        linear = F.floor((F.col("x") - F.col("low")) / width * _LINEAR_STEPS).cast("double")
+        inside = values.join(still, "g").where(F.col("x").between(F.col("low"), F.col("high")))
+        cells = inside.groupBy("g", "position", "rank", "skipped", "following", F.when(few, F.col("x")).otherwise(linear).alias("i"))
+        state = stage(_kept(cells.agg(*_counts())), "quantiles")
+    ends = reduce(DataFrame.unionByName, found)
+    upper = F.when(F.col("rank") + 1 < F.col("skipped") + F.col("n"), F.col("low")).otherwise(F.coalesce("following", "low"))
+    between = (F.col("rank") + 1 - F.col("position")) * F.col("low") + (F.col("position") - F.col("rank")) * upper
+    exact = (F.col("position") == F.col("rank")) | (F.col("low") == upper)
+    return ends.select(*(F.col("g")[c].alias(c) for c in by), F.when(exact, F.col("low")).otherwise(between).alias("value"))
+
+
+def _kept(counted: DataFrame) -> DataFrame:
+    """The interval of each group that holds the wanted rank, with the rows before it and the value that follows."""
+    order = Window.partitionBy("g").orderBy("i")
+    places = counted.withColumns({"before": F.sum("n").over(order) - F.col("n"), "next": F.lead("low").over(order)})
+    left = F.col("rank") - F.col("skipped")
+    return places.where((F.col("before") <= left) & (left < F.col("before") + F.col("n"))).select(
+        "g", "position", "rank", (F.col("skipped") + F.col("before")).alias("skipped"), F.coalesce("next", "following").alias("following"), "n", "low", "high"
+    )
+
+
 def quantile(df: DataFrame, column: str, q: float, method: str = "narrow", accuracy: int = 100_000) -> Column:
     """The interpolated quantile as a column, for use in a filter or projection.
 

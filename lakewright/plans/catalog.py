@@ -15,7 +15,7 @@ from lakewright.functions import b58encode, b58encode_checked, epoch_day, from_e
 from lakewright.functions.epoch import MILLIS_PER_DAY
 from lakewright.operators.batching import assign_batches
 from lakewright.operators.history import append_history, extend_history
-from lakewright.operators.outliers import keep_positive, trim_above_quantile
+from lakewright.operators.outliers import keep_positive, trim_above_group_quantile, trim_above_quantile
 from lakewright.operators.quantile import narrowed_quantile
 from lakewright.operators.ranking import rank_order, top_groups
 from lakewright.operators.resume import pending_objects, resume_point
@@ -25,12 +25,13 @@ from lakewright.plans.country_ranking import ranked_share
 from lakewright.plans.rewards import active_entities, iot_rewards, latest_by_key, mobile_rewards
 from lakewright.plans.sample_messages import KINDS, event_report_format
 from lakewright.plans.sql_job import run_sql_job
-from lakewright.scratch import scratch_dir
+from lakewright.scratch import remove, scratch_dir, stage
 from lakewright.sources.exports import frame_object, set_modified, write_objects
 from lakewright.sources.framing import read_records
 from lakewright.sources.listing import object_uri, read_objects, select_objects, strip_root
 from lakewright.sources.schema_history import record_schema
 from lakewright.sources.tables import overwrite_table, read_table, register_tables
+from lakewright.streaming.gold import maintain_latest, read_active
 from lakewright.streaming.ingest import ingest_objects, ingest_pending, read_bronze, read_ledger, read_rejects
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -142,7 +143,7 @@ def _trimmed(spark: SparkSession, sf_dir: str, method: str) -> DataFrame:
 
 @_query(_TRIM_SQL)
 def outlier_trim_percentile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _trimmed(spark, sf_dir, "builtin")
+    return _trimmed(spark, sf_dir, "narrow")
 
 
 @_query(_TRIM_SQL)
@@ -150,6 +151,31 @@ def outlier_trim_by_narrowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _trimmed(spark, sf_dir, "narrow")
 
 
+@_query(
+    """with prices as (
+      select 'day' as kind, cast(cast(l_shipdate as date) as varchar) as name, l_extendedprice as price from lineitem
+      union all
+      select 'country', n_name, l_extendedprice
+      from lineitem join supplier on s_suppkey = l_suppkey join nation on n_nationkey = s_nationkey),
+    cuts as (select kind, name, quantile_cont(price, 0.999) as cut from prices group by kind, name)
+    select kind, name, count(*) as n, max(price) as max_price, cast(sum(cast(price as decimal(18,2))) as double) as total
+    from prices join cuts using (kind, name) where price < cut group by kind, name"""
+)
+def daily_outlier_trim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of each day and of each country below its own exact p99.9; all cuts are found in the same passes."""
+    lines = _table(spark, sf_dir, "lineitem")
+    located = lines.join(_table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+    located = located.join(_table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    price = F.col("l_extendedprice").alias("price")
+    days = lines.select(F.lit("day").alias("kind"), F.col("l_shipdate").cast("date").cast("string").alias("name"), price)
+    prices = stage(days.unionByName(located.select(F.lit("country").alias("kind"), F.col("n_name").alias("name"), price)), "prices")
+    return (
+        trim_above_group_quantile(prices, ["kind", "name"], "price", 0.999)
+        .groupBy("kind", "name")
+        .agg(F.count("*").alias("n"), F.max("price").alias("max_price"), (F.sum(_cents("price")) / 100).alias("total"))
+    )
+
+
 _EXTREME_SQL = """case event_id % 50 when 0 then null when 1 then 'Infinity'::double when 2 then '-Infinity'::double
   when 3 then 'NaN'::double else value end"""
 
@@ -265,15 +291,16 @@ def latest_by_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
 AS_OF = dt.date(2001, 8, 1)
 
 
-@_query(
-    """select max(epoch_ms(l_shipdate)) as most_recent_ts, cast(l_suppkey as varchar) as entity_key, 'iot' as sub_dao
+_ACTIVE_SQL = """select max(epoch_ms(l_shipdate)) as most_recent_ts, cast(l_suppkey as varchar) as entity_key, 'iot' as sub_dao
        from lineitem where cast(l_shipdate as date) >= date '2001-08-01' - 62
          and (l_quantity > 0 or l_tax > 0 or l_discount > 0) group by l_suppkey
        union all
        select max(epoch_ms(o_orderdate)), cast(o_custkey as varchar), 'mobile'
        from orders where cast(o_orderdate as date) >= date '2001-08-01' - 62 and o_totalprice > 0 group by o_custkey"""
-)
-def active_entities_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+
+
+def _silver(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The dated rewards of both networks."""
     iot = _table(spark, sf_dir, "lineitem").select(
         F.col("l_shipdate").cast("date").alias("date"),
         _millis("l_shipdate").alias("end_period"),
@@ -289,7 +316,30 @@ def active_entities_union(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_totalprice").alias("poc_amount"),
         F.lit(0.0).alias("dc_transfer_amount"),
     )
-    return active_entities(iot, mobile, AS_OF)
+    return iot, mobile
+
+
+@_query(_ACTIVE_SQL)
+def active_entities_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return active_entities(*_silver(spark, sf_dir), AS_OF)
+
+
+@_query(_ACTIVE_SQL)
+def gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from tables that a stream keeps up: rows arrive in three parts, and the last micro-batch is run twice."""
+    found = []
+    amounts = {"iot": ["beacon_amount", "witness_amount", "dc_transfer_amount"], "mobile": ["poc_amount", "dc_transfer_amount"]}
+    for (network, of), silver in zip(amounts.items(), _silver(spark, sf_dir)):
+        source, target, checkpoint = (scratch_dir(spark, name) for name in ("silver", "gold", "gold-checkpoint"))
+        third = F.pmod(F.xxhash64("entity_key", "end_period"), F.lit(3))
+        for part in range(3):
+            silver.where(third == part).write.mode("append").parquet(source)
+            stream = spark.readStream.schema(silver.schema).parquet(source)
+            maintain_latest(stream, target, checkpoint, of).awaitTermination()
+        remove(spark, f"{checkpoint}/commits/2")  # as if the run had ended between the table's commit and the stream's
+        maintain_latest(spark.readStream.schema(silver.schema).parquet(source), target, checkpoint, of).awaitTermination()
+        found.append(read_active(spark, target, network, AS_OF))
+    return found[0].unionByName(found[1])
 
 
 @_query(
@@ -796,6 +846,24 @@ def stream_restart_no_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(target)
 
 
+@_query(
+    """select cast(ts as date) as date, event_id, c_mktsegment, value * 2 as doubled
+       from events join customer on c_custkey = user_id where event_type = 'purchase'"""
+)
+def stream_join_sql_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One SQL file over a streaming table and a fixed one; a second run adds nothing."""
+    target = scratch_dir(spark, "stream")
+    sql = """select cast(ts as date) as date, event_id, c_mktsegment, value * 2 as doubled
+             from event_stream join customers on c_custkey = user_id where event_type = 'purchase'"""
+    tables = {"EVENT_STREAM": f"{sf_dir}/events.parquet", "CUSTOMERS": f"{sf_dir}/customer.parquet"}
+    for _ in range(2):
+        run_sql_job(
+            spark, sql, tables, target, streaming=["event_stream"], partition_by=["date"],
+            checkpoint=target + "-checkpoint", trigger="AvailableNow",
+        ).awaitTermination()
+    return spark.read.parquet(target)
+
+
 @_query(
     """select o_orderpriority, cast(o_orderdate as date) as last_date, n, total
        from (select o_orderpriority, max(o_orderdate) o_orderdate, count(*) as n,

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lakewright.functions import b58encode_checked
 
-ACTIVE_DAYS = 62  # a little more than two months, to include entities that change over
+ACTIVE_DAYS = 62  # how far the gold table looks back
 
 
 def project_rewards(df: DataFrame, entity_key: Column, columns: Mapping[str, str]) -> DataFrame:
@@ -57,6 +57,13 @@ def mobile_rewards(share: DataFrame) -> DataFrame:
     )
 
 
+def any_positive(amounts: Sequence[str]) -> Column:
+    positive = F.lit(False)
+    for amount in amounts:
+        positive |= F.col(amount) > 0
+    return positive
+
+
 def active_in_network(
     df: DataFrame,
     network: str,
@@ -66,11 +73,8 @@ def active_in_network(
 ) -> DataFrame:
     """``most_recent_ts, entity_key, sub_dao`` of the entities with any positive amount lately."""
     day = F.current_date() if as_of is None else F.lit(as_of)
-    positive = F.lit(False)
-    for amount in amounts:
-        positive |= F.col(amount) > 0
     return (
-        df.where((F.col("date") >= F.date_sub(day, days)) & positive)
+        df.where((F.col("date") >= F.date_sub(day, days)) & any_positive(amounts))
         .groupBy("entity_key")
         .agg(F.max("end_period").alias("most_recent_ts"))
         .select("most_recent_ts", "entity_key", F.lit(network).alias("sub_dao"))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -63,14 +63,17 @@ def run_sql_job(
     sql: str,
     tables: Mapping[str, str],
     output: str,
-    streaming: bool = False,
+    streaming: bool | Collection[str] = False,
     fmt: str = "parquet",
     partition_by: Sequence[str] = (),
     checkpoint: str | None = None,
     trigger: str = "ProcessingTime",
     interval: str | None = None,
 ) -> StreamingQuery | None:
-    """Register functions and tables, then run the SQL; a stream is returned running."""
+    """Register functions and tables, then run the SQL; a stream is returned running.
+
+    ``streaming`` may name the tables that stream; the query can then join them with the others, which stay fixed tables.
+    """
     register_functions(spark)
     register_tables(spark, tables, fmt, streaming)
     if not streaming:
@@ -85,20 +88,22 @@ def run_from_env(env: Mapping[str, str] | None = None, fmt: str = "delta") -> No
     """The job described by environment variables, until it ends.
 
     ``QUERY_PATH``, ``OUTPUT``, ``TABLE_<NAME>``, ``SPARK_<KEY>``; ``BATCH_PROCESSING``
-    (default false); for streams ``PARTITION_BY`` (comma-separated), ``CHECKPOINT``,
-    ``TRIGGER`` and ``TRIGGER_INTERVAL``. The command line takes the tables' format from ``OUTPUT_FORMAT`` (default delta).
+    (default false); for streams ``PARTITION_BY`` (comma-separated), ``BATCH_TABLES`` (comma-separated names of tables that
+    do not stream), ``CHECKPOINT``, ``TRIGGER`` and ``TRIGGER_INTERVAL``. The command line takes the tables' format from ``OUTPUT_FORMAT`` (default delta).
     """
     env = os.environ if env is None else env
     streaming = env.get("BATCH_PROCESSING", "false").lower() != "true"
     spark = build_session("sql-job", env=env, delta=fmt == "delta")
     with open(env["QUERY_PATH"], encoding="utf-8") as f:
         sql = f.read()
+    tables = tables_from_env(env)
+    fixed = {name.strip().lower() for name in env.get("BATCH_TABLES", "").split(",")}
     query = run_sql_job(
         spark,
         sql,
-        tables_from_env(env),
+        tables,
         env["OUTPUT"],
-        streaming,
+        [name for name in tables if name not in fixed] if streaming else False,
         fmt,
         [c for c in env.get("PARTITION_BY", "").split(",") if c and streaming],
         env.get("CHECKPOINT"),

@@ -30,27 +30,27 @@ class CommitConflict(RuntimeError):
     """Another batch was committed since the state that this one was planned on."""
 
 
-def commits(spark: SparkSession, root: str) -> list[tuple[int, str]]:
-    """``(number, folder)`` of the shown batches, in order."""
+def commits(spark: SparkSession, root: str) -> list[tuple[int, str, dict[str, bool] | None]]:
+    """``(number, folder, parts)`` of the shown batches, in order; parts: whether the partitions that a batch replaces have rows."""
     root = root.rstrip("/")
-    schema = "number long, folder string"
+    schema = "number long, folder string, parts map<string, boolean>"
     try:
         rows = spark.read.schema(schema).json(f"{root}/{_COMMITS}", pathGlobFilter="[0-9]" * _DIGITS).collect()
     except AnalysisException as err:
         if not path_is_missing(err):
             raise
         rows = []
-    return sorted((r.number, f"{root}/data/{r.folder}") for r in rows)
+    return [(r.number, f"{root}/data/{r.folder}", r.parts) for r in sorted(rows, key=lambda r: r.number)]
 
 
 def version(spark: SparkSession, root: str) -> int:
     """The number of the last commit, 0 before the first."""
-    return max((number for number, _ in commits(spark, root)), default=0)
+    return max((number for number, *_ in commits(spark, root)), default=0)
 
 
 def read_batches(spark: SparkSession, root: str, schema: StructType) -> DataFrame | None:
     """The rows of all shown batches, or None if there are none. Partition columns are told from the folders' names."""
-    folders = [folder for _, folder in commits(spark, root)]
+    folders = [folder for _, folder, _ in commits(spark, root)]
     if not folders:
         return None
     reader = spark.read.schema(StructType([*schema.fields, StructField(_FOLDER, StringType())]))
@@ -73,14 +73,46 @@ def append_batch(df: DataFrame, root: str, planned_on: int, partition_by: Sequen
     return planned_on + 1
 
 
-def _show(spark: SparkSession, root: str, number: int, folder: str) -> None:
+def replace_parts(df: DataFrame, root: str, planned_on: int, part_by: str, parts: Sequence[str]) -> int:
+    """Write ``df`` as the new content of the partitions ``parts`` of column ``part_by``; other partitions stay as they are.
+
+    Visible as one by commit ``planned_on + 1``, as in ``append_batch``; readers use ``read_parts``. A partition that ``df`` has no rows of
+    is empty from then on. Older folders are kept for readers that still use them. Parts are named as in their folders' names.
+    """
+    spark, root, folder = df.sparkSession, root.rstrip("/"), f"{_FOLDER}={uuid.uuid4().hex}"
+    written = set()
+    if parts:
+        df.write.partitionBy(part_by).parquet(f"{root}/data/{folder}")
+        where = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/data/{folder}")
+        files = where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+        written = {status.getPath().getName() for status in files.listStatus(where)}
+    try:
+        _show(spark, root, planned_on + 1, folder, {part: f"{part_by}={part}" in written for part in parts})
+    except CommitConflict:
+        remove(spark, f"{root}/data/{folder}")
+        raise
+    return planned_on + 1
+
+
+def read_parts(spark: SparkSession, root: str, schema: StructType, part_by: str, parts: Sequence[str] | None = None) -> DataFrame:
+    """The rows of all partitions, or of ``parts``, each as the last commit that replaced it left it."""
+    newest = {part: folder if rows else None for _, folder, changed in commits(spark, root) for part, rows in (changed or {}).items()}
+    wanted = set(newest if parts is None else parts)
+    paths = [f"{folder}/{part_by}={part}" for part, folder in sorted(newest.items()) if folder and part in wanted]
+    if not paths:
+        return spark.createDataFrame([], schema)
+    reader = spark.read.schema(StructType([*schema.fields, StructField(_FOLDER, StringType())]))
+    return reader.option("basePath", f"{root.rstrip('/')}/data").parquet(*paths).select(*schema.fieldNames())
+
+
+def _show(spark: SparkSession, root: str, number: int, folder: str, parts: dict[str, bool] | None = None) -> None:
     jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
     path = jvm.org.apache.hadoop.fs.Path
     target = path(f"{root}/{_COMMITS}/{number:0{_DIGITS}}")
     fresh = path(f"{root}/{_COMMITS}/.{folder}")
     files = target.getFileSystem(conf)
     with_content = files.create(fresh, False)
-    with_content.write(json.dumps({"number": number, "folder": folder}).encode())
+    with_content.write(json.dumps({"number": number, "folder": folder, "parts": parts}).encode())
     with_content.close()
     context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(files.makeQualified(target).toUri(), conf)
     options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
@@ -99,7 +131,7 @@ def sweep(spark: SparkSession, root: str, older_than_millis: int) -> list[str]:
     Take a time before the start of any run that may still be writing.
     """
     root = root.rstrip("/")
-    shown = {folder.rpartition("/")[2] for _, folder in commits(spark, root)}
+    shown = {folder.rpartition("/")[2] for _, folder, _ in commits(spark, root)}
     where = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/data")
     files = where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
     if not files.exists(where):

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -47,11 +47,19 @@ def register_tables(
     spark: SparkSession,
     paths: Mapping[str, str],
     fmt: str = "parquet",
-    streaming: bool = False,
+    streaming: bool | Collection[str] = False,
 ) -> list[str]:
-    """Register each ``name: path`` as a temporary view under the lower-cased name."""
+    """Register each ``name: path`` as a temporary view under the lower-cased name.
+
+    ``streaming`` holds for all tables or names those that stream; the others are fixed tables that each micro-batch reads as they
+    were when the job started, Delta tables as they are by then.
+    """
+    streams = {n.lower() for n in (paths if streaming is True else streaming or ())}
+    unknown = streams - {n.lower() for n in paths}
+    if unknown:
+        raise ValueError(f"no such tables: {sorted(unknown)}")
     for name, path in paths.items():
-        read_table(spark, path, fmt, streaming).createOrReplaceTempView(name.lower())
+        read_table(spark, path, fmt, name.lower() in streams).createOrReplaceTempView(name.lower())
     return [name.lower() for name in paths]
 
 
