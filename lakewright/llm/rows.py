@@ -42,6 +42,17 @@ def keyed(df: DataFrame, id_col: str, text_col: str, whole: bool = False) -> Dat
     return stage(ordered.select(F.monotonically_increasing_id().alias("rid"), "*"), "keyed")
 
 
+BROADCAST_ROWS = 1 << 20  # of two long columns, about 40 MB in each executor
+
+
+def broadcast_if_small(keys: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """``keys``, a written table of two long columns at most, marked for broadcast if it has no more than ``most`` rows.
+
+    Beyond that it stays as it is, and the join it takes part in shuffles both sides.
+    """
+    return F.broadcast(keys) if keys.limit(most + 1).count() <= most else keys
+
+
 def number_rows(df: DataFrame, *order: Any) -> tuple[DataFrame, int]:
     """``df`` with ``row_no``, counting from 0 without gaps in the given order, and the number of rows.
 

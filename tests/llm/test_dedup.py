@@ -158,3 +158,27 @@ def test_substrings_of_odd_rows(odd):
     assert {(r.n_chunks, r.text) for r in got if r.id in (5, 6)} == {(0, "")}
     assert substring_dedup.dedup_substrings(odd.where("false")).count() == 0
     assert substring_dedup.strip_repeats(odd).count() == 12
+
+
+def test_exact_groups_beyond_what_is_broadcast(spark, sf, monkeypatch):
+    """With more keys than may be broadcast, both sides of each join are shuffled; the groups are the same."""
+    from pyspark.sql import functions as F
+
+    from lakewright.llm import exact_dedup, rows
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    docs = docs.unionByName(docs.where("doc_id < 40").withColumn("doc_id", F.col("doc_id") + 10**6))
+    few = sorted(map(tuple, exact_dedup.exact_groups(docs, carry={}).collect()))
+    left = sorted(r.doc_id for r in exact_dedup.drop_copies(docs).collect())
+    monkeypatch.setattr(exact_dedup, "broadcast_if_small", lambda keys: rows.broadcast_if_small(keys, 1))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert sorted(map(tuple, exact_dedup.exact_groups(docs, carry={}).collect())) == few
+        assert sorted(r.doc_id for r in exact_dedup.drop_copies(docs).collect()) == left
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    want = {}
+    for r in docs.collect():
+        want.setdefault(r.text or "", []).append(r.doc_id)
+    assert few == sorted((k, max(ids), len(ids), k == max(ids)) for ids in want.values() for k in ids)
+    assert left == sorted(max(ids) for ids in want.values())
