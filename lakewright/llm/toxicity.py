@@ -16,6 +16,7 @@ import math
 import zlib
 from collections.abc import Iterator
 from dataclasses import asdict, dataclass
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -66,11 +67,14 @@ def words_of(text: str) -> list[str]:
 def word_features(word: str, settings: Settings) -> list[int]:
     """The buckets of the n-grams of a word, without punctuation at its ends and with marks for start and end; a short word is its own."""
     word = f"<{word.strip(EDGES)}>"
-    parts = []
-    for n in range(settings.shortest, min(settings.longest, len(word) - 1) + 1):
-        parts += [word[i : i + n] for i in range(len(word) - n + 1)]
-    parts = parts or [word]
-    return [zlib.crc32(p.encode("utf-8", "replace")) % settings.buckets for p in parts]
+    data, size, crc, buckets = word.encode("utf-8", "replace"), len(word), zlib.crc32, settings.buckets
+    lengths = range(settings.shortest, min(settings.longest, size - 1) + 1)
+    if not lengths:
+        return [crc(data) % buckets]
+    if len(data) == size:
+        return [crc(data[i : i + n]) % buckets for n in lengths for i in range(size - n + 1)]
+    at = [0, *accumulate(len(c.encode("utf-8", "replace")) for c in word)]  # where characters begin
+    return [crc(data[at[i] : at[i + n]]) % buckets for n in lengths for i in range(size - n + 1)]
 
 
 def _spans(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
