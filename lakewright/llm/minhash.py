@@ -9,12 +9,14 @@ Documents with equal sets are one class and go on as their smallest member. With
 document stand for the others: every other one is compared with those two, not with each other. Where a key
 then still joins documents of different components, those documents are put through an exact filter on their rarest shingles
 (``crossing``), which leaves out no link between components and, unlike the keys, is not met by texts that only share a
-common passage. So a group of near copies costs as many comparisons as it has members, and no pairs are formed of texts
-that merely resemble each other.
+common passage: whether two sets can be linked by a shingle is decided once for all documents that hold it at equal places in
+sets of equal size, before any two of them are joined. So a group of near copies costs as many comparisons as it has
+members, and texts of one template that are not alike enough are never paired.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -104,7 +106,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, settings: Settings) -> DataFra
     The others come to ``a`` in sets of limited size, one after the other, so a task holds two texts at a time.
     """
     pairs = stage(pairs, "pairs")
-    many = pairs.groupBy("a").count().where(F.col("count") > settings.members)
+    many = stage(pairs.groupBy("a").count().where(F.col("count") > settings.members), "many")
     sets = F.coalesce(F.ceil(F.col("count") / settings.members), F.lit(1))
     dealt = pairs.join(many, "a", "left").select("a", F.pmod(F.xxhash64("b"), sets).alias("part"), "b")
     asked = dealt.select("a", "part", F.col("b").alias("rid"), F.lit(1).alias("other")).unionByName(
@@ -165,15 +167,20 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def table_keys(signs: DataFrame, settings: Settings) -> DataFrame:
-    """``key, rid``: a document's keys in all tables, from half keys that other documents share."""
-    halves = signs.select("rid", F.posexplode("keys").alias("half", "value"))
+    """``key, rid, n``: a document's keys in all tables, from half keys that other documents share."""
+    halves = signs.select("rid", "n", F.posexplode("keys").alias("half", "value"))
     shared = stage(halves.groupBy("half", "value").count().where("count > 1").select("half", "value"), "shared_halves")
-    own = halves.join(shared, ["half", "value"]).groupBy("rid").agg(F.collect_list(F.struct("half", "value")).alias("own"))
+    own = halves.join(shared, ["half", "value"]).groupBy("rid", "n").agg(F.collect_list(F.struct("half", "value")).alias("own"))
     left = F.filter("own", lambda h: h["half"] < settings.halves)
     right = F.filter("own", lambda h: h["half"] >= settings.halves)
-    sides = own.select("rid", left.alias("left"), right.alias("right")).where("size(left) > 0 and size(right) > 0")
-    pairs = sides.select("rid", "right", F.explode("left").alias("l")).select("rid", "l", F.explode("right").alias("r"))
-    return pairs.select(F.xxhash64("l.half", "r.half", "l.value", "r.value").alias("key"), "rid")
+    sides = own.select("rid", "n", left.alias("left"), right.alias("right")).where("size(left) > 0 and size(right) > 0")
+    pairs = sides.select("rid", "n", "right", F.explode("left").alias("l")).select("rid", "n", "l", F.explode("right").alias("r"))
+    return pairs.select(F.xxhash64("l.half", "r.half", "l.value", "r.value").alias("key"), "rid", "n")
+
+
+def sizes_fit(n: Column, m: Column, settings: Settings) -> Column:
+    """Whether sets of these sizes can be linked at all."""
+    return 100 * F.least(n, m) >= settings.percent * F.greatest(n, m)
 
 
 def alike(rows: DataFrame, settings: Settings) -> DataFrame:
@@ -185,22 +192,17 @@ def alike(rows: DataFrame, settings: Settings) -> DataFrame:
     leaders = signs.join(classes.select(F.col("first").alias("rid")), "rid")  # one of each class
 
     tables = stage(table_keys(leaders, settings), "tables")
-    ends = tables.groupBy("key").agg(F.min("rid").alias("low"), F.max("rid").alias("high")).where("low < high")
+    lowest, highest = (F.min("rid").alias("low"), F.min_by("n", "rid").alias("low_n")), (F.max("rid").alias("high"), F.max_by("n", "rid").alias("high_n"))
+    ends = tables.groupBy("key").agg(*lowest, *highest).where("low < high")
     held = stage(tables.join(stage(ends, "ends"), "key"), "held")
-    sizes = signs.select("rid", "n")
-
-    def fitting(pairs: DataFrame) -> DataFrame:
-        """Without pairs whose sizes alone keep them apart."""
-        sized = pairs.join(sizes.select(F.col("rid").alias("a"), F.col("n").alias("n_a")), "a")
-        sized = sized.join(sizes.select(F.col("rid").alias("b"), F.col("n").alias("n_b")), "b")
-        return sized.where(100 * F.least("n_a", "n_b") >= settings.percent * F.greatest("n_a", "n_b")).select("a", "b")
 
     involved = held.select("rid").distinct()
     texts = stage(rows.select("rid", F.col("text").cast("binary").alias("bytes")).join(involved, "rid"), "candidate_texts")
-    stars = held.select(F.col("low").alias("a"), F.col("rid").alias("b")).unionByName(
-        held.select(F.col("rid").alias("a"), F.col("high").alias("b"))
+    stars = held.select(F.col("low").alias("a"), F.col("low_n").alias("n_a"), F.col("rid").alias("b"), F.col("n").alias("n_b")).unionByName(
+        held.select(F.col("rid").alias("a"), F.col("n").alias("n_a"), F.col("high").alias("b"), F.col("high_n").alias("n_b"))
     )
-    links = stage(confirmed(fitting(stars.where("a <> b").distinct()), texts, settings), "links")
+    fitting = stars.where((F.col("a") != F.col("b")) & sizes_fit(F.col("n_a"), F.col("n_b"), settings))
+    links = stage(confirmed(fitting.select("a", "b").distinct(), texts, settings), "links")
     joined = components(links)
 
     # keys that still hold documents of several components
@@ -216,13 +218,38 @@ def alike(rows: DataFrame, settings: Settings) -> DataFrame:
     return members.join(final, "first", "left").select("rid", "n", F.coalesce("component", "first").alias("component"))
 
 
+def meeting_cells(held: DataFrame, settings: Settings) -> DataFrame:
+    """``value, n_x, at_x, n_y, at_y``: a place in smaller sets that is worth comparing with one in sets as large or larger.
+
+    ``held``: ``value, c, n, at, narrow``. Two places of one and the same component are not worth it. Sizes that can be linked lie
+    in the same or in neighbouring bands, so that a shingle's cells are joined with cells of about their own size only.
+    """
+    width = max(math.log(100 / settings.percent) * 1.001, 0.01)
+    band = F.floor(F.log("n") / width).cast("int")
+    cells = held.groupBy("value", "n", "at", "narrow").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
+    cells = stage(cells.withColumn("band", band), "cells")
+    x = cells.where("narrow").withColumn("band", F.explode(F.array("band", F.col("band") + 1)))
+    x = x.select("value", "band", *(F.col(k).alias(f"{k}_x") for k in ("n", "at", "lo", "hi")))
+    y = cells.select("value", "band", *(F.col(k).alias(f"{k}_y") for k in ("n", "at", "lo", "hi")))
+    n_x, n_y = F.col("n_x"), F.col("n_y")
+    needed = F.ceil((n_x + n_y) * settings.percent / (100 + settings.percent))
+    enough = 1 + F.least(n_x - F.col("at_x"), n_y - F.col("at_y")) >= needed
+    apart = F.least("lo_x", "lo_y") < F.greatest("hi_x", "hi_y")
+    met = x.join(y, ["value", "band"]).where((n_x <= n_y) & sizes_fit(n_x, n_y, settings) & enough & apart)
+    return met.select("value", "n_x", "at_x", "n_y", "at_y")
+
+
 def crossing(docs: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
     """``a, b``: every pair of the ``rid, c`` rows that may be linked and lies in two components ``c``, and few others.
 
     With all sets in one order, rarest shingles first, two sets that are alike enough share one within their first
-    few: of the smaller set, those that may lie outside the required overlap with an equally large one, of the
-    larger one, outside the least overlap it can be linked by. What comes after the first shared shingle must
-    suffice for the rest of the overlap. A shingle of one document only takes a place in this order and nothing else.
+    few: of the smaller set, those that may lie outside the required overlap with an equally large one (its narrow
+    prefix), of the larger one, outside the least overlap it can be linked by (its wide prefix). What comes after
+    the first shared shingle must suffice for the rest of the overlap. A shingle of one document only takes a place in this
+    order and nothing else.
+
+    Only sizes and places decide whether a narrow and a wide prefix meet in a shingle. So that is settled for cells, all
+    documents that hold a shingle at the same place in sets of the same size; documents are joined by cells that meet.
     """
     percent = settings.percent
 
@@ -245,17 +272,18 @@ def crossing(docs: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame
     counted = first.groupBy("value", "c").count().groupBy("value")
     largest = counted.agg(F.max_by("c", "count").alias("largest"), F.count("*").alias("several")).where("several > 1")
     held = stage(first.join(stage(largest.select("value", "largest"), "largest"), "value"), "meeting")
-    a = held.where("c <> largest").select("value", F.struct("rid", "c", "n", "at").alias("x"))
-    b = held.select("value", F.struct("rid", "c", "n", "at").alias("y"))
-    x, y, both = F.col("x"), F.col("y"), F.col("x.n") + F.col("y.n")
-
-    def smaller(p: Column, q: Column) -> Column:
-        return (p["n"] <= q["n"]) & (p["at"] <= p["n"] - F.ceil(p["n"] * 2 * percent / (100 + percent)) + 1)
-
-    enough = 1 + F.least(x["n"] - x["at"], y["n"] - y["at"]) >= F.ceil(both * percent / (100 + percent))
-    sizes = 100 * F.least(x["n"], y["n"]) >= percent * F.greatest(x["n"], y["n"])
-    pairs = a.join(b, "value").where((x["c"] != y["c"]) & sizes & enough & (smaller(x, y) | smaller(y, x)))
-    return pairs.select(F.least("x.rid", "y.rid").alias("a"), F.greatest("x.rid", "y.rid").alias("b")).distinct()
+    narrow = F.col("at") <= F.col("n") - F.ceil(F.col("n") * 2 * percent / (100 + percent)) + 1
+    met = stage(meeting_cells(held.withColumn("narrow", narrow), settings), "meeting_cells")
+    x = held.where(narrow).select("value", *(F.col(k).alias(f"{k}_x") for k in ("n", "at", "rid", "c")), "largest")
+    y = held.select("value", *(F.col(k).alias(f"{k}_y") for k in ("n", "at", "rid", "c")), "largest")
+    few_x, few_y = x.where("c_x <> largest"), y.where("c_y <> largest")
+
+    def paired(x: DataFrame, y: DataFrame) -> DataFrame:
+        joined = x.drop("largest").join(met, ["value", "n_x", "at_x"]).join(y.drop("largest"), ["value", "n_y", "at_y"])
+        return joined.where("c_x <> c_y").select("rid_x", "rid_y")
+
+    pairs = paired(few_x, y).unionByName(paired(x.where("c_x = largest"), few_y))
+    return pairs.select(F.least("rid_x", "rid_y").alias("a"), F.greatest("rid_x", "rid_y").alias("b")).distinct()
 
 
 def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", settings: Settings = Settings()) -> DataFrame:

@@ -86,6 +86,44 @@ def test_parts_of_a_long_list_are_all_compared(spark):
     check(minhash.near_groups(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), settings=minhash.Settings(members=7)).collect(), texts)
 
 
+def test_texts_of_one_template_are_not_paired(spark, monkeypatch):
+    """Every two of them share most of their shingles, few are alike enough; rows grow with the texts, not with their pairs."""
+    written, real = {}, minhash.stage
+
+    def counted(df, name):
+        out = real(df, name)
+        written.setdefault(name, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(minhash, "stage", counted)
+    template = [f"t{i}" for i in range(30)]
+    for n in (400, 1600):
+        written.clear()
+        texts = {i: " ".join(template + [f"o{i}x{k}" for k in range(7 if i % 2 else 8)]) for i in range(n)}
+        texts |= {n + i: " ".join(template + [f"s{i}x{k}" for k in range(2)]) for i in range(n // 4)}  # these are alike
+        df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+        got = {r.id: r.component_id for r in minhash.near_groups(df).collect()}
+        assert got == {i: min(i, n) for i in texts}
+        assert sum(written["meeting_cells"]) < 100
+        stars, crossed = written["pairs"]  # at most two for each table a text is in
+        assert stars <= 2 * minhash.Settings().halves ** 2 * len(texts) and crossed == 0
+        assert all(sum(found) <= 2 * minhash.Settings().halves ** 2 * len(texts) for found in written.values())
+
+
+def test_meeting_cells_leave_out_no_link(spark):
+    """Two sets that are alike enough meet in a cell, at all sizes and percentages."""
+    draw = random.Random(8)
+    for percent in (50, 75, 100):
+        base = [f"b{i}" for i in range(60)]
+        texts = {i: " ".join(base[draw.randrange(6) : 60 - draw.randrange(6)] + [f"o{i}x{k}" for k in range(draw.randrange(9))]) for i in range(60)}
+        settings = minhash.Settings(percent=percent)
+        df = spark.createDataFrame([(k, k, v.encode()) for k, v in texts.items()], "rid long, c long, bytes binary")
+        pairs = {(r.a, r.b) for r in minhash.crossing(df.select("rid", "c"), df.select("rid", "bytes"), settings).collect()}
+        sets = {k: set(minhash.shingles(v.encode()).tolist()) for k, v in texts.items()}
+        want = {(i, j) for i in sets for j in sets if i < j and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j])}
+        assert want <= pairs and (percent == 100 or want)
+
+
 def test_components_of_long_paths(spark):
     edges = [(i, i + 1) for i in range(0, 90)] + [(200, 150), (170, 150), (150, 201)] + [(5000, 5000 + i) for i in range(1, 500)]
     random.Random(1).shuffle(edges)
