@@ -143,25 +143,25 @@ def components(links: DataFrame) -> DataFrame:
     def both_ways(edges: DataFrame) -> DataFrame:
         return edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
 
-    def hung(side: DataFrame, larger: bool) -> DataFrame:
-        lowest = stage(side.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m")), "lowest")
-        below = side.where("b > a") if larger else side
-        moved = below.join(lowest, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        if not larger:
-            moved = moved.unionByName(lowest.select("a", F.col("m").alias("b")))
+    def lowest(side: DataFrame) -> DataFrame:
+        """``a, m, below, above``: the smallest of a node and its neighbours, how many are smaller, whether one is larger."""
+        smallest = F.least(F.min("b"), F.first("a")).alias("m")
+        below, above = F.sum((F.col("b") < F.col("a")).cast("long")), F.max(F.col("b") > F.col("a"))
+        return stage(side.groupBy("a").agg(smallest, below.alias("below"), above.alias("above")), "lowest")
+
+    def hung(below: DataFrame, low: DataFrame, itself: bool) -> DataFrame:
+        moved = below.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        if itself:
+            moved = moved.unionByName(low.select("a", F.col("m").alias("b")))
         return stage(moved.where("a <> b").distinct(), "edges")
 
-    def done(edges: DataFrame) -> bool:
-        """Whether all nodes hang on one node each, and those on none."""
-        ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("below"), F.lit(0).alias("above"))
-        ends = ends.unionByName(edges.select(F.col("b").alias("node"), F.lit(0).alias("below"), F.lit(1).alias("above")))
-        counted = ends.groupBy("node").agg(F.sum("below").alias("below"), F.max("above").alias("above"))
-        return counted.where("below > 1 or (below > 0 and above > 0)").isEmpty()
-
     edges = stage(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "edges")
-    while not done(edges):
-        edges = hung(both_ways(edges), True)
-        edges = hung(edges, False)
+    while True:
+        low = lowest(both_ways(edges))
+        if low.where("below > 1 or (below > 0 and above)").isEmpty():  # all hang on one node each, and those on none
+            break
+        edges = hung(both_ways(edges).where("b > a"), low, itself=False)
+        edges = hung(edges, lowest(edges), itself=True)
     flat = edges.select(F.col("a").alias("rid"), F.col("b").alias("component"))
     return flat.unionByName(flat.select(F.col("component").alias("rid"), "component").distinct())
 
@@ -188,7 +188,7 @@ def alike(rows: DataFrame, settings: Settings) -> DataFrame:
     signs = stage(signatures(rows, settings), "signatures")
     classes = stage(signs.where("digest is not null").groupBy("digest").agg(F.min("rid").alias("first"), F.count("*").alias("size")), "classes")
     of_class = signs.select("rid", "n", "digest").join(classes.where("size > 1").select("digest", "first"), "digest", "left")
-    members = stage(of_class.select("rid", "n", F.coalesce("first", "rid").alias("first")), "members")
+    members = of_class.select("rid", "n", F.coalesce("first", "rid").alias("first"))
     leaders = signs.join(classes.select(F.col("first").alias("rid")), "rid")  # one of each class
 
     tables = stage(table_keys(leaders, settings), "tables")
