@@ -19,6 +19,7 @@ from lakewright.operators.outliers import keep_positive, trim_above_group_quanti
 from lakewright.operators.quantile import narrowed_quantile
 from lakewright.operators.ranking import rank_order, top_groups
 from lakewright.operators.resume import pending_objects, resume_point
+from lakewright.operators.sketches import merge_sketches, rank_error, sketched_quantiles, value_sketches
 from lakewright.operators.summary import column_summary as summarise
 from lakewright.operators.summary import column_summary_mixed as summarise_mixed
 from lakewright.plans.country_ranking import ranked_share
@@ -176,6 +177,34 @@ def daily_outlier_trim(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query(
+    """with prices as (select strftime(cast(l_shipdate as date), '%Y') as span, l_extendedprice as price from lineitem
+      union all select 'all', l_extendedprice from lineitem)
+    select span, q, count(price) as n, min(price) as low, max(price) as high, true as within
+    from prices, (select unnest([0.0, 0.01, 0.5, 0.9, 0.999, 1.0]::double[]) as q) group by span, q"""
+)
+def quantile_over_stored_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches stored per month, in two deliveries, answer for each year and for all; ``within``: the true rank is as near as promised.
+
+    Three times the bound of 99 in 100 is allowed, so that no run fails by chance.
+    """
+    path = scratch_dir(spark, "sketches")
+    day = F.col("l_shipdate").cast("date")
+    prices = _table(spark, sf_dir, "lineitem").select(F.trunc(day, "month").alias("date"), "l_extendedprice")
+    for delivered in (F.col("date") < "1995-01-01", F.lit(True)):  # the second leaves out the months that are stored
+        append_history(value_sketches(prices.where(delivered), ["date"], "l_extendedprice"), path)
+    years = merge_sketches(spark.read.parquet(path).withColumn("span", F.date_format("date", "yyyy")), ["span"])
+    found = years.unionByName(merge_sketches(years).withColumn("span", F.lit("all")))
+    values = sketched_quantiles(found, [0.0, 0.01, 0.5, 0.9, 0.999, 1.0]).drop("sketch")
+    spans = prices.select(F.explode(F.array(F.date_format("date", "yyyy"), F.lit("all"))).alias("span"), "l_extendedprice")
+    below, upto = F.col("l_extendedprice") < F.col("value"), F.col("l_extendedprice") <= F.col("value")
+    ranked = spans.join(values, "span").groupBy("span", "q", "n", "low", "high")
+    ranked = ranked.agg((F.sum(below.cast("long")) / F.col("n")).alias("first"), (F.sum(upto.cast("long")) / F.col("n")).alias("last"))
+    error = 3 * rank_error()
+    within = (F.col("first") <= F.col("q") + error) & (F.col("q") <= F.col("last") + error)
+    return ranked.select("span", "q", "n", "low", "high", within.alias("within"))
+
+
 _EXTREME_SQL = """case event_id % 50 when 0 then null when 1 then 'Infinity'::double when 2 then '-Infinity'::double
   when 3 then 'NaN'::double else value end"""
 
@@ -753,6 +782,23 @@ def ingest_cursor_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _reports(read_bronze(spark, target))
 
 
+@_query(_REPORTS_SQL)
+def ingest_mirrored_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two folders that share a week of objects; then copies turn up in the other folder, and the first days, too late for the stream.
+
+    Each object is read once: by the stream, which remembers three days of keys, or with the ledger's help.
+    """
+    root, mirror, target = scratch_dir(spark, "objects"), scratch_dir(spark, "mirror"), scratch_dir(spark, "bronze")
+    events, day = _table(spark, sf_dir, "events"), F.floor(_millis("ts") / MILLIS_PER_DAY) - 19_723
+    for here, there in (((8, 22), (16, 26)), ((0, 7), (20, 40)), ((23, 27), (5, 9))):
+        write_objects(_report_objects(events.where(day.between(*here))), root).count()
+        write_objects(_report_objects(events.where(day.between(*there))), mirror).count()
+        _ingest(spark, root, target, mirrors=[mirror], mirror_delay="3 days")
+    for _ in range(2):
+        ingest_pending(spark, root, target, event_report_format(), prefix="events", mirrors=[mirror])
+    return _reports(read_bronze(spark, target))
+
+
 @_query(
     f"""select 'events-' || day || '-' || number || '.' || min(millis) || '.gz' as name, count(*) as frames,
           count(*) filter (event_type = 'error') as rejected

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -16,6 +16,7 @@ from lakewright.scratch import qualified_path
 from lakewright.sources import commits
 from lakewright.sources.listing import NO_AGE_LIMIT, name_millis, select_objects, stream_objects
 from lakewright.sources.messages import ABOUT, ABOUT_SCHEMA, KIND, OBJECT, RECORD, REJECT, MessageFormat, decode_all
+from lakewright.sources.mirrors import DELAY, KEY, first_of_each, object_key
 from lakewright.sources.object_cursor import stream_listing
 from lakewright.sources.schema_history import latest_schema, path_is_missing, record_schema
 from lakewright.sources.stores import store_settings, tasks_can_open
@@ -45,6 +46,8 @@ def ingest_objects(
     spread_above: int | None = None,
     source_options: Mapping[str, str] | None = None,
     look_back_millis: int | None = None,
+    mirrors: Sequence[str] = (),
+    mirror_delay: str = DELAY,
 ) -> StreamingQuery:
     """Start appending the objects under ``source`` to the table at ``target``.
 
@@ -69,27 +72,37 @@ def ingest_objects(
     ``spread_above`` bytes are only split into records by that task, and the
     records are parsed by all.
 
+    ``mirrors`` are folders that hold some of the same objects under the same keys; each object is taken from one of them. The stream
+    remembers the keys of ``mirror_delay``, by the times in their names, and leaves what is older than that behind the newest object of the batches before
+    to ``ingest_pending`` with the same mirrors. Tasks must be able to open the objects, as keys are shuffled.
+
     ``already_read`` (a ``path`` column) leaves out objects another job loaded. A
     ledger too large to broadcast makes that a shuffle of the source rows: use it with
     ``open_in_tasks``, so that paths are shuffled and not contents.
     ``source_options`` are passed on to the file source.
     """
-    opens = tasks_can_open(qualified_path(spark, source), store_settings(spark))
+    roots = [source, *mirrors]
+    opens = all(tasks_can_open(qualified_path(spark, root), store_settings(spark)) for root in roots)
+    if (mirrors or look_back_millis is not None) and not opens:
+        raise ValueError(f"tasks cannot open the objects of {', '.join(roots)}; leave out the mirrors and the look-back")
     if max_bytes_per_trigger is None and "maxFilesPerTrigger" not in (source_options or {}):
         max_bytes_per_trigger = BYTES_PER_CORE * spark.sparkContext.defaultParallelism
     schema = fmt.schema() if table_format != "parquet" else record_schema(spark, target, fmt.schema())
-    if look_back_millis is None:
-        source_rows = stream_objects(
-            spark, source, prefix, after, before, exclude, max_bytes_per_trigger, max_file_age, source_options
-        )
-        if open_in_tasks and opens:
-            source_rows = source_rows.drop("content")
-    elif not opens:
-        raise ValueError(f"tasks cannot open the objects of {source}; leave out the look-back")
-    else:
-        listing = stream_listing(spark, source, prefix, after, before, look_back_millis)
-        source_rows = select_objects(listing, exclude=exclude)
-    if already_read is not None:
+
+    def rows_of(root: str) -> DataFrame:
+        if look_back_millis is not None:
+            return select_objects(stream_listing(spark, root, prefix, after, before, look_back_millis), exclude=exclude)
+        found = stream_objects(spark, root, prefix, after, before, exclude, max_bytes_per_trigger, max_file_age, source_options)
+        return found.drop("content") if mirrors or (open_in_tasks and opens) else found
+
+    source_rows = reduce(DataFrame.unionByName, [rows_of(root) for root in roots])
+    if mirrors:
+        roots = [qualified_path(spark, root) for root in roots]
+        if already_read is not None:
+            seen = already_read.select(object_key(F.col("path"), roots).alias(KEY))
+            source_rows = source_rows.withColumn(KEY, object_key(F.col("path"), roots)).join(seen, KEY, "left_anti").drop(KEY)
+        source_rows = first_of_each(source_rows, roots, mirror_delay)
+    elif already_read is not None:
         source_rows = source_rows.join(already_read.select("path"), "path", "left_anti")
     rows = decode_all(source_rows, fmt, spread_above, spark.sparkContext.defaultParallelism)
     writer = rows.select(*schema.fieldNames(), ABOUT, KIND).writeStream.format(table_format).outputMode("append")

@@ -1,0 +1,139 @@
+"""Objects held by several folders, and sketches kept beside a table."""
+
+import time
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from lakewright.operators import sketches
+from lakewright.operators.history import append_history
+from lakewright.operators.sketches import merge_sketches, rank_error, sketched_quantiles, value_sketches
+from lakewright.scratch import scratch_dir
+from lakewright.sources.messages import MessageFormat
+from lakewright.sources.mirrors import KEY, object_key, one_of_each
+from lakewright.streaming.ingest import ingest_objects, ingest_pending, read_bronze, read_ledger
+from tests.protos import all_types, message_class
+from tests.test_ingest import DAY, T0, write
+
+FMT = MessageFormat(all_types(), "all_types", date_field="u64")
+
+
+def put(root, name):
+    root.mkdir(exist_ok=True)
+    write(str(root), name, [message_class(all_types(), "all_types")(i32=1, u64=T0).SerializeToString()])
+
+
+def test_keys(spark):
+    paths = ["s3://a/x/p.1.gz", "s3://a/p.1.gz", "s3://b/x/p.1.gz", "s3://a/x/y/p.1.gz", "s3://c/p.1.gz", None]
+    df = spark.createDataFrame([(p,) for p in paths], "path string")
+    roots = ["s3://a/", "s3://b/x", "s3://a/x"]
+    got = [r[0] for r in df.select(object_key(F.col("path"), roots)).collect()]
+    assert got == ["p.1.gz", "p.1.gz", "p.1.gz", "y/p.1.gz", "s3://c/p.1.gz", None]
+    kept = one_of_each(df.dropna().withColumn("length", F.lit(1)), roots).collect()
+    assert {r.path: r[KEY] for r in kept} == {paths[1]: "p.1.gz", paths[3]: "y/p.1.gz", paths[4]: "s3://c/p.1.gz"}
+
+
+def run(spark, tmp, *roots, **options):
+    first, *mirrors = (str(tmp / r) for r in roots)
+    query = ingest_objects(spark, first, str(tmp / "t"), str(tmp / "c"), FMT, mirrors=mirrors, mirror_delay="2 days", **options)
+    query.awaitTermination()
+    return query
+
+
+def names(spark, tmp):
+    return sorted(r.path.rsplit("/", 1)[1] for r in read_ledger(spark, str(tmp / "t")).collect())
+
+
+@pytest.mark.parametrize("options", [{}, {"look_back_millis": 30 * DAY}])
+def test_each_object_once(spark, tmp_path, options):
+    a, b = tmp_path / "a", tmp_path / "b"
+    older, old, mid, new, newest = (f"p.{T0 + d * DAY}.gz" for d in (-19, -9, 0, 1, 2))
+    for root, name in ((a, mid), (b, mid), (a, new)):
+        put(root, name)
+    run(spark, tmp_path, "a", "b", **options)
+    assert names(spark, tmp_path) == [mid, new]
+    for root, name in ((b, new), (b, newest), (a, newest), (a, old), (b, old)):  # copies, a new object, one that is rather late
+        put(root, name)
+    run(spark, tmp_path, "a", "b", **options)
+    taken = names(spark, tmp_path)
+    assert taken in ([mid, new, newest], [old, mid, new, newest])
+    for root in (a, b):
+        put(root, older)
+    run(spark, tmp_path, "a", "b", **options)
+    assert names(spark, tmp_path) == taken  # it is later than the batch before allows
+    for _ in range(2):
+        ingest_pending(spark, str(a), str(tmp_path / "t"), FMT, mirrors=[str(b)])
+        assert names(spark, tmp_path) == [older, old, mid, new, newest]
+    assert read_bronze(spark, str(tmp_path / "t")).count() == 5
+
+
+def test_a_name_in_the_future_makes_nothing_late(spark, tmp_path):
+    far = f"p.{T0 * 10_000}.gz"
+    for root in ("a", "b"):
+        put(tmp_path / root, far)
+    run(spark, tmp_path, "a", "b")
+    now = f"p.{int(time.time() * 1000)}.gz"
+    put(tmp_path / "b", now)
+    run(spark, tmp_path, "a", "b")
+    assert names(spark, tmp_path) == sorted([far, now])
+
+
+def test_what_a_stream_remembers_does_not_grow(spark, tmp_path):
+    kept = []
+    for step in range(4):
+        for day in range(3):
+            for root in ("a", "b"):
+                put(tmp_path / root, f"p.{T0 + (3 * step + day) * DAY}.gz")
+        query = run(spark, tmp_path, "a", "b")
+        kept.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
+    assert max(kept) <= 6 and len(names(spark, tmp_path)) == 12
+
+
+def test_already_read_goes_by_key(spark, tmp_path):
+    done, other = f"p.{T0}.gz", f"p.{T0 + 1}.gz"
+    for root in ("a", "b"):
+        put(tmp_path / root, done)
+        put(tmp_path / root, other)
+    seen = spark.createDataFrame([(f"file:{tmp_path}/b/{done}",)], "path string")
+    run(spark, tmp_path, "a", "b", already_read=seen)
+    assert names(spark, tmp_path) == [other]
+
+
+def test_sketches_of_odd_values(spark):
+    rows = [("a", 1.0), ("a", None), ("a", float("nan")), ("a", 3.0), (None, float("inf")), ("b", None), ("a", 2.0)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = value_sketches(df, ["k"], "v")
+    assert {(r.k, r.n, r.low, r.high) for r in got.collect()} == {("a", 3, 1.0, 3.0), (None, 1, float("inf"), float("inf"))}
+    found = sketched_quantiles(got.where("k = 'a'"), [0.0, 0.5, 1.0]).collect()
+    assert [(r.q, r.value) for r in found] == [(0.0, 1.0), (0.5, 2.0), (1.0, 3.0)]
+    assert merge_sketches(value_sketches(df.where("k = 'b'"), ["k"], "v")).count() == 0
+    with pytest.raises(ValueError):
+        sketched_quantiles(got, [1.5])
+
+
+def test_merged_sketches_keep_their_error(spark):
+    """30 days, one with half of all rows, stored in two runs; merged by range, no row is read again."""
+    day = F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id") % 30)
+    df = spark.range(600_000).select(F.date_add(F.lit("2024-01-01"), day.cast("int")).alias("date"), (F.xxhash64("id") / 1e9).alias("v"))
+    path = scratch_dir(spark, "sketches")
+    append_history(value_sketches(df.where("date < '2024-01-11'"), ["date"], "v"), path)
+    append_history(value_sketches(df, ["date"], "v"), path)
+    stored = spark.read.parquet(path)
+    qs = [0.0, 0.001, 0.25, 0.5, 0.75, 0.999, 1.0]
+    for since in ("2024-01-01", "2024-01-09"):
+        values = np.sort([r.v for r in df.where(F.col("date") >= since).select("v").collect()])
+        merged = merge_sketches(stored.where(F.col("date") >= since))
+        rows = sketched_quantiles(merged, qs).collect()
+        assert rows[0].n == len(values) and len(merged.first().sketch) < 200_000
+        for r in rows:
+            low, high = (np.searchsorted(values, r.value, side) / len(values) for side in ("left", "right"))
+            assert low - 3 * rank_error() <= r.q <= high + 3 * rank_error()
+        assert (rows[0].value, rows[-1].value) == (values[0], values[-1])
+
+
+def test_sketches_combine_before_the_shuffle(spark):
+    df = spark.range(10).select((F.col("id") % 2).alias("k"), F.col("id").alias("v"))
+    plan = value_sketches(df, ["k"], "v")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("partial_kll_sketch_agg_double") == 1 and plan.count("Exchange hashpartitioning") == 1
+    assert sketches.SIZE == 4000

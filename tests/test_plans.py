@@ -7,7 +7,7 @@ from __spark_entry__ import queries
 from lakewright.operators.ranking import share_by_group
 from lakewright.plans.catalog import QUERIES
 
-WRITES = {"proto_ingest_bronze", "ingest_late_file", "ingest_pending_batch", "ingest_pending_old", "ingest_cursor_source", "ingest_large_objects", "ingest_quarantine", "ingest_old_mtime", "ingest_object_ledger", "framed_oversize", "framed_records_roundtrip", "stream_sql_job", "stream_join_sql_job", "gold_incremental",
+WRITES = {"proto_ingest_bronze", "ingest_late_file", "ingest_pending_batch", "ingest_pending_old", "ingest_cursor_source", "ingest_mirrored_sources", "ingest_large_objects", "ingest_quarantine", "ingest_old_mtime", "ingest_object_ledger", "framed_oversize", "framed_records_roundtrip", "stream_sql_job", "stream_join_sql_job", "gold_incremental",
           "stream_restart_no_duplicates", "batch_sql_job", "schema_evolution_merge", "idempotent_history_append"}
 
 
