@@ -5,15 +5,17 @@ limit, and an item above the limit stands alone. Where a batch starts depends on
 items before it, yet no task sees a whole group: items are sorted and cut into chunks of a fixed number of rows, each chunk
 is summed up on its own as "entered with a batch already holding t bytes, it is left with
 a batch holding u bytes after closing c", the summaries are chained, and each chunk
-then numbers its own items. Runs of batches that start at different items soon fall into step, so that most values of t
-lead to the same (c, u): a summary keeps one entry per run of equal outcomes. Where chunks weigh less than the limit it
-keeps up to one entry per item within the limit. Neighbouring summaries combine into one of the same form, a few in a
+then numbers its own items. A summary is a step function of t. Where batches that start at different items fall into step, t does not matter
+and one entry stands for many items. Where they do not, as in chunks lighter than the limit, what is left falls by just the bytes that the batch
+starts later: one entry stands for these items too, and only their places are kept. A span of some limits in which batches do not fall
+into step has as many outcomes as items within one limit, so it keeps as many entries; packed as differences they take a few bytes each. Neighbouring summaries combine into one of the same form, a few in a
 task and in as many rounds as it takes, and the chain runs back down the rounds.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import zlib
+from collections.abc import Callable, Iterable, Sequence
 
 import numpy as np
 import pandas as pd
@@ -27,6 +29,7 @@ _NO_BATCH = -1  # entry state of the first chunk: no batch is open
 _CHUNK_ROWS = 100_000
 _SPAN = 16  # neighbouring summaries that one task combines or chains
 _PART_BITS = 33  # of the running number within a partition
+_PACKED = ("sums", "first", "closed", "base", "slope")  # of a summary, packed in a row
 
 
 def _starts(sizes: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
@@ -37,37 +40,62 @@ def _starts(sizes: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _ends(prefix: np.ndarray, following: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For a batch started at each item: batches closed from there, bytes open at the end."""
+    """For a batch started at each item: batches closed from there, bytes open at the end. Each round looks twice as far."""
     n = len(following)
-    closed, left = np.zeros(n, dtype=np.int64), prefix[n] - prefix[:n]
-    for j in range(n - 1, -1, -1):
-        k = following[j]
-        if k < n:
-            closed[j], left[j] = closed[k] + 1, left[k]
-    return closed, left
+    goes_on = following < n
+    last, closed = np.where(goes_on, following, np.arange(n)), goes_on.astype(np.int64)
+    while (further := closed[last]).any():
+        closed, last = closed + further, last[last]
+    return closed, prefix[n] - prefix[last]
+
+
+_FLAT, _FALLS, _BOTH = 1, 2, 3  # how an item's outcome follows from that of the item before
+
+
+def _packed(total: int, prefix: np.ndarray, closed: np.ndarray, left: np.ndarray) -> dict:
+    """The summary that has an outcome for each item: ``left = base - slope * prefix`` in each run, which starts at item ``first`` of those kept."""
+    equal = np.diff(closed) == 0
+    step = np.where(equal & (np.diff(left) == 0), _FLAT, 0) + np.where(equal & (np.diff(left + prefix) == 0), _FALLS, 0)
+    at = np.maximum.accumulate(np.where(step == _BOTH, 0, np.arange(len(step))))
+    step = np.where((step == _BOTH) & (step[at] != _FALLS), _FLAT, step[at])  # items without bytes go on like those before
+    starts = np.ones(len(prefix), dtype=bool)
+    before = np.concatenate([step[:1], step[:-1]])
+    starts[1:] = (step == 0) | ((step != before) & (before != 0))
+    slope = np.append(step, 0)[starts] == _FALLS
+    kept = starts | slope[np.cumsum(starts) - 1]
+    return {
+        "total": int(total),
+        "sums": prefix[kept],
+        "first": np.flatnonzero(starts[kept]),
+        "closed": closed[starts],
+        "base": left[starts] + slope * prefix[starts],
+        "slope": slope.astype(np.int64),
+    }
 
 
-def _runs(closed: np.ndarray, left: np.ndarray) -> np.ndarray:
-    """Where runs of equal outcomes start."""
-    return np.flatnonzero(np.concatenate([[True], (np.diff(closed) != 0) | (np.diff(left) != 0)]))
+def _to_row(summary: dict) -> list:
+    """The summary as it is shuffled: neighbouring entries differ little, so differences are compressed."""
+    packed = (zlib.compress(np.diff(summary[c], prepend=0).astype("<i8").tobytes(), 1) for c in _PACKED)
+    return [summary["total"], *packed]
 
 
-def _chunk_summary(sizes: np.ndarray, limit: int) -> dict:
-    """What a batch open on entry leads to, for each run of items that close it with the same outcome.
+def _from_row(row: dict) -> dict:
+    unpacked = {c: np.cumsum(np.frombuffer(zlib.decompress(row[c]), "<i8")) for c in _PACKED}
+    return {"_chunk": row["_chunk"], "total": row["total"], **unpacked}
 
-    Only an item within the first ``limit`` bytes can close it. ``prefix`` has the sum before each run's first item,
-    and one more sum: the total if all items lie within the limit, else one beyond it.
-    """
+
+def _outcomes(row: dict, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``(closed, left)`` of a batch that starts at these of the kept items."""
+    run = np.searchsorted(row["first"], at, side="right") - 1
+    return row["closed"][run], row["base"][run] - row["slope"][run] * row["sums"][at]
+
+
+def _chunk_summary(sizes: np.ndarray, limit: int) -> dict:
+    """What a batch open on entry leads to, by the item that closes it: one within the first ``limit`` bytes."""
     prefix, following = _starts(sizes, limit)
     closed, left = _ends(prefix, following)
     items = min(int(np.searchsorted(prefix, limit, side="right")), len(sizes))
-    runs = _runs(closed[:items], left[:items])
-    return {
-        "total": int(prefix[-1]),
-        "prefix": np.append(prefix[runs], prefix[items]),
-        "closed": closed[runs],
-        "left": left[runs],
-    }
+    return _packed(prefix[-1], prefix[:items], closed[:items], left[:items])
 
 
 def _enter(states: np.ndarray, prefix: np.ndarray, limit: int) -> np.ndarray:
@@ -78,38 +106,41 @@ def _enter(states: np.ndarray, prefix: np.ndarray, limit: int) -> np.ndarray:
 
 def _pass(row: dict, states: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
     """``(closed, states)`` after a chunk is entered with these bytes in the open batch."""
-    at = _enter(states, np.asarray(row["prefix"]), limit)
-    inside = at < len(row["closed"])
-    item = np.minimum(at, len(row["closed"]) - 1)
-    closed = np.where(inside, np.asarray(row["closed"])[item] + (states != _NO_BATCH), 0)
-    return closed, np.where(inside, np.asarray(row["left"])[item], states + row["total"])
-
-
-def _chain(rows: list[dict], state: int, first: int, limit: int) -> list[tuple[int, int, int]]:
-    """``(chunk, state, first)`` on entry to each of the ordered chunks."""
+    closed, after = np.zeros(len(states), dtype=np.int64), states + row["total"]
+    inside = (states == _NO_BATCH) | (after > limit)
+    if inside.any():
+        entered = states[inside]
+        ended, after[inside] = _outcomes(row, _enter(entered, row["sums"], limit))
+        closed[inside] = ended + (entered != _NO_BATCH)
+    return closed, after
+
+
+def _chain(
+    rows: list[dict], state: int, first: int, limit: int, unpack: Callable[[dict], dict] = dict
+) -> list[tuple[int, int, int]]:
+    """``(chunk, state, first)`` on entry to each of the ordered chunks; one at a time is unpacked."""
     out, states = [], np.array([state], dtype=np.int64)
     for row in rows:
         out.append((row["_chunk"], int(states[0]), first))
-        closed, states = _pass(row, states, limit)
+        closed, states = _pass(unpack(row), states, limit)
         first += int(closed[0])
     return out
 
 
-def _combine(rows: list[dict], limit: int) -> dict:
+def _combine(rows: Iterable[dict], limit: int) -> dict:
     """Summary of ordered neighbouring chunks taken as one."""
     prefix = closed = left = np.empty(0, dtype=np.int64)
     total = 0
     for row in rows:
         more, left = _pass(row, left, limit)
-        sums = total + np.asarray(row["prefix"])[:-1]
-        near = sums <= limit
-        prefix = np.concatenate([prefix, sums[near]])
-        closed = np.concatenate([closed + more, np.asarray(row["closed"])[near]])
-        left = np.concatenate([left, np.asarray(row["left"])[near]])
-        runs = _runs(closed, left)
-        prefix, closed, left = prefix[runs], closed[runs], left[runs]
+        closed = closed + more
+        if total <= limit:  # beyond, no item of this chunk closes a batch that was open before the first
+            near = np.flatnonzero(row["sums"] <= limit - total)
+            ended, remaining = _outcomes(row, near)
+            prefix = np.concatenate([prefix, total + row["sums"][near]])
+            closed, left = np.concatenate([closed, ended]), np.concatenate([left, remaining])
         total += row["total"]
-    return {"total": total, "prefix": np.append(prefix, total), "closed": closed, "left": left}
+    return _packed(total, prefix, closed, left)
 
 
 def assign_batches(df: DataFrame, size: str, limit: int, order: str | Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -131,9 +162,12 @@ def assign_batches(df: DataFrame, size: str, limit: int, order: str | Sequence[s
     own = list(dict.fromkeys([*by, *order, size]))
     narrow = rows.select(*own, "_part", "_at", chunk.alias("_chunk"), F.col(size).cast("bigint").alias("_size"))
     by_schema = T.StructType([df.schema[c] for c in by]).add("_chunk", T.LongType())
-    array = T.ArrayType(T.LongType())
     summary_schema = T.StructType(
-        [*by_schema.fields, T.StructField("total", T.LongType()), *(T.StructField(c, array) for c in ("prefix", "closed", "left"))]
+        [
+            *by_schema.fields,
+            T.StructField("total", T.LongType()),
+            *(T.StructField(c, T.BinaryType()) for c in _PACKED),
+        ]
     )
     entry_schema = T.StructType(
         [*by_schema.fields, T.StructField("_state", T.LongType()), T.StructField("_first", T.LongType())]
@@ -144,15 +178,15 @@ def assign_batches(df: DataFrame, size: str, limit: int, order: str | Sequence[s
 
     def summarise(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         sizes = pdf.sort_values("_at")["_size"].to_numpy(dtype=np.int64)
-        return pd.DataFrame([[*key, *_chunk_summary(sizes, limit).values()]], columns=summary_schema.fieldNames())
+        return pd.DataFrame([[*key, *_to_row(_chunk_summary(sizes, limit))]], columns=summary_schema.fieldNames())
 
     def combine(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        found = _combine(pdf.sort_values("_chunk").to_dict("records"), limit)
-        return pd.DataFrame([[*key, *found.values()]], columns=summary_schema.fieldNames())
+        found = _combine(map(_from_row, pdf.sort_values("_chunk").to_dict("records")), limit)
+        return pd.DataFrame([[*key, *_to_row(found)]], columns=summary_schema.fieldNames())
 
     def chained(pdf: pd.DataFrame, state: int, first: int) -> pd.DataFrame:
         head = [pdf[c].iloc[0] for c in by]
-        found = _chain(pdf.sort_values("_chunk").to_dict("records"), state, first, limit)
+        found = _chain(pdf.sort_values("_chunk").to_dict("records"), state, first, limit, _from_row)
         return pd.DataFrame([[*head, *e] for e in found], columns=entry_schema.fieldNames())
 
     def chain(pdf: pd.DataFrame) -> pd.DataFrame:

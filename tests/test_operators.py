@@ -251,6 +251,28 @@ def test_summaries_stay_short():
         assert len(_chunk_summary(sizes, 10_000_000)["closed"]) < 5000
 
 
+def test_summaries_of_a_limit_of_many_items():
+    """A limit of five million items: a light chunk is a run or two, what is shuffled takes a few bytes for each item, and the combined summary is exact."""
+    rnd = np.random.default_rng(5)
+    chunks = [rnd.integers(0, 7, 100_000) for _ in range(64)]
+    limit = 5_000_000 * 3
+    rows = [_chunk_summary(c, limit) for c in chunks]
+    whole = batching._combine([batching._combine(rows[i : i + 16], limit) for i in range(0, 64, 16)], limit)
+    assert all(len(r["closed"]) <= 2 and sum(map(len, batching._to_row(r)[1:])) < 200_000 for r in rows)
+    assert sum(map(len, batching._to_row(whole)[1:])) < 5_000_000 * 3
+    sizes = np.concatenate(chunks)
+    sums = np.concatenate([[0], np.cumsum(sizes)])
+    for state in (-1, 0, 1, 7_654_321, limit, limit + 5):
+        closed, at = 0, 0
+        if state >= 0:
+            closed, at = 1, int(max(np.searchsorted(sums, limit - state, side="right") - 1, 0))
+        while (end := int(np.searchsorted(sums, sums[at] + limit, side="right") - 1)) < len(sizes):
+            closed, at = closed + 1, end
+        total = sums[-1] - sums[at]
+        got = _pass(whole, np.array([state]), limit)
+        assert (int(got[0][0]), int(got[1][0])) == (closed, total)
+
+
 def test_assign_batches(spark, monkeypatch):
     rnd = random.Random(5)
     rows = []
