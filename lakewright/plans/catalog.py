@@ -27,7 +27,7 @@ from lakewright.plans.rewards import active_entities, iot_rewards, latest_by_key
 from lakewright.plans.sample_messages import KINDS, event_report_format
 from lakewright.plans.sql_job import run_sql_job
 from lakewright.scratch import remove, scratch_dir, stage
-from lakewright.sources.exports import frame_object, set_modified, write_objects
+from lakewright.sources.exports import frame_object, set_modified, write_groups
 from lakewright.sources.framing import read_records
 from lakewright.sources.listing import object_uri, read_objects, select_objects, strip_root
 from lakewright.sources.schema_history import record_schema
@@ -600,21 +600,16 @@ def size_bounded_batches_by_prefix(spark: SparkSession, sf_dir: str) -> DataFram
 _OBJECT_ROWS = 50_000  # events per written object at most, so no task builds a larger one
 
 
-def _objects(events: DataFrame, columns: list[Column], encode: Callable[[pd.DataFrame], list[bytes]]) -> DataFrame:
-    """``name, content``: framed gzip objects of one day's consecutive events, named by their first time."""
+def _write_objects(events: DataFrame, columns: list[Column], encode: Callable[[pd.DataFrame], list[bytes]], root: str) -> DataFrame:
+    """Writes framed gzip objects of one day's consecutive events, named by their first time; ``path, length``."""
 
-    def build(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+    def build(key: tuple, pdf: pd.DataFrame) -> tuple[str, bytes]:
         pdf = pdf.sort_values("event_id")
         day, number = key
-        name = f"events-{day}-{number}.{pdf['millis'].min()}.gz"
-        return pd.DataFrame({"name": [name], "content": [frame_object(encode(pdf))]})
+        return f"events-{day}-{number}.{pdf['millis'].min()}.gz", frame_object(encode(pdf))
 
-    millis = _millis("ts")
-    return (
-        events.select("event_id", millis.alias("millis"), *columns)
-        .groupBy(F.floor(F.col("millis") / MILLIS_PER_DAY), F.floor(F.col("event_id") / _OBJECT_ROWS))
-        .applyInPandas(build, "name string, content binary")
-    )
+    day, number = F.floor(F.col("millis") / MILLIS_PER_DAY), F.floor(F.col("event_id") / _OBJECT_ROWS)
+    return write_groups(events.select("event_id", _millis("ts").alias("millis"), *columns), [day, number], root, build)
 
 
 @_query("select event_id, user_id, event_type, value from events")
@@ -626,7 +621,7 @@ def framed_records_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     root = scratch_dir(spark, "framed")
     line = F.concat_ws("|", "event_id", "user_id", "event_type", "value").alias("line")
-    write_objects(_objects(_table(spark, sf_dir, "events"), [line], encode), root).count()
+    _write_objects(_table(spark, sf_dir, "events"), [line], encode, root).count()
     parts = F.split(F.decode("record", "UTF-8"), r"\|")
     return (
         read_records(read_objects(spark, root, "events"))
@@ -653,7 +648,7 @@ def framed_oversize(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "framed")
     events = _table(spark, sf_dir, "events")
     line = F.concat_ws("|", "event_id", "event_type")
-    write_objects(_objects(events, [line.alias("line")], encode), root).count()
+    _write_objects(events, [line.alias("line")], encode, root).count()
     found = read_records(read_objects(spark, root, "events"), max_frame=9).where("record is not null")
     kept = found.select(F.decode("record", "UTF-8").alias("line"), F.lit(True).alias("kept"))
     return (
@@ -663,8 +658,8 @@ def framed_oversize(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _report_objects(events: DataFrame, spoil: str | None = None) -> DataFrame:
-    """Events as protobuf report objects; reports of type ``spoil`` are unreadable."""
+def _write_reports(events: DataFrame, root: str, spoil: str | None = None) -> DataFrame:
+    """Writes events as protobuf report objects; reports of type ``spoil`` are unreadable."""
     fmt = event_report_format()
 
     def encode(pdf: pd.DataFrame) -> list[bytes]:
@@ -681,7 +676,7 @@ def _report_objects(events: DataFrame, spoil: str | None = None) -> DataFrame:
         return out
 
     columns = [F.col(c) for c in ("user_id", "event_type", "value", "props")]
-    return _objects(events, columns, encode)
+    return _write_objects(events, columns, encode, root)
 
 
 _REPORTS_SQL = """select event_id, user_id, event_type, value, event_type as first_tag, props as last_tag,
@@ -711,7 +706,7 @@ def _ingest(spark: SparkSession, root: str, target: str, **options) -> None:
 def proto_ingest_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events written as protobuf objects and ingested into the dated bronze table."""
     root, target = scratch_dir(spark, "objects"), scratch_dir(spark, "bronze")
-    write_objects(_report_objects(_table(spark, sf_dir, "events")), root).count()
+    _write_reports(_table(spark, sf_dir, "events"), root).count()
     _ingest(spark, root, target)
     return _reports(read_bronze(spark, target))
 
@@ -722,9 +717,9 @@ def ingest_late_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, target = scratch_dir(spark, "objects"), scratch_dir(spark, "bronze")
     events = _table(spark, sf_dir, "events")
     early = F.col("ts") < F.lit("2024-01-15").cast("timestamp_ntz")
-    write_objects(_report_objects(events.where(~early)), root).count()
+    _write_reports(events.where(~early), root).count()
     _ingest(spark, root, target)
-    write_objects(_report_objects(events.where(early)), root).count()
+    _write_reports(events.where(early), root).count()
     _ingest(spark, root, target)
     _ingest(spark, root, target)
     return _reports(read_bronze(spark, target))
@@ -736,9 +731,9 @@ def ingest_old_mtime(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, target = scratch_dir(spark, "objects"), scratch_dir(spark, "bronze")
     events = _table(spark, sf_dir, "events")
     early = F.col("ts") < F.lit("2024-01-15").cast("timestamp_ntz")
-    write_objects(_report_objects(events.where(early)), root).count()
+    _write_reports(events.where(early), root).count()
     _ingest(spark, root, target)
-    late = write_objects(_report_objects(events.where(~early)), root)
+    late = _write_reports(events.where(~early), root)
     set_modified(spark, [r.path for r in late.collect()], int(time.time() * 1000) - 30 * MILLIS_PER_DAY)
     _ingest(spark, root, target)
     return _reports(read_bronze(spark, target))
@@ -748,7 +743,7 @@ def ingest_old_mtime(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ingest_pending_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Half of the objects are ingested as a stream; the rest is appended as a batch, twice, the second time in vain."""
     root, target = scratch_dir(spark, "objects"), scratch_dir(spark, "bronze")
-    write_objects(_report_objects(_table(spark, sf_dir, "events")), root).count()
+    _write_reports(_table(spark, sf_dir, "events"), root).count()
     _ingest(spark, root, target, before=1_705_276_800_000, open_in_tasks=True)
     for _ in range(2):
         ingest_pending(spark, root, target, event_report_format(), prefix="events")
@@ -759,7 +754,7 @@ def ingest_pending_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ingest_pending_old(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last days are ingested as a stream; unread objects up to a month older are then taken as a batch that is told nothing."""
     root, target = scratch_dir(spark, "objects"), scratch_dir(spark, "bronze")
-    write_objects(_report_objects(_table(spark, sf_dir, "events")), root).count()
+    _write_reports(_table(spark, sf_dir, "events"), root).count()
     _ingest(spark, root, target, after=1_706_140_800_000)
     ingest_pending(spark, root, target, event_report_format())
     return _reports(read_bronze(spark, target))
@@ -775,7 +770,7 @@ def ingest_cursor_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     events, day = _table(spark, sf_dir, "events"), F.floor(_millis("ts") / MILLIS_PER_DAY) - 19_723
     at_first = day.between(10, 17) | (day == 19)
     for arriving, runs in ((at_first, 1), (~at_first, 2)):
-        write_objects(_report_objects(events.where(arriving)), root).count()
+        _write_reports(events.where(arriving), root).count()
         for _ in range(runs):
             _ingest(spark, root, target, look_back_millis=3 * MILLIS_PER_DAY)
     ingest_pending(spark, root, target, event_report_format(), prefix="events")
@@ -791,8 +786,8 @@ def ingest_mirrored_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, mirror, target = scratch_dir(spark, "objects"), scratch_dir(spark, "mirror"), scratch_dir(spark, "bronze")
     events, day = _table(spark, sf_dir, "events"), F.floor(_millis("ts") / MILLIS_PER_DAY) - 19_723
     for here, there in (((8, 22), (16, 26)), ((0, 7), (20, 40)), ((23, 27), (5, 9))):
-        write_objects(_report_objects(events.where(day.between(*here))), root).count()
-        write_objects(_report_objects(events.where(day.between(*there))), mirror).count()
+        _write_reports(events.where(day.between(*here)), root).count()
+        _write_reports(events.where(day.between(*there)), mirror).count()
         _ingest(spark, root, target, mirrors=[mirror], mirror_delay="3 days")
     for _ in range(2):
         ingest_pending(spark, root, target, event_report_format(), prefix="events", mirrors=[mirror])
@@ -809,7 +804,7 @@ def ingest_mirrored_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ingest_object_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Frames and rejects per object, read half as a stream and half as a batch; objects of rejects only are there too."""
     root, target = scratch_dir(spark, "objects"), scratch_dir(spark, "bronze")
-    write_objects(_report_objects(_table(spark, sf_dir, "events"), spoil="error"), root).count()
+    _write_reports(_table(spark, sf_dir, "events"), root, spoil="error").count()
     _ingest(spark, root, target, before=1_705_276_800_000)
     for _ in range(2):
         ingest_pending(spark, root, target, event_report_format(), prefix="events", look_back_millis=60 * MILLIS_PER_DAY)
@@ -824,7 +819,7 @@ def ingest_object_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ingest_large_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The records of every object above 16 KB are spread over the tasks before they are parsed."""
     root, target = scratch_dir(spark, "objects"), scratch_dir(spark, "bronze")
-    write_objects(_report_objects(_table(spark, sf_dir, "events")), root).count()
+    _write_reports(_table(spark, sf_dir, "events"), root).count()
     _ingest(spark, root, target, spread_above=16_384)
     return _reports(read_bronze(spark, target))
 
@@ -836,7 +831,7 @@ def ingest_large_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ingest_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unreadable reports stay out of the table and go to the quarantine, in the same reading."""
     root, target = scratch_dir(spark, "objects"), scratch_dir(spark, "bronze")
-    write_objects(_report_objects(_table(spark, sf_dir, "events"), spoil="error"), root).count()
+    _write_reports(_table(spark, sf_dir, "events"), root, spoil="error").count()
     _ingest(spark, root, target)
     accepted = read_bronze(spark, target).select(F.lit("accepted").alias("outcome"))
     rejected = read_rejects(spark, target).select(F.lit("rejected").alias("outcome"))

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import gzip
 import struct
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from lakewright.scratch import qualified_path
 from lakewright.sources.framing import HEADER
@@ -44,6 +45,27 @@ def write_objects(df: DataFrame, root: str) -> DataFrame:
     return df.select("name", "content").mapInArrow(run, "path string, length bigint")
 
 
+def write_groups(
+    df: DataFrame, keys: Sequence[Column], root: str, object_of: Callable[[tuple, pd.DataFrame], tuple[str, bytes]]
+) -> DataFrame:
+    """Write each group of rows with equal ``keys`` as the object ``root/name`` that ``object_of`` gives with its content, and return ``path, length``.
+
+    The worker that builds an object writes it and holds that one only. Built by one step and written by the next, each core would
+    keep two workers, and the second would hold as many objects as Spark hands over in a batch.
+    """
+    root, settings = qualified_path(df.sparkSession, root), store_settings(df.sparkSession)
+
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        name, content = object_of(key, pdf)
+        store, base = store_of(root, settings)
+        store.create_dir(base, recursive=True)
+        with store.open_output_stream(f"{base}/{name}", compression=None) as out:
+            out.write(content)
+        return pd.DataFrame({"path": [f"{root.rstrip('/')}/{name}"], "length": [len(content)]})
+
+    return df.groupBy(*keys).applyInPandas(run, "path string, length bigint")
+
+
 def set_modified(spark: SparkSession, paths: Iterable[str], millis: int) -> None:
     """Give a handful of objects another modification time, where their file system keeps one."""
     for path in paths:
