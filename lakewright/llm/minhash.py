@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lakewright.llm.rows import keyed
+from lakewright.llm.rows import forget_in_worker, keyed
 from lakewright.scratch import stage
 
 
@@ -86,6 +86,7 @@ def signatures(rows: DataFrame, settings: Settings) -> DataFrame:
     """``rid, n, digest, keys`` of ``keyed`` rows; digest and keys are null for a text without words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_in_worker()
         for batch in batches:
             sizes, digests, keys = [], [], []
             for text in batch.column("bytes"):
@@ -114,17 +115,19 @@ def confirmed(pairs: DataFrame, texts: DataFrame, settings: Settings) -> DataFra
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_in_worker()
         first = None
         for batch in batches:
             links = []
-            for row in batch.to_pylist():
-                found = shingles(row["bytes"], settings.words)
-                if not row["other"]:
+            a, rid, other = (batch.column(c).to_pylist() for c in ("a", "rid", "other"))
+            for i, text in enumerate(batch.column("bytes")):
+                found = shingles(text.as_py(), settings.words)
+                if not other[i]:
                     first = found
                     continue
                 shared = len(np.intersect1d(first, found, assume_unique=True))
                 if 100 * shared >= settings.percent * (len(first) + len(found) - shared):
-                    links.append((row["a"], row["rid"]))
+                    links.append((a[i], rid[i]))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], names=["a", "b"]
             )

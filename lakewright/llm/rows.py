@@ -74,12 +74,24 @@ def number_rows(df: DataFrame, *order: Any) -> tuple[DataFrame, int]:
     return placed.withColumn("row_no", F.col("_before") + F.col("_at")).drop("_part", "_at", "_before"), n
 
 
+_WORKER, _KEPT = "_lakewright_worker", 2  # where a worker keeps things, and how many
+
+
 def in_worker(name: str, build: Callable[[], Any]) -> Any:
-    """What ``build`` returns, built once per Python worker process and kept between its tasks."""
-    held = sys.modules.setdefault("_lakewright_worker", types.ModuleType("_lakewright_worker"))
-    if not hasattr(held, name):
-        setattr(held, name, build())
-    return getattr(held, name)
+    """What ``build`` returns, built once per Python worker process and kept between its tasks until two others are asked for."""
+    held = sys.modules.setdefault(_WORKER, types.ModuleType(_WORKER)).__dict__.setdefault("kept", {})
+    value = held.pop(name) if name in held else None
+    if value is None:
+        while len(held) >= _KEPT:
+            del held[next(iter(held))]
+        value = build()
+    held[name] = value
+    return value
+
+
+def forget_in_worker() -> None:
+    """Drop what other operators keep in this worker, for one that has its own use of the memory."""
+    sys.modules.pop(_WORKER, None)
 
 
 class Memo:

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakewright.llm.rows import Memo
+from lakewright.llm.rows import Memo, forget_in_worker
 
 EDGES = ".,;:!?\"'()[]{}<>|*_-#`~…«»“”‘’¿¡/\\$%&@+="
 
@@ -239,6 +239,7 @@ def score_documents(
 
     @F.pandas_udf("double")
     def score(series: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        forget_in_worker()
         odds, intercept, known = sent.value
         scorer = Scorer(Model(odds, intercept, Settings(**known)))
         for texts in series:

@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakewright.llm.rows import forget_in_worker
 from lakewright.scratch import stage
 
 DIGEST = 16  # bytes of a digest
@@ -23,6 +24,7 @@ def held_units(rows: DataFrame, digests: Callable[[bytes], list[bytes]]) -> Data
     """``rid, unit``: the distinct digests of each of ``keyed`` rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_in_worker()
         for batch in batches:
             rids, counts, units = batch.column("rid").to_numpy(), [], []
             for text in batch.column("bytes"):
