@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -202,3 +203,49 @@ def test_pairs_seen_once_count(spark):
     check_scores(got, plain_scores(texts, lambda k: k < 3, lm_scoring.Settings(least=1)))
     score = {r.id: r.score - r.base_score for r in got}
     assert score[3] > 0 > score[4]
+
+
+def test_requests_hold_a_pair_in_some_ten_bytes():
+    """A pair of a block used to take 32 bytes of the shuffle."""
+    draw = random.Random(7)
+    texts = [" ".join(f"w{int(draw.paretovariate(0.6)) % 30_000}" for _ in range(800)) for _ in range(250)]
+    batch = pa.RecordBatch.from_pydict({"block": pa.array([3] * 250, pa.int32()), "train": [True] * 250, "bytes": [t.encode() for t in texts]})
+    dealing = lm_scoring.Dealing(4, np.unique(lm_scoring.word_keys([b"w1 w2 w3"])[0]))
+    requests = list(lm_scoring._asked(dealing)(iter([batch])))
+    words, pairs = set(), Counter()
+    for text in texts:
+        tokens = text.split()
+        words.update(tokens)
+        pairs.update(zip(["\n", *tokens], [*tokens, "\n"]))
+    found = [lm_scoring.unsqueezed(x.as_py()) for r in requests for x in r.column("bytes")]
+    assert sum(len(f[0]) for f in found) == len(words) + 1 and sum(len(f[3]) for f in found) == len(pairs)
+    assert sum(f[4].sum() for f in found) == sum(pairs.values()) == sum(f[1].sum() for f in found)
+    assert sum(len(x.as_py()) for r in requests for x in r.column("bytes")) < 12 * len(pairs) + 9 * len(words)
+
+
+def test_what_is_staged_stays_below_the_texts(spark, monkeypatch, tmp_path):
+    """Counts of pairs used to be written as 24 bytes for each pair of a block, more than the texts themselves."""
+    draw = random.Random(8)
+    rows = [(i, " ".join(str(draw.randrange(40_000)) for _ in range(1000))) for i in range(200)]
+    size = sum(len(t) for _, t in rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+
+    def stage(df, label):
+        df.write.parquet(str(tmp_path / label))
+        return spark.read.schema(df.schema).parquet(str(tmp_path / label))
+
+    monkeypatch.setattr(lm_scoring, "stage", stage)
+    assert lm_scoring.score_documents(df, F.col("id") % 3 != 0).count() == 200
+    assert 0 < sum(p.stat().st_size for p in tmp_path.rglob("*.parquet")) < size / 2
+
+
+@pytest.mark.parametrize("spread", [0, 2, 4096])
+def test_where_pairs_are_counted_changes_nothing(spark, monkeypatch, spread):
+    monkeypatch.setattr(lm_scoring, "SPREAD", spread)
+    monkeypatch.setattr(lm_scoring, "SAMPLE", 1000)
+    draw = random.Random(9)
+    texts = {i: " ".join(f"{int(draw.paretovariate(0.8))}" for _ in range(draw.randrange(60))) for i in range(300)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    for settings in (lm_scoring.Settings(block_bytes=4000), lm_scoring.Settings(least=2, block_bytes=9000)):
+        got = lm_scoring.score_documents(df, F.col("id") % 4 != 0, settings=settings).collect()
+        check_scores(got, plain_scores(texts, lambda k: k % 4 != 0, settings))
