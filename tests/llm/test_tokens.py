@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 import zlib
 from array import array
 
@@ -101,6 +102,33 @@ def test_ids_by_file_and_by_pattern_agree():
     check()
 
 
+def test_long_texts_are_encoded_piece_by_piece():
+    whole, encoder = Tokenizer.from_file(FILE), packing.file_encoder(FILE, public_tokenizers.PATTERN)
+
+    @settings(max_examples=200, deadline=None)
+    @given(TEXT)
+    def check(text):
+        assert "".join(packing.stretches(text, 3)) == text
+        joined = b"".join(encoder.ids(piece) for piece in packing.stretches(text, 3))
+        assert array("I", joined).tolist() == whole.encode(text, add_special_tokens=False).ids
+
+    check()
+    assert len(list(packing.stretches("a b " * 100, 50))) == 8 and list(packing.stretches("a" * 100, 50)) == ["a" * 100]
+
+
+def test_packing_keeps_no_parts_between_texts():
+    """What a worker holds must not grow with the distinct words it has met."""
+    encoder = packing.file_encoder(FILE, public_tokenizers.PATTERN)
+    encoder.ids("one two")
+    tracemalloc.start()
+    before = tracemalloc.get_traced_memory()[0]
+    for first in range(0, 100_000, 1000):
+        encoder.ids(" ".join(f"word{i}" for i in range(first, first + 1000)))
+    grown = tracemalloc.get_traced_memory()[0] - before
+    tracemalloc.stop()
+    assert grown < 1 << 20
+
+
 @pytest.mark.parametrize("n", [0, 1, 7, 2047, 2048, 2049, 10_000])
 def test_piece_lengths(n):
     lengths = packing.piece_lengths(n)
