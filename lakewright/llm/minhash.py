@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lakewright.llm.rows import forget_in_worker, keyed
+from lakewright.llm.rows import forget_in_worker, keyed, lean
 from lakewright.scratch import stage
 
 
@@ -85,6 +85,7 @@ def half_keys(found: np.ndarray, settings: Settings) -> np.ndarray:
 def signatures(rows: DataFrame, settings: Settings) -> DataFrame:
     """``rid, n, digest, keys`` of ``keyed`` rows; digest and keys are null for a text without words."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget_in_worker()
         for batch in batches:
@@ -114,6 +115,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, settings: Settings) -> DataFra
         dealt.select("a", "part").distinct().select("a", "part", F.col("a").alias("rid"), F.lit(0).alias("other"))
     )
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget_in_worker()
         first = None
@@ -256,6 +258,7 @@ def crossing(docs: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame
     """
     percent = settings.percent
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rid, text in zip(batch.column("rid").to_pylist(), batch.column("bytes")):

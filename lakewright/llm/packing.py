@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakewright.llm.rows import in_worker, keyed, number_rows
+from lakewright.llm.rows import in_worker, keyed, lean, number_rows
 from lakewright.llm.words import PartEncoder
 
 LONGEST = 2048
@@ -112,6 +112,7 @@ def cut_documents(
 ) -> DataFrame:
     """``rid, id, start, length, ids_crc32, doc_tokens`` of every piece of ``keyed`` rows, and its ``ids`` on demand."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = in_worker(f"encoder of {tokenizer_path} {pattern}", lambda: file_encoder(tokenizer_path, pattern))
         for batch in batches:

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import sys
 import types
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -94,6 +97,27 @@ def forget_in_worker() -> None:
     sys.modules.pop(_WORKER, None)
 
 
+def release_memory() -> None:
+    """Hand back to the system what this process has freed. Workers live on between tasks, and libraries keep freed memory for later."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library alone
+    if trim is not None:
+        trim(0)
+
+
+def lean(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run``, a function over the batches of a task, after which the worker hands back what the task has freed."""
+
+    @functools.wraps(run)
+    def leaner(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:  # what ``run`` held is gone by now
+            release_memory()
+
+    return leaner
+
+
 class Memo:
     """A cache of bounded size: what was not asked for during a whole generation is forgotten."""
 

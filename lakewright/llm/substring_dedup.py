@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakewright.llm.rows import keyed
+from lakewright.llm.rows import forget_in_worker, keyed, lean
 from lakewright.llm.units import held_units, repeated_units
 
 #: A number for each byte value, from a public digest.
@@ -110,7 +110,9 @@ def _deduplicated(rows: DataFrame, carried: str, settings: Settings, min_docs: i
     def digests(text: bytes) -> list[bytes]:
         return chunk_digests(text, chunk_ends(text, settings))
 
+    @lean
     def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_in_worker()
         for batch in batches:
             texts, found = [], []
             for text, units in zip(batch.column("bytes"), batch.column("units")):

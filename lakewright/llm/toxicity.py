@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakewright.llm.rows import Memo, forget_in_worker
+from lakewright.llm.rows import Memo, forget_in_worker, lean
 
 EDGES = ".,;:!?\"'()[]{}<>|*_-#`~…«»“”‘’¿¡/\\$%&@+="
 
@@ -238,6 +238,7 @@ def score_documents(
     sent = df.sparkSession.sparkContext.broadcast((model.odds, model.intercept, asdict(settings)))
 
     @F.pandas_udf("double")
+    @lean
     def score(series: Iterator[pd.Series]) -> Iterator[pd.Series]:
         forget_in_worker()
         odds, intercept, known = sent.value

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakewright.llm.rows import forget_in_worker
+from lakewright.llm.rows import forget_in_worker, lean
 from lakewright.scratch import stage
 
 DIGEST = 16  # bytes of a digest
@@ -23,6 +23,7 @@ DIGEST = 16  # bytes of a digest
 def held_units(rows: DataFrame, digests: Callable[[bytes], list[bytes]]) -> DataFrame:
     """``rid, unit``: the distinct digests of each of ``keyed`` rows."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget_in_worker()
         for batch in batches:

@@ -1,10 +1,14 @@
 """What a Python worker keeps between tasks."""
 
+import re
 import sys
+from pathlib import Path
 
+import public_tokenizers
+import pytest
 from pyspark.sql import functions as F
 
-from lakewright.llm import minhash, toxicity, units
+from lakewright.llm import minhash, packing, rows as llm_rows, substring_dedup, toxicity, units
 from lakewright.llm.rows import forget_in_worker, in_worker, keyed
 
 
@@ -50,3 +54,46 @@ def test_operators_that_keep_nothing_drop_what_others_left(spark):
         before = held()
         run()
         assert before > 0 and held() < before
+
+
+def test_freed_memory_goes_back_to_the_system():
+    rollup = Path("/proc/self/smaps_rollup")
+    if not rollup.exists():
+        pytest.skip("memory can't be read here")
+
+    def held() -> float:
+        return int(re.search(r"\nAnonymous:\s+(\d+)", rollup.read_text())[1]) / 1024
+
+    blocks = [bytes(1000) for _ in range(100_000)]
+    last = blocks.pop()  # keeps the end of the heap in use
+    blocks.clear()
+    before = held()
+    llm_rows.release_memory()
+    assert before - held() > 50 and len(last) == 1000
+
+
+def test_tasks_of_the_pipeline_hand_back_what_they_freed(spark, tmp_path, monkeypatch):
+    marks = str(tmp_path / "released")
+
+    def note() -> None:  # travels in place of the real one
+        with open(marks, "a") as file:
+            file.write("x")
+
+    monkeypatch.setattr(llm_rows, "release_memory", note)
+    docs = spark.createDataFrame([(i, f"one two three four five six {i % 30}") for i in range(40)], "doc_id long, text string")
+    rows, labels = keyed(docs, "doc_id", "text"), docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic"))
+    texts = rows.select("rid", F.col("text").cast("binary").alias("bytes"))
+    pairs = spark.createDataFrame([(0, 30), (1, 31)], "a long, b long")
+    open(marks, "w").close()
+    for run in (
+        lambda: toxicity.score_documents(docs, labels).select("score").collect(),
+        lambda: minhash.signatures(rows, minhash.Settings()).collect(),
+        lambda: minhash.confirmed(pairs, texts, minhash.Settings()).collect(),
+        lambda: minhash.crossing(rows.select("rid", F.col("rid").alias("c")), texts, minhash.Settings()).collect(),
+        lambda: units.held_units(rows, lambda text: [text[:16]]).collect(),
+        lambda: substring_dedup._deduplicated(rows, "id", substring_dedup.Settings(), 2).collect(),
+        lambda: packing.cut_documents(rows, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, 2048, False).collect(),
+    ):
+        before = Path(marks).stat().st_size
+        run()
+        assert Path(marks).stat().st_size > before
