@@ -9,7 +9,9 @@ import types
 from collections.abc import Callable, Iterator
 from typing import Any
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -118,6 +120,23 @@ def lean(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
     return leaner
 
 
+PIECE_BYTES = 1 << 20
+
+
+def pieces(batch: pa.RecordBatch, column: str, most: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
+    """``batch`` in slices whose values of ``column``, binary and never null, have ``most`` bytes together, or of one longer row.
+
+    Spark fills a batch by the number of its rows, so what a task makes of a whole batch grows with the length of the texts.
+    """
+    ends = np.cumsum(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = 0
+    while at < batch.num_rows:
+        before = int(ends[at - 1]) if at else 0
+        stop = max(at + 1, int(np.searchsorted(ends, before + most, "right")))
+        yield batch.slice(at, stop - at)
+        at = stop
+
+
 class Memo:
     """A cache of bounded size: what was not asked for during a whole generation is forgotten."""
 

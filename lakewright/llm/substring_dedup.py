@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakewright.llm.rows import forget_in_worker, keyed, lean
+from lakewright.llm.rows import forget_in_worker, keyed, lean, pieces
 from lakewright.llm.units import held_units, repeated_units
 
 #: A number for each byte value, from a public digest.
@@ -113,7 +113,7 @@ def _deduplicated(rows: DataFrame, carried: str, settings: Settings, min_docs: i
     @lean
     def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget_in_worker()
-        for batch in batches:
+        for batch in (piece for whole in batches for piece in pieces(whole, "bytes")):
             texts, found = [], []
             for text, units in zip(batch.column("bytes"), batch.column("units")):
                 text = text.as_py()

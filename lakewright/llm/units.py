@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakewright.llm.rows import forget_in_worker, lean
+from lakewright.llm.rows import forget_in_worker, lean, pieces
 from lakewright.scratch import stage
 
 DIGEST = 16  # bytes of a digest
@@ -26,7 +26,7 @@ def held_units(rows: DataFrame, digests: Callable[[bytes], list[bytes]]) -> Data
     @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget_in_worker()
-        for batch in batches:
+        for batch in (piece for whole in batches for piece in pieces(whole, "bytes")):
             rids, counts, units = batch.column("rid").to_numpy(), [], []
             for text in batch.column("bytes"):
                 own = set(digests(text.as_py()))

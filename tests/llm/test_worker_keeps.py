@@ -1,15 +1,17 @@
 """What a Python worker keeps between tasks."""
 
+import random
 import re
 import sys
 from pathlib import Path
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from lakewright.llm import minhash, packing, rows as llm_rows, substring_dedup, toxicity, units
-from lakewright.llm.rows import forget_in_worker, in_worker, keyed
+from lakewright.llm.rows import PIECE_BYTES, forget_in_worker, in_worker, keyed, pieces
 
 
 def test_a_worker_keeps_two_things_and_forgets_them():
@@ -97,3 +99,41 @@ def test_tasks_of_the_pipeline_hand_back_what_they_freed(spark, tmp_path, monkey
         before = Path(marks).stat().st_size
         run()
         assert Path(marks).stat().st_size > before
+
+
+def test_pieces_hold_whole_rows_and_few_bytes():
+    def cut(*sizes):
+        batch = pa.RecordBatch.from_arrays([pa.array(range(len(sizes)), pa.int64()), pa.array([b"x" * n for n in sizes], pa.binary())], names=["rid", "bytes"])
+        return [[*zip(piece.column("rid").to_pylist(), map(len, piece.column("bytes").to_pylist()))] for piece in pieces(batch, "bytes", 10)]
+
+    assert cut() == []
+    assert cut(0, 0, 0) == [[(0, 0), (1, 0), (2, 0)]]
+    assert cut(4, 6, 1, 0, 30, 0, 10, 1) == [[(0, 4), (1, 6)], [(2, 1), (3, 0)], [(4, 30)], [(5, 0), (6, 10)], [(7, 1)]]
+
+
+def test_substring_steps_take_long_texts_piece_by_piece(spark, monkeypatch):
+    """What is made of a batch at once does not grow with the length of its texts."""
+    rows, runs = keyed(spark.createDataFrame([(1, "one")], "doc_id long, text string"), "doc_id", "text"), []
+    plain = type(rows).mapInArrow
+    monkeypatch.setattr(type(rows), "mapInArrow", lambda self, run, schema: runs.append(run) or plain(self, run, schema))
+    settings = substring_dedup.Settings()
+    substring_dedup._deduplicated(rows, "id", settings, 2)
+    cut, rebuild = runs
+
+    def digests(text):
+        return substring_dedup.chunk_digests(text, substring_dedup.chunk_ends(text, settings))
+
+    random.seed(3)
+    texts = [" ".join(random.choices("abcdefghij", k=50_000)).encode() for _ in range(30)] + [b""]
+    gone = [sorted({*digests(text)})[::2] or None for text in texts]
+    ids = pa.array(range(len(texts)), pa.int64())
+    whole = pa.RecordBatch.from_arrays([ids, ids, pa.array(texts, pa.binary()), pa.array(gone, pa.list_(pa.binary()))], names=["rid", "id", "bytes", "units"])
+
+    found = [*cut(iter([whole]))]
+    assert sorted((r["rid"], r["unit"]) for b in found for r in b.to_pylist()) == sorted((k, d) for k, t in enumerate(texts) for d in {*digests(t)})
+    assert max(b.nbytes for b in found) < PIECE_BYTES
+
+    found = [*rebuild(iter([whole]))]
+    singly = [r for k in range(len(texts)) for b in rebuild(iter([whole.slice(k, 1)])) for r in b.to_pylist()]
+    assert [r for b in found for r in b.to_pylist()] == singly and [r["id"] for r in singly] == [*range(len(texts))]
+    assert max(sum(map(len, b.column("text").to_pylist())) for b in found) <= PIECE_BYTES
